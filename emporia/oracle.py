@@ -196,3 +196,170 @@ MARTS = {
     "mart_customer_characteristics": with_adapter(MART_CUSTOMER_CHARACTERISTICS),
     "mart_lost_revenue": with_adapter(MART_LOST_REVENUE),
 }
+
+
+# ------------------------------------------------------------ operators
+
+CUTOFF = "1998-01-01"
+INCREMENT_DAY = "1998-10-03"
+EMPTY_DAY = "1990-01-01"
+PRUNE_FROM, PRUNE_TO = "1996-01-01", "1996-03-31"
+
+_ORDER_COLS = (
+    "order_id, customer_id, order_status, order_purchase_timestamp, order_approved_at, "
+    "order_delivered_carrier_date, order_delivered_customer_date, order_estimated_delivery_date, "
+    "payment_type, payment_installments"
+)
+_ITEM_COLS = (
+    "order_id, order_item_id, product_id, seller_id, shipping_limit_date, "
+    "CAST(price AS DOUBLE) AS price, CAST(freight_value AS DOUBLE) AS freight_value, order_purchase_timestamp"
+)
+
+
+def _merge_sql(target_sql: str, source: str, source_cols: str, keys: list[str]) -> str:
+    cond = " AND ".join(f"t.{k} = s.{k}" for k in keys)
+    ctes = ",\n".join(f"{name} AS ({sql})" for name, sql in ADAPTER_CTES.items())
+    return f"""WITH {ctes},
+tgt AS ({target_sql}),
+src AS (SELECT {source_cols} FROM {source})
+SELECT * FROM tgt
+UNION ALL
+SELECT s.* FROM src s WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE {cond})
+"""
+
+
+def _status_as(status: str) -> str:
+    return _ORDER_COLS.replace("order_status", f"'{status}' AS order_status")
+
+
+MERGES = {
+    "merge_orders": _merge_sql(
+        f"SELECT {_status_as('shipped')} FROM fact_order WHERE order_purchase_timestamp < TIMESTAMP '{CUTOFF}'",
+        "fact_order",
+        _ORDER_COLS,
+        ["order_id"],
+    ),
+    "merge_order_fop": _merge_sql(
+        f"SELECT {_status_as('created')} FROM fact_order_fop WHERE order_purchase_timestamp < TIMESTAMP '{CUTOFF}'",
+        "fact_order_fop",
+        _ORDER_COLS,
+        ["order_id"],
+    ),
+    "merge_order_item": _merge_sql(
+        f"SELECT {_ITEM_COLS} FROM fact_order_item WHERE order_purchase_timestamp < TIMESTAMP '{CUTOFF}'",
+        "fact_order_item",
+        _ITEM_COLS,
+        ["order_id", "product_id", "seller_id", "order_purchase_timestamp"],
+    ),
+    "merge_customer": _merge_sql(
+        f"SELECT * FROM dim_customer WHERE first_purchase_date < TIMESTAMP '{CUTOFF}'",
+        "dim_customer",
+        "*",
+        ["customer_id"],
+    ),
+    "merge_product": _merge_sql(
+        "SELECT * FROM dim_product WHERE product_id IN (SELECT product_id FROM fact_order_item "
+        f"WHERE order_purchase_timestamp < TIMESTAMP '{CUTOFF}')",
+        "dim_product",
+        "*",
+        ["product_id"],
+    ),
+    "merge_seller": _merge_sql(
+        "SELECT * FROM dim_seller WHERE seller_id IN (SELECT seller_id FROM fact_order_item "
+        f"WHERE order_purchase_timestamp < TIMESTAMP '{CUTOFF}')",
+        "dim_seller",
+        "*",
+        ["seller_id"],
+    ),
+}
+
+OPERATORS = {
+    **MERGES,
+    "incremental_extract": with_adapter(
+        f"SELECT {_ORDER_COLS} FROM fact_order "
+        f"WHERE CAST(order_purchase_timestamp AS DATE) = DATE '{INCREMENT_DAY}'"
+    ),
+    "incremental_extract_empty": with_adapter(
+        f"SELECT {_ORDER_COLS} FROM fact_order "
+        f"WHERE CAST(order_purchase_timestamp AS DATE) = DATE '{EMPTY_DAY}'"
+    ),
+    "snapshot_extract": with_adapter("SELECT * FROM dim_customer"),
+    "stage_truncate": with_adapter("SELECT * FROM dim_product"),
+    "stage_append": with_adapter(f"SELECT {_ORDER_COLS} FROM fact_order"),
+    "partition_prune": with_adapter(
+        f"SELECT {_ITEM_COLS} FROM fact_order_item WHERE CAST(order_purchase_timestamp AS DATE) "
+        f"BETWEEN DATE '{PRUNE_FROM}' AND DATE '{PRUNE_TO}'"
+    ),
+    "csv_roundtrip": with_adapter(f"SELECT {_ITEM_COLS} FROM fact_order_item"),
+    "backfill_orders": with_adapter(f"SELECT {_ORDER_COLS} FROM fact_order"),
+    "union_orders": with_adapter(
+        f"SELECT {_ORDER_COLS} FROM fact_order UNION ALL SELECT {_ORDER_COLS} FROM fact_order_fop"
+    ),
+    "date_functions": with_adapter(
+        """
+SELECT order_id, order_purchase_timestamp,
+       CAST(order_purchase_timestamp AS DATE) AS order_date,
+       CAST(date_trunc('month', CAST(order_purchase_timestamp AS DATE)) AS DATE) AS order_month,
+       CAST(order_estimated_delivery_date AS DATE) AS estimated_delivery_day
+FROM (SELECT * FROM fact_order UNION ALL SELECT * FROM fact_order_fop) o"""
+    ),
+    "agg_count_nonnull_vs_distinct": with_adapter(
+        """
+SELECT p.product_category_name_english,
+       COUNT(oi.order_item_id) AS total_units,
+       COUNT(*) AS total_rows,
+       COUNT(DISTINCT oi.order_id) AS total_orders,
+       COUNT(DISTINCT s.seller_id) AS seller_count,
+       COUNT(DISTINCT p.product_id) AS product_count
+FROM fact_order_item oi
+LEFT JOIN dim_product p ON oi.product_id = p.product_id
+LEFT JOIN dim_seller s ON oi.seller_id = s.seller_id
+GROUP BY p.product_category_name_english"""
+    ),
+    "agg_sum_avg_min_max": with_adapter(
+        f"""
+SELECT o.order_status,
+       CAST(SUM(oi.price) AS DOUBLE) AS total_revenue,
+       {avg_double('oi.freight_value')} AS avg_shipping_cost,
+       {avg_double('oi.price')} AS avg_price,
+       CAST(MIN(oi.price) AS DOUBLE) AS min_price,
+       CAST(MAX(oi.price) AS DOUBLE) AS max_price,
+       MIN(o.order_purchase_timestamp) AS first_purchase,
+       MAX(o.order_purchase_timestamp) AS last_purchase
+FROM fact_order_item oi
+LEFT JOIN (SELECT * FROM fact_order UNION ALL SELECT * FROM fact_order_fop) o
+  ON oi.order_id = o.order_id
+GROUP BY o.order_status"""
+    ),
+    "agg_safe_ratio": with_adapter(
+        f"""
+SELECT oi.seller_id,
+       {half_up_cents('SUM(oi.price)', 'COUNT(oi.order_item_id)')} AS revenue_per_unit,
+       {half_up_cents('SUM(oi.price)', 'COUNT(DISTINCT c.customer_unique_id)')} AS revenue_per_customer,
+       CAST(COUNT(oi.order_item_id) AS DOUBLE) / NULLIF(COUNT(DISTINCT o.order_id), 0) AS items_per_order
+FROM fact_order_item oi
+LEFT JOIN fact_order o ON oi.order_id = o.order_id
+LEFT JOIN dim_customer c ON o.customer_id = c.customer_id
+GROUP BY oi.seller_id"""
+    ),
+    "agg_group_by_month": with_adapter(
+        """
+SELECT c.customer_state,
+       CAST(date_trunc('month', CAST(o.order_purchase_timestamp AS DATE)) AS DATE) AS order_month,
+       COUNT(DISTINCT o.order_id) AS total_orders,
+       COUNT(DISTINCT c.customer_unique_id) AS total_customers,
+       MIN(o.order_purchase_timestamp) AS first_purchase,
+       MAX(o.order_purchase_timestamp) AS last_purchase
+FROM fact_order o
+LEFT JOIN dim_customer c ON o.customer_id = c.customer_id
+GROUP BY 1, 2"""
+    ),
+    "lenient_cast": """
+SELECT l_orderkey AS order_key,
+       l_linenumber AS line_number,
+       TRY_CAST(CAST(CAST(l_linenumber AS DOUBLE) AS VARCHAR) AS DOUBLE) AS order_item_id,
+       TRY_CAST(l_returnflag AS DOUBLE) AS returnflag_as_number,
+       TRY_CAST(CAST(l_shipdate AS VARCHAR) AS TIMESTAMP) AS shipping_limit_date,
+       TRY_CAST(l_linestatus AS TIMESTAMP) AS linestatus_as_timestamp
+FROM lineitem""",
+}

@@ -43,3 +43,304 @@ def _mart_query(name: str) -> Query:
 
 for _name in marts.MARTS:
     register(_name, oracle.MARTS[_name])(_mart_query(_name))
+
+
+# ------------------------------------------------------------ helpers
+
+import datetime as _dt  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from emporia.functions.temporal import previous_day  # noqa: E402
+from emporia.operators import layout  # noqa: E402
+from emporia.operators.merge import merge_into  # noqa: E402
+from emporia.plans import aggregates, pipeline  # noqa: E402
+from emporia.schemas import BY_TABLE, ENTITIES  # noqa: E402
+from emporia.session import fresh_dir  # noqa: E402
+from emporia.sources import extract, raw_csv, staging  # noqa: E402
+
+CUTOFF = _dt.date.fromisoformat(oracle.CUTOFF)
+
+
+def _before_cutoff(col: str):
+    return F.col(col) < F.lit(_dt.datetime.combine(CUTOFF, _dt.time())).cast("timestamp_ntz")
+
+
+def _merge_query(table: str, initial, label: str) -> Query:
+    """Merge the whole adapter table (as staging) into a target that already
+    holds an earlier load (``initial(tables)``); return the merged target."""
+    e = BY_TABLE[table]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        t = testdata.warehouse(spark, sf_dir)
+        path = fresh_dir(spark, label)
+        layout.write_table(
+            layout.conform(initial(t), e.table),
+            path,
+            mode="overwrite",
+            partition_col=e.partition_column,
+            partition_ts=e.partition_ts,
+            cluster=e.cluster,
+        )
+        merge_into(spark, t[table], path, e)
+        return layout.read_entity(spark, path, e)
+
+    run.__name__ = label
+    return run
+
+
+def _orders_as_of_cutoff(table: str, status: str):
+    def initial(t):
+        return t[table].filter(_before_cutoff("order_purchase_timestamp")).withColumn(
+            "order_status", F.lit(status)
+        )
+
+    return initial
+
+
+def _sold_before_cutoff(table: str, key: str):
+    def initial(t):
+        sold = t["fact_order_item"].filter(_before_cutoff("order_purchase_timestamp")).select(key)
+        return t[table].join(sold, key, "left_semi")
+
+    return initial
+
+
+register("merge_orders", oracle.MERGES["merge_orders"])(
+    _merge_query("fact_order", _orders_as_of_cutoff("fact_order", "shipped"), "merge_orders")
+)
+register("merge_order_fop", oracle.MERGES["merge_order_fop"])(
+    _merge_query("fact_order_fop", _orders_as_of_cutoff("fact_order_fop", "created"), "merge_order_fop")
+)
+register("merge_order_item", oracle.MERGES["merge_order_item"])(
+    _merge_query(
+        "fact_order_item",
+        lambda t: t["fact_order_item"].filter(_before_cutoff("order_purchase_timestamp")),
+        "merge_order_item",
+    )
+)
+register("merge_customer", oracle.MERGES["merge_customer"])(
+    _merge_query(
+        "dim_customer",
+        lambda t: t["dim_customer"].filter(_before_cutoff("first_purchase_date")),
+        "merge_customer",
+    )
+)
+register("merge_product", oracle.MERGES["merge_product"])(
+    _merge_query("dim_product", _sold_before_cutoff("dim_product", "product_id"), "merge_product")
+)
+register("merge_seller", oracle.MERGES["merge_seller"])(
+    _merge_query("dim_seller", _sold_before_cutoff("dim_seller", "seller_id"), "merge_seller")
+)
+
+
+def _extract_day(day: str, label: str) -> Query:
+    """Increment extract of run ``day + 1`` (the rows of ``day``), read back."""
+    e = ENTITIES["orders"]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = fresh_dir(spark, label)
+        ds = _dt.date.fromisoformat(day) + _dt.timedelta(days=1)
+        assert previous_day(ds).isoformat() == day
+        src = testdata.fact_order(spark, sf_dir)
+        res = extract.increment(src, base, e, ds, transform=lambda d: staging.clean(d, e))
+        if res.skipped:
+            return spark.createDataFrame([], e.table)
+        return extract.read_extract(spark, res.path, e.table, ds)
+
+    run.__name__ = label
+    return run
+
+
+register("incremental_extract", oracle.OPERATORS["incremental_extract"])(
+    _extract_day(oracle.INCREMENT_DAY, "incremental_extract")
+)
+register("incremental_extract_empty", oracle.OPERATORS["incremental_extract_empty"])(
+    _extract_day(oracle.EMPTY_DAY, "incremental_extract_empty")
+)
+
+
+@register("snapshot_extract", oracle.OPERATORS["snapshot_extract"])
+def snapshot_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = ENTITIES["customer"]
+    base = fresh_dir(spark, "snapshot_extract")
+    ds = _dt.date(1998, 10, 4)
+    res = extract.snapshot(
+        testdata.dim_customer(spark, sf_dir), base, e, ds, transform=lambda d: staging.clean(d, e)
+    )
+    return extract.read_extract(spark, res.path, e.table, ds)
+
+
+@register("stage_truncate", oracle.OPERATORS["stage_truncate"])
+def stage_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two snapshot loads: the second replaces the first (WRITE_TRUNCATE)."""
+    e = ENTITIES["product"]
+    path = fresh_dir(spark, "stage_truncate")
+    products = testdata.dim_product(spark, sf_dir)
+    staging.stage(spark, products, path, e)
+    staging.stage(spark, products, path, e)
+    return staging.read_staging(spark, path, e)
+
+
+@register("stage_append", oracle.OPERATORS["stage_append"])
+def stage_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days staged in one write, then one day staged again (a retried
+    load): the day's partition is replaced, nothing is duplicated."""
+    e = ENTITIES["orders"]
+    path = fresh_dir(spark, "stage_append")
+    orders = testdata.fact_order(spark, sf_dir)
+    staging.stage(spark, orders, path, e)
+    again = orders.filter(F.to_date("order_purchase_timestamp") == F.lit(_dt.date.fromisoformat(oracle.INCREMENT_DAY)))
+    staging.stage(spark, again, path, e)
+    return staging.read_staging(spark, path, e)
+
+
+@register("partition_prune", oracle.OPERATORS["partition_prune"])
+def partition_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items stored by purchase day; a day-range read touches only its folders."""
+    e = ENTITIES["order_item"]
+    path = fresh_dir(spark, "partition_prune")
+    layout.write_table(
+        layout.conform(testdata.fact_order_item(spark, sf_dir), e.table),
+        path,
+        mode="overwrite",
+        partition_col=e.partition_column,
+        partition_ts=e.partition_ts,
+    )
+    lo, hi = (_dt.date.fromisoformat(d) for d in (oracle.PRUNE_FROM, oracle.PRUNE_TO))
+    day = F.col(e.partition_column)
+    return (
+        layout.read_entity(spark, path, e, with_partition=True)
+        .filter((day >= F.lit(lo)) & (day <= F.lit(hi)))
+        .drop(e.partition_column)
+    )
+
+
+@register("csv_roundtrip", oracle.OPERATORS["csv_roundtrip"])
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every item through the CSV increment extract and its staging read."""
+    e = ENTITIES["order_item"]
+    path = fresh_dir(spark, "csv_roundtrip")
+    items = layout.conform(testdata.fact_order_item(spark, sf_dir), e.table)
+    extract.write_increments(items, path, e)
+    return extract.read_increments(spark, path, e.table, "csv")
+
+
+def _ingest_query(entity: str) -> Query:
+    e = ENTITIES[entity]
+    table = e.final_name
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = fresh_dir(spark, f"ingest_{entity}")
+        src = testdata.BUILDERS[table](spark, sf_dir)
+        if entity == "order_item":
+            src = src.withColumn("order_item_id", F.col("order_item_id").cast("string"))
+        raw_csv.write_raw(layout.conform(src, e.source), f"{root}/raw/{e.raw_file}")
+        raw_csv.ingest(spark, f"{root}/raw/{e.raw_file}", e, f"{root}/source/{entity}")
+        return spark.read.parquet(f"{root}/source/{entity}")
+
+    run.__name__ = f"ingest_csv_{entity}"
+    return run
+
+
+def _ingest_oracle(entity: str) -> str:
+    e = ENTITIES[entity]
+    cols = []
+    for f in e.source.fields:
+        t = f.dataType.simpleString()
+        sql_type = {"string": "VARCHAR", "int": "INTEGER", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP"}[t]
+        cols.append(f"CAST({f.name} AS {sql_type}) AS {f.name}")
+    return oracle.with_adapter(f"SELECT {', '.join(cols)} FROM {e.final_name}")
+
+
+for _entity in ENTITIES:
+    register(f"ingest_csv_{_entity}", _ingest_oracle(_entity))(_ingest_query(_entity))
+
+
+@register(
+    "lenient_cast", oracle.OPERATORS["lenient_cast"]
+)
+def lenient_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.lenient_cast(testdata.read(spark, sf_dir, "lineitem"))
+
+
+def _violations_oracle() -> str:
+    parts = []
+    for table, e in BY_TABLE.items():
+        for c in e.required:
+            parts.append(
+                f"SELECT '{table}' AS table_name, '{c}' AS column_name, 'required' AS check_name, "
+                f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS violations FROM {table}"
+            )
+        for c, n in e.max_length.items():
+            parts.append(
+                f"SELECT '{table}' AS table_name, '{c}' AS column_name, 'length>{n}' AS check_name, "
+                f"CAST(COUNT(*) FILTER (WHERE length({c}) > {n}) AS BIGINT) AS violations FROM {table}"
+            )
+    return oracle.with_adapter("\nUNION ALL\n".join(parts))
+
+
+@register("required_violations", _violations_oracle())
+def required_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.required_violations(testdata.warehouse(spark, sf_dir))
+
+
+def _tables_query(fn, label: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(testdata.warehouse(spark, sf_dir))
+
+    run.__name__ = label
+    return run
+
+
+for _label in (
+    "union_orders",
+    "date_functions",
+    "agg_count_nonnull_vs_distinct",
+    "agg_sum_avg_min_max",
+    "agg_safe_ratio",
+    "agg_group_by_month",
+):
+    register(_label, oracle.OPERATORS[_label])(_tables_query(getattr(aggregates, _label), _label))
+
+
+def _warehouse_with_sources(spark: SparkSession, sf_dir: str, label: str) -> pipeline.Warehouse:
+    """A fresh warehouse whose source tables hold the adapter entities."""
+    wh = pipeline.Warehouse(fresh_dir(spark, label))
+    for table, build in testdata.BUILDERS.items():
+        e = BY_TABLE[table]
+        layout.conform(build(spark, sf_dir), e.source).write.mode("overwrite").parquet(wh.source(e))
+    return wh
+
+
+@register("backfill_orders", oracle.OPERATORS["backfill_orders"])
+def backfill_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two overlapping catch-up runs; every order lands exactly once."""
+    wh = _warehouse_with_sources(spark, sf_dir, "backfill_orders")
+    pipeline.backfill(spark, wh, "orders", "1990-01-02", CUTOFF.isoformat())
+    pipeline.backfill(spark, wh, "orders", (CUTOFF - _dt.timedelta(days=45)).isoformat(), "2010-01-01")
+    return layout.read_entity(spark, wh.final(ENTITIES["orders"]), ENTITIES["orders"])
+
+
+AUDIT_RUN = _dt.date.fromisoformat(oracle.INCREMENT_DAY) + _dt.timedelta(days=1)
+
+
+def _audit_oracle() -> str:
+    parts = []
+    for name, e in ENTITIES.items():
+        where = ""
+        if e.increment_ts:
+            where = f" WHERE CAST({e.increment_ts} AS DATE) = DATE '{oracle.INCREMENT_DAY}'"
+        parts.append(
+            f"SELECT '{name}' AS entity, DATE '{AUDIT_RUN.isoformat()}' AS run_date, "
+            f"COUNT(*) AS rows_read, COUNT(*) AS rows_inserted, CAST(0 AS BIGINT) AS rows_already_present, "
+            f"{'COUNT(*) = 0' if e.increment_ts else 'false'} AS skipped FROM {e.final_name}{where}"
+        )
+    return oracle.with_adapter("\nUNION ALL\n".join(parts))
+
+
+@register("load_audit", _audit_oracle())
+def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First daily run of all six entities into an empty warehouse; its audit."""
+    wh = _warehouse_with_sources(spark, sf_dir, "load_audit")
+    return pipeline.run_day(spark, wh, AUDIT_RUN)

@@ -32,6 +32,19 @@ BASE_CONF: dict[str, str] = {
     # Re-running a day replaces only that day's partition.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Listing a day-partitioned table: one listing task per ~tens of day
+    # folders, not one per folder.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
+}
+
+
+#: Extra settings for local mode only (tests, the bench): tiny tables written
+#: into thousands of day folders are dominated by per-file costs, so skip the
+#: local checksum files and let AQE keep several small write tasks.
+LOCAL_CONF: dict[str, str] = {
+    "spark.hadoop.fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    "spark.ui.enabled": "false",
 }
 
 
@@ -51,6 +64,8 @@ def build_session(
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    if master and master.startswith("local"):
+        conf.update(LOCAL_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
