@@ -21,10 +21,10 @@ Plan shape, chosen for data far larger than memory:
   exchange), and the join then handles one row per order instead of one
   per item.  Every measure is additive over the join's fan-out, so the
   result equals the row-level query, duplicates and NULLs included.
-* Dimension joins are plain equi-joins: Spark broadcasts a side whose
-  size it measured under ``spark.sql.autoBroadcastJoinThreshold`` (and AQE
-  converts at runtime), otherwise it sort-merges; AQE splits skewed join
-  partitions (a hot product, seller or NULL key).
+* Dimension lookups are broadcast only when a bounded check proves them
+  small (:func:`emporia.operators.joins.small_side`); otherwise they are
+  sort-merge joins and AQE splits skewed join partitions (a hot product,
+  seller or a NULL key on the item side).
 """
 
 from __future__ import annotations
@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from emporia.functions.numeric import mean, rounded_ratio, safe_divide
 from emporia.functions.temporal import day_of, month_of
+from emporia.operators.joins import small_side
 
 Tables = Mapping[str, DataFrame]
 
@@ -52,7 +53,7 @@ ORDER_LOOKUP_COLUMNS = (
 
 def _customers(t: Tables, *cols: str) -> DataFrame:
     c = t["dim_customer"]
-    return c.select(F.col("customer_id").alias("c_customer_id"), *cols)
+    return small_side(c.select(F.col("customer_id").alias("c_customer_id"), *cols))
 
 
 def mart_user_activity(t: Tables) -> DataFrame:
@@ -86,12 +87,16 @@ def mart_user_activity(t: Tables) -> DataFrame:
         "order_purchase_timestamp",
         "shipping_limit_date",
     )
-    prod = t["dim_product"].select(
-        F.col("product_id").alias("p_product_id"), "product_category_name_english"
+    prod = small_side(
+        t["dim_product"].select(
+            F.col("product_id").alias("p_product_id"), "product_category_name_english"
+        )
+    )
+    sell = small_side(
+        t["dim_seller"].select(
+            F.col("seller_id").alias("s_seller_id"), "seller_zip_code_prefix", "seller_state"
+        )
     )
-    sell = t["dim_seller"].select(
-        F.col("seller_id"), "seller_zip_code_prefix", "seller_state"
-    ).withColumnRenamed("seller_id", "s_seller_id")
     joined = (
         items.join(oc, items.order_id == oc.o_order_id, "left")
         .join(prod, F.col("i_product_id") == prod.p_product_id, "left")
@@ -150,10 +155,12 @@ def mart_product_performances(t: Tables) -> DataFrame:
         "price",
         "freight_value",
     )
-    prod = t["dim_product"].select(
-        F.col("product_id").alias("p_product_id"), "product_category_name_english"
+    prod = small_side(
+        t["dim_product"].select(
+            F.col("product_id").alias("p_product_id"), "product_category_name_english"
+        )
     )
-    sell = t["dim_seller"].select(F.col("seller_id").alias("s_seller_id"))
+    sell = small_side(t["dim_seller"].select(F.col("seller_id").alias("s_seller_id")))
     x = (
         items.join(oc, items.order_id == oc.o_order_id, "inner")
         .join(prod, F.col("i_product_id") == prod.p_product_id, "left")
