@@ -17,9 +17,12 @@ probe is a broadcast hash join and the large target is scanned once and
 never shuffled; the anti join then runs against the few hits.  When the
 target is day-partitioned and the key contains the partitioning
 timestamp, the day column is added to the condition (equal timestamps
-have equal days, so the result is unchanged) and dynamic partition
-pruning limits the target scan to the source's days.  A large source
-falls back to sort-merge joins, with AQE splitting skewed keys.
+have equal days, so the result is unchanged) and the target scan is
+pruned to the source's day range: one global MIN/MAX aggregate over the
+source (partial aggregation, a single row to the driver) gives two
+literals for a static partition filter, so a daily slice reads one day
+folder of the target.  A large source falls back to sort-merge joins,
+with AQE splitting skewed keys.
 """
 
 from __future__ import annotations
@@ -34,6 +37,14 @@ from emporia.operators import layout
 from emporia.schemas import Entity
 
 
+def source_day_range(source: DataFrame, ts_col: str):
+    """(first, last) day of ``source[ts_col]``; (None, None) when it has no timestamps."""
+    row = source.agg(
+        F.min(F.to_date(F.col(ts_col))).alias("lo"), F.max(F.to_date(F.col(ts_col))).alias("hi")
+    ).first()
+    return row.lo, row.hi
+
+
 def _key_condition(left: DataFrame, right_prefix: str, keys: Sequence[str]):
     cond = None
     for k in keys:
@@ -67,6 +78,12 @@ def new_rows(
         part_col, ts_col = day_column
         extra_t = [F.col(part_col).alias("__t___day")]
         extra_cond = F.to_date(F.col(ts_col)) == F.col("__t___day")
+        lo, hi = source_day_range(key_source if key_source is not None else source, ts_col)
+        # only these day folders can hold a match (a NULL timestamp never matches)
+        if lo is None:
+            target = target.where(F.lit(False))
+        else:
+            target = target.where(F.col(part_col).between(F.lit(lo), F.lit(hi)))
     tgt = target.select(*t_keys, *extra_t)
     if prefilter:
         src_keys = (key_source if key_source is not None else source).select(*keys)
