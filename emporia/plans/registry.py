@@ -344,3 +344,15 @@ def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First daily run of all six entities into an empty warehouse; its audit."""
     wh = _warehouse_with_sources(spark, sf_dir, "load_audit")
     return pipeline.run_day(spark, wh, AUDIT_RUN)
+
+
+@register("stream_merge_orders", oracle.OPERATORS["backfill_orders"])
+def stream_merge_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order's run extract streamed (availableNow) into an empty fact."""
+    from emporia.streaming.increments import merge_stream
+
+    e = ENTITIES["orders"]
+    root = fresh_dir(spark, "stream_merge_orders")
+    extract.write_increments(layout.conform(testdata.fact_order(spark, sf_dir), e.table), f"{root}/exports", e)
+    merge_stream(spark, f"{root}/exports", e, f"{root}/fact_order", f"{root}/_checkpoint")
+    return layout.read_entity(spark, f"{root}/fact_order", e)
