@@ -61,6 +61,7 @@ def new_rows(
     day_column: tuple[str, str] | None = None,
     prefilter: bool = True,
     key_source: DataFrame | None = None,
+    day_range: tuple | None = None,
 ) -> DataFrame:
     """Rows of ``source`` whose key has no ``=`` match in ``target``.
 
@@ -68,7 +69,8 @@ def new_rows(
     column and the key timestamp it is derived from (enables partition
     pruning of the target when ``ts_col`` is part of ``keys``).
     ``key_source``: the DataFrame the pre-filter takes the source keys from
-    (defaults to ``source``; lets a caller observe ``source`` only once).
+    (defaults to ``source``).  ``day_range``: the source's (first, last)
+    day when the caller already computed it.
     """
     keys = list(keys)
     t_keys = [F.col(k).alias(f"__t_{k}") for k in keys]
@@ -78,7 +80,7 @@ def new_rows(
         part_col, ts_col = day_column
         extra_t = [F.col(part_col).alias("__t___day")]
         extra_cond = F.to_date(F.col(ts_col)) == F.col("__t___day")
-        lo, hi = source_day_range(key_source if key_source is not None else source, ts_col)
+        lo, hi = day_range or source_day_range(key_source if key_source is not None else source, ts_col)
         # only these day folders can hold a match (a NULL timestamp never matches)
         if lo is None:
             target = target.where(F.lit(False))
@@ -125,13 +127,22 @@ def merge_into(
     target = layout.read_table(spark, target_path, schema)
     before = target.count()
     src = layout.conform(source, entity.table)
-    rows_read = src.count()
     day = (
         (entity.partition_column, entity.partition_ts)
         if entity.partition_ts and entity.partition_ts in entity.merge_key
         else None
     )
-    fresh = new_rows(src, target, entity.merge_key, day_column=day, prefilter=prefilter)
+    # one pass over the source for its row count and (if needed) day range
+    stats = [F.count(F.lit(1)).alias("n")]
+    if day is not None:
+        d = F.to_date(F.col(entity.partition_ts))
+        stats += [F.min(d).alias("lo"), F.max(d).alias("hi")]
+    row = src.agg(*stats).first()
+    rows_read = int(row.n)
+    day_range = (row.lo, row.hi) if day is not None else None
+    fresh = new_rows(
+        src, target, entity.merge_key, day_column=day, prefilter=prefilter, day_range=day_range
+    )
     layout.write_table(
         fresh,
         target_path,

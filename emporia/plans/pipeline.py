@@ -163,13 +163,17 @@ def backfill(
     entity: str,
     start: dt.date | str,
     end: dt.date | str,
+    keep_extracts: bool = False,
 ) -> AuditRow:
     """Catch up run dates ``start..end`` of an increment entity in one pass.
 
-    One range-filtered extract (each row lands in the run-date partition
-    that would have carried it), one staging write, one merge.  Per key
-    only the rows of its first day are merged, which is what running the
-    days one by one inserts; NULL-key rows go in once.
+    One range-filtered, cleaned and checked staging write (the day
+    partitions of the range are replaced), then one merge.  The per-run
+    extract files of the daily flow are a hand-off between systems and are
+    skipped here; ``keep_extracts=True`` writes them as well (each row to
+    the run that would have carried it).  Per key only the rows of its
+    first day are merged, which is what running the days one by one
+    inserts; NULL-key rows go in once.
     """
     e = ENTITIES[entity]
     if e.increment_ts is None:
@@ -177,9 +181,11 @@ def backfill(
     start, end = _date(start), _date(end)
     first, last = start - dt.timedelta(days=1), end - dt.timedelta(days=1)
     src = spark.read.parquet(wh.source(e)).filter(in_days(e.increment_ts, first, last))
-    extract.write_increments(staging.clean(src, e), wh.export(e), e)
-    staged = extract.read_increments(spark, wh.export(e), e.table, e.extract_format, start, end)
-    staging.stage(spark, staged, wh.staging(e), e)
+    cleaned = staging.clean(src, e)
+    if keep_extracts:
+        extract.write_increments(cleaned, wh.export(e), e)
+        cleaned = extract.read_increments(spark, wh.export(e), e.table, e.extract_format, start, end)
+    staging.stage(spark, cleaned, wh.staging(e), e)
     batch = first_day_rows(
         layout.read_entity(spark, wh.staging(e), e, with_partition=True)
         .filter((F.col(e.partition_column) >= F.lit(first)) & (F.col(e.partition_column) <= F.lit(last)))

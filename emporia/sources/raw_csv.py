@@ -14,6 +14,8 @@ except the header line.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,9 +84,17 @@ def ingest(
     entity: Entity,
     target_path: str,
     timestamp_format: str | None = None,
+    transform: Callable[[DataFrame], DataFrame] | None = None,
 ) -> str:
-    """Replace the entity's source table with the typed rows of ``raw_path``."""
-    typed = typed_source(read_raw(spark, raw_path), entity, timestamp_format)
+    """Replace the entity's source table with the typed rows of ``raw_path``.
+
+    ``transform`` (DataFrame → DataFrame) runs on the all-string frame
+    before typing, for feeds that need extra cleaning.
+    """
+    raw = read_raw(spark, raw_path)
+    if transform is not None:
+        raw = raw.transform(transform)
+    typed = typed_source(raw, entity, timestamp_format)
     typed.write.mode("overwrite").parquet(target_path)
     return target_path
 
