@@ -11,10 +11,10 @@ Semantics kept exactly:
 Plan: the anti join needs only the key columns of the target (column
 pruning reaches the Parquet scan).  Before it, the target's keys are
 reduced to those that occur in the source with a LEFT SEMI join whose
-build side is the source: when the source is small (a daily slice, whose
-file size Spark measures against ``autoBroadcastJoinThreshold``) the
-probe is a broadcast hash join and the large target is scanned once and
-never shuffled; the anti join then runs against the few hits.  When the
+build side is the source: when the source's keys provably fit in memory
+(a daily slice; checked with a bounded count) they are broadcast, so the
+large target is scanned once and never shuffled; the anti join then runs
+against the few hits (AQE broadcasts them once it has measured them).  When the
 target is day-partitioned and the key contains the partitioning
 timestamp, the day column is added to the condition (equal timestamps
 have equal days, so the result is unchanged) and the target scan is
@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emporia.operators import layout
+from emporia.operators.joins import small_side
 from emporia.schemas import Entity
 
 
@@ -92,7 +93,8 @@ def new_rows(
         cond = _key_condition(src_keys, "__t_", keys)
         if extra_cond is not None:
             cond = cond & extra_cond
-        tgt = tgt.join(src_keys, on=cond, how="left_semi")
+        # broadcast the source's keys when they provably fit (a daily slice)
+        tgt = tgt.join(small_side(src_keys), on=cond, how="left_semi")
     cond = _key_condition(source, "__t_", keys)
     return source.join(tgt, on=cond, how="left_anti")
 

@@ -6,7 +6,7 @@ warehouse defines them (LEFT JOINs + WHERE, COUNT DISTINCT, ...), over the
 raw tables the driver registers as views.
 
 Exactness notes:
-* money is DECIMAL(18,2) in the adapter, so sums are exact in both engines;
+* money is DECIMAL(8,2) in the adapter, so sums are exact in both engines;
 * averages are ``CAST(SUM(x) AS DOUBLE) / COUNT(x)`` on both sides;
 * ``ROUND(SAFE_DIVIDE(s, n), 2)`` is computed half-up in whole cents:
   ``(2*cents + n) // (2*n)`` (money here is never negative);
@@ -17,8 +17,9 @@ from __future__ import annotations
 
 ADAPTER_CTES = {
     "geo": """
-        SELECT n.n_nationkey, n.n_name, r.r_name
-        FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""",
+        SELECT n.n_nationkey, MIN(n.n_name) AS n_name, MIN(r.r_name) AS r_name
+        FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+        GROUP BY n.n_nationkey""",
     "dim_seller": """
         SELECT CAST(s.s_suppkey AS VARCHAR) AS seller_id,
                CAST(s.s_nationkey AS BIGINT) AS seller_zip_code_prefix,
@@ -78,10 +79,12 @@ ADAPTER_CTES = {
                CAST(l.l_partkey AS VARCHAR) AS product_id,
                CAST(l.l_suppkey AS VARCHAR) AS seller_id,
                l.l_shipdate AS shipping_limit_date,
-               CAST(l.l_extendedprice AS DECIMAL(18,2)) AS price,
-               CAST(l.l_quantity AS DECIMAL(18,2)) AS freight_value,
+               CAST(l.l_extendedprice AS DECIMAL(8,2)) AS price,
+               CAST(l.l_quantity AS DECIMAL(8,2)) AS freight_value,
                o.o_orderdate AS order_purchase_timestamp
-        FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
+        FROM lineitem l
+        LEFT JOIN (SELECT o_orderkey, MIN(o_orderdate) AS o_orderdate FROM orders GROUP BY o_orderkey) o
+          ON l.l_orderkey = o.o_orderkey""",
 }
 
 

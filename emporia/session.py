@@ -27,6 +27,13 @@ BASE_CONF: dict[str, str] = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Broadcast only what was measured: no broadcast from static size
+    # estimates (a projected fact scan can look small, and a join's output
+    # estimate is a product of guesses); AQE converts a join to a broadcast
+    # when a side's *shuffled* size, measured at runtime, is small, and
+    # operators hint broadcasts behind bounded row-count checks.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     # Rewrite a partitioned target's scan to the partitions a join needs.
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
     # Re-running a day replaces only that day's partition.

@@ -2,7 +2,7 @@
 
 Every entity is a projection (plus dimension lookups) over a *whole* input
 table; nothing is sampled or filtered away, so the work grows with the
-data.  Money columns are exposed as DECIMAL(18,2) so sums are exact (the
+data.  Money columns are exposed as DECIMAL(8,2) so sums are exact (the
 marts are type-generic and return DOUBLE either way).
 
 Mapping (stated once, shared by the Spark side and the SQL oracle):
@@ -13,19 +13,45 @@ Mapping (stated once, shared by the Spark side and the SQL oracle):
   two customer ids per person (``c_custkey - c_custkey % 2``)
 * fact_order     ← orders with status F (delivered) or O (shipped)
 * fact_order_fop ← orders with status P (even key canceled, odd unavailable)
-* fact_order_item← lineitem ⋈ orders (purchase timestamp of the order)
+* fact_order_item← lineitem ⟕ orders (purchase timestamp of the order)
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
+# The column types of the driver's input tables.  Reading
+# with a declared schema skips the schema-inference job Spark otherwise
+# runs for every read.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+}
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if name in SCHEMAS:
+        return spark.read.schema(SCHEMAS[name]).parquet(path)
+    return spark.read.parquet(path)
 
 
 def _plus_days(col: str, n: int):
@@ -33,10 +59,18 @@ def _plus_days(col: str, n: int):
 
 
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nation key → (nation name, region name), one row per key.
+
+    Lookups are aggregated on their key, so Catalyst knows they are unique
+    and drops the LEFT JOIN altogether when a query uses none of their
+    columns.
+    """
     nation = read(spark, sf_dir, "nation")
     region = read(spark, sf_dir, "region")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey, "left").select(
-        "n_nationkey", "n_name", "r_name"
+    return (
+        nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
+        .groupBy("n_nationkey")
+        .agg(F.min("n_name").alias("n_name"), F.min("r_name").alias("r_name"))
     )
 
 
@@ -118,15 +152,16 @@ def fact_order_fop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_order_item(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read(spark, sf_dir, "lineitem")
-    o = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    return li.join(o, li.l_orderkey == o.o_orderkey, "inner").select(
+    # purchase timestamp of the item's order (unique per key: see _geo)
+    o = read(spark, sf_dir, "orders").groupBy("o_orderkey").agg(F.min("o_orderdate").alias("o_orderdate"))
+    return li.join(o, li.l_orderkey == o.o_orderkey, "left").select(
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("l_linenumber").cast("double").alias("order_item_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
         F.col("l_suppkey").cast("string").alias("seller_id"),
         F.col("l_shipdate").alias("shipping_limit_date"),
-        F.col("l_extendedprice").cast("decimal(18,2)").alias("price"),
-        F.col("l_quantity").cast("decimal(18,2)").alias("freight_value"),
+        F.col("l_extendedprice").cast("decimal(8,2)").alias("price"),
+        F.col("l_quantity").cast("decimal(8,2)").alias("freight_value"),
         F.col("o_orderdate").alias("order_purchase_timestamp"),
     )
 
@@ -141,6 +176,25 @@ BUILDERS = {
 }
 
 
-def warehouse(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+class Tables(Mapping):
+    """The six entities, each built on first access (a query that uses two
+    tables does not plan the other four)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._dir, self._built = spark, sf_dir, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = BUILDERS[name](self._spark, self._dir)
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(BUILDERS)
+
+    def __len__(self) -> int:
+        return len(BUILDERS)
+
+
+def warehouse(spark: SparkSession, sf_dir: str) -> Tables:
     """All six entities as lazy DataFrames."""
-    return {name: build(spark, sf_dir) for name, build in BUILDERS.items()}
+    return Tables(spark, sf_dir)
