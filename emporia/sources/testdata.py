@@ -151,11 +151,17 @@ def fact_order_fop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_order_item(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read(spark, sf_dir, "lineitem")
-    # purchase timestamp of the item's order (unique per key: see _geo)
-    o = read(spark, sf_dir, "orders").groupBy("o_orderkey").agg(F.min("o_orderdate").alias("o_orderdate"))
-    return li.join(o, li.l_orderkey == o.o_orderkey, "left").select(
-        F.col("l_orderkey").cast("string").alias("order_id"),
+    li = read(spark, sf_dir, "lineitem").withColumn("order_id", F.col("l_orderkey").cast("string"))
+    # purchase timestamp of the item's order (unique per key: see _geo); joined
+    # on the string order id, so a later join on order_id reuses this
+    # join's hash partitioning instead of shuffling the items again
+    o = (
+        read(spark, sf_dir, "orders")
+        .groupBy(F.col("o_orderkey").cast("string").alias("o_order_id"))
+        .agg(F.min("o_orderdate").alias("o_orderdate"))
+    )
+    return li.join(o, li.order_id == o.o_order_id, "left").select(
+        F.col("order_id"),
         F.col("l_linenumber").cast("double").alias("order_item_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
         F.col("l_suppkey").cast("string").alias("seller_id"),
