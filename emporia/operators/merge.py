@@ -27,10 +27,11 @@ with AQE splitting skewed keys.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from emporia.operators import layout
@@ -102,11 +103,11 @@ def new_rows(
 @dataclass
 class MergeResult:
     rows_read: int
-    rows_inserted: int
+    rows_inserted: int | None
 
     @property
-    def rows_already_present(self) -> int:
-        return self.rows_read - self.rows_inserted
+    def rows_already_present(self) -> int | None:
+        return None if self.rows_inserted is None else self.rows_read - self.rows_inserted
 
 
 def merge_into(
@@ -121,13 +122,14 @@ def merge_into(
 
     Creates the table when absent (``CREATE TABLE IF NOT EXISTS``).  The
     new rows are appended as new files in their day partitions; existing
-    files are never rewritten.  The inserted count is the difference of the
-    target's row counts, which Parquet answers from file footers.
+    files are never rewritten.  The inserted count is an ``Observation``
+    metric of the writing job itself (no pass over the target); should the
+    metric be unavailable the count is reported as None, the data is
+    written either way.
     """
     schema = layout.table_schema(entity)
     layout.ensure_table(spark, target_path, schema, entity.partition_column)
     target = layout.read_table(spark, target_path, schema)
-    before = target.count()
     src = layout.conform(source, entity.table)
     day = (
         (entity.partition_column, entity.partition_ts)
@@ -145,6 +147,8 @@ def merge_into(
     fresh = new_rows(
         src, target, entity.merge_key, day_column=day, prefilter=prefilter, day_range=day_range
     )
+    inserted = Observation(f"merge_{entity.name}_{uuid.uuid4().hex[:8]}")
+    fresh = fresh.observe(inserted, F.count(F.lit(1)).alias("n"))
     layout.write_table(
         fresh,
         target_path,
@@ -153,5 +157,8 @@ def merge_into(
         partition_ts=entity.partition_ts,
         cluster=entity.cluster,
     )
-    after = layout.read_table(spark, target_path, schema).count()
-    return MergeResult(rows_read, after - before)
+    try:
+        n_inserted: int | None = int(inserted.get["n"])
+    except Exception:  # metric lost; the rows are written
+        n_inserted = None
+    return MergeResult(rows_read, n_inserted)

@@ -64,8 +64,8 @@ class AuditRow:
     entity: str
     run_date: dt.date
     rows_read: int
-    rows_inserted: int
-    rows_already_present: int
+    rows_inserted: int | None
+    rows_already_present: int | None
     skipped: bool
 
 
