@@ -123,7 +123,7 @@ def load_entity(
     """Extract → stage → merge one entity for run date ``ds``."""
     e = ENTITIES[entity]
     ds = _date(ds)
-    src = spark.read.parquet(wh.source(e))
+    src = raw_csv.read_source(spark, wh.source(e), e, with_partition=True)
 
     def clean(df: DataFrame) -> DataFrame:
         return staging.clean(df, e)
@@ -180,7 +180,12 @@ def backfill(
         raise ValueError(f"{entity} is a snapshot entity")
     start, end = _date(start), _date(end)
     first, last = start - dt.timedelta(days=1), end - dt.timedelta(days=1)
-    src = spark.read.parquet(wh.source(e)).filter(in_days(e.increment_ts, first, last))
+    day = F.col(e.partition_column)
+    src = (
+        raw_csv.read_source(spark, wh.source(e), e, with_partition=True)
+        .filter((day >= F.lit(first)) & (day <= F.lit(last)))
+        .filter(in_days(e.increment_ts, first, last))
+    )
     cleaned = staging.clean(src, e)
     if keep_extracts:
         extract.write_increments(cleaned, wh.export(e), e)

@@ -237,7 +237,7 @@ def _ingest_query(entity: str) -> Query:
             src = src.withColumn("order_item_id", F.col("order_item_id").cast("string"))
         raw_csv.write_raw(layout.conform(src, e.source), f"{root}/raw/{e.raw_file}")
         raw_csv.ingest(spark, f"{root}/raw/{e.raw_file}", e, f"{root}/source/{entity}")
-        return spark.read.parquet(f"{root}/source/{entity}")
+        return raw_csv.read_source(spark, f"{root}/source/{entity}", e)
 
     run.__name__ = f"ingest_csv_{entity}"
     return run
@@ -309,7 +309,7 @@ def _warehouse_with_sources(spark: SparkSession, sf_dir: str, label: str) -> pip
     wh = pipeline.Warehouse(fresh_dir(spark, label))
     for table, build in testdata.BUILDERS.items():
         e = BY_TABLE[table]
-        layout.conform(build(spark, sf_dir), e.source).write.mode("overwrite").parquet(wh.source(e))
+        raw_csv.write_source(build(spark, sf_dir), wh.source(e), e)
     return wh
 
 

@@ -34,6 +34,13 @@ BASE_CONF: dict[str, str] = {
     # operators hint broadcasts behind bounded row-count checks.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    # Row counts of loads come from Observation metrics of the writing job;
+    # AQE's empty-relation shortcut replaces an empty stage together with
+    # its metrics node, so that one rule is switched off (an empty stage is
+    # cheap either way).
+    "spark.sql.adaptive.optimizer.excludedRules": (
+        "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
+    ),
     # Rewrite a partitioned target's scan to the partitions a join needs.
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
     # Re-running a day replaces only that day's partition.

@@ -6,7 +6,8 @@
   column, or a string longer than its VARCHAR(n) limit fails the job with
   the column named — the checks are projections evaluated during the one
   pass that writes the table, not separate scans;
-* the source table is replaced as a whole (drop, create, append).
+* the source table is replaced as a whole (drop, create, append); tables
+  with a daily increment are stored partitioned by the increment's day.
 
 Reading is split by Spark into file blocks; nothing is read on the driver
 except the header line.
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emporia.functions.casts import PANDAS_NULL_TOKENS, nullify_tokens, strict, strict_int_via_double
+from emporia.operators import layout
 from emporia.schemas import Entity
 
 #: format used for timestamps in CSV files this package writes
@@ -94,11 +96,37 @@ def ingest(
     raw = read_raw(spark, raw_path)
     if transform is not None:
         raw = raw.transform(transform)
-    typed = typed_source(raw, entity, timestamp_format)
-    typed.write.mode("overwrite").parquet(target_path)
+    write_source(typed_source(raw, entity, timestamp_format), target_path, entity)
     return target_path
 
 
+def write_source(df: DataFrame, path: str, entity: Entity) -> None:
+    """Replace a source table; increment entities are stored by day of the increment column."""
+    df = layout.conform(df, entity.source)
+    if entity.increment_ts is not None:
+        # stored by purchase day, so the daily increment reads one folder
+        layout.write_table(
+            df,
+            path,
+            mode="overwrite",
+            partition_col=entity.partition_column,
+            partition_ts=entity.increment_ts,
+        )
+    else:
+        df.write.mode("overwrite").parquet(path)
+
+
+def read_source(spark: SparkSession, path: str, entity: Entity, with_partition: bool = False) -> DataFrame:
+    """A source table with its declared schema (and its day column when asked)."""
+    schema = entity.source
+    if entity.increment_ts is not None:
+        schema = T.StructType([*schema.fields, T.StructField(entity.partition_column, T.DateType(), True)])
+    df = spark.read.schema(schema).parquet(path)
+    if entity.increment_ts is not None and not with_partition:
+        df = df.drop(entity.partition_column)
+    return df
+
+
 def write_raw(df: DataFrame, path: str) -> str:
     """Write ``df`` as a headered CSV folder (how raw files are exchanged)."""
     (

@@ -79,7 +79,7 @@ def test_item_line_number_is_text_in_source_and_double_after_cleaning(spark):
     row = ["o1", "1", "p1", "s1", "2018-01-02 00:00:00", "10.5", "1", "2018-01-01 10:00:00"]
     out = fresh_dir(spark, "src_item")
     raw_csv.ingest(spark, _write_text(spark, header, [row]), e, out)
-    src = spark.read.parquet(out)
+    src = raw_csv.read_source(spark, out, e)
     assert src.first().order_item_id == "1.0"
     cleaned = staging.clean(src, e).first()
     assert cleaned.order_item_id == 1.0 and cleaned.price == 10.5

@@ -12,7 +12,7 @@ from emporia.operators.increment import first_day_rows
 from emporia.plans import pipeline
 from emporia.schemas import ENTITIES
 from emporia.session import fresh_dir
-from emporia.sources import extract, staging
+from emporia.sources import extract, raw_csv, staging
 
 D = dt.date(2018, 3, 10)
 
@@ -78,7 +78,7 @@ def _warehouse(spark, entity_rows: dict) -> pipeline.Warehouse:
     wh = pipeline.Warehouse(fresh_dir(spark, "wh"))
     for name, rows in entity_rows.items():
         e = ENTITIES[name]
-        layout.conform(frame(spark, name, rows), e.source).write.mode("overwrite").parquet(wh.source(e))
+        raw_csv.write_source(frame(spark, name, rows), wh.source(e), e)
     return wh
 
 
@@ -94,7 +94,7 @@ def test_rule5_merge_source_is_all_staging(spark):
     wh = _warehouse(spark, {"orders": rows})
     e = ENTITIES["orders"]
     # day 1 staged but its merge never ran
-    src = spark.read.parquet(wh.source(e))
+    src = raw_csv.read_source(spark, wh.source(e), e, with_partition=True)
     day1 = extract.increment(src, wh.exports, e, dt.date(2018, 3, 9))
     staging.stage(spark, extract.read_extract(spark, day1.path, e.table, day1.ds), wh.staging(e), e)
     audit = pipeline.load_entity(spark, wh, "orders", D)
@@ -102,7 +102,7 @@ def test_rule5_merge_source_is_all_staging(spark):
     assert (audit.rows_read, audit.rows_inserted) == (2, 2)
     # with the slice as source only day 2 would have gone in
     wh2 = _warehouse(spark, {"orders": rows})
-    src2 = spark.read.parquet(wh2.source(e))
+    src2 = raw_csv.read_source(spark, wh2.source(e), e, with_partition=True)
     d1 = extract.increment(src2, wh2.exports, e, dt.date(2018, 3, 9))
     staging.stage(spark, extract.read_extract(spark, d1.path, e.table, d1.ds), wh2.staging(e), e)
     pipeline.load_entity(spark, wh2, "orders", D, merge_source="slice")
