@@ -5,7 +5,7 @@ Layers (mirroring the daily batch flow):
 * ``sources``   — raw CSV ingest, staged/extracted tables, the testdata adapter
 * ``functions`` — typed casts, date helpers, safe arithmetic (all JVM built-ins)
 * ``operators`` — insert-only merge, constraint checks, day slices, table layout
-* ``plans``     — the four marts and the load pipeline (ingest → stage → merge)
+* ``plans``     — the four marts and the warehouse jobs (ingest → stage → merge)
 * ``streaming`` — the daily increment as an ``availableNow`` file stream
 """
 

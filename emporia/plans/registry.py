@@ -54,7 +54,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from emporia.functions.temporal import previous_day  # noqa: E402
 from emporia.operators import layout  # noqa: E402
 from emporia.operators.merge import merge_into  # noqa: E402
-from emporia.plans import aggregates, pipeline  # noqa: E402
+from emporia.plans import aggregates, warehouse  # noqa: E402
 from emporia.schemas import BY_TABLE, ENTITIES  # noqa: E402
 from emporia.session import fresh_dir  # noqa: E402
 from emporia.sources import extract, raw_csv, staging  # noqa: E402
@@ -304,9 +304,9 @@ for _label in (
     register(_label, oracle.OPERATORS[_label])(_tables_query(getattr(aggregates, _label), _label))
 
 
-def _warehouse_with_sources(spark: SparkSession, sf_dir: str, label: str) -> pipeline.Warehouse:
+def _warehouse_with_sources(spark: SparkSession, sf_dir: str, label: str) -> warehouse.Warehouse:
     """A fresh warehouse whose source tables hold the adapter entities."""
-    wh = pipeline.Warehouse(fresh_dir(spark, label))
+    wh = warehouse.Warehouse(fresh_dir(spark, label))
     for table, build in testdata.BUILDERS.items():
         e = BY_TABLE[table]
         raw_csv.write_source(build(spark, sf_dir), wh.source(e), e)
@@ -317,8 +317,8 @@ def _warehouse_with_sources(spark: SparkSession, sf_dir: str, label: str) -> pip
 def backfill_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two overlapping catch-up runs; every order lands exactly once."""
     wh = _warehouse_with_sources(spark, sf_dir, "backfill_orders")
-    pipeline.backfill(spark, wh, "orders", "1990-01-02", CUTOFF.isoformat())
-    pipeline.backfill(spark, wh, "orders", (CUTOFF - _dt.timedelta(days=45)).isoformat(), "2010-01-01")
+    warehouse.backfill(spark, wh, "orders", "1990-01-02", CUTOFF.isoformat())
+    warehouse.backfill(spark, wh, "orders", (CUTOFF - _dt.timedelta(days=45)).isoformat(), "2010-01-01")
     return layout.read_entity(spark, wh.final(ENTITIES["orders"]), ENTITIES["orders"])
 
 
@@ -343,7 +343,7 @@ def _audit_oracle() -> str:
 def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First daily run of all six entities into an empty warehouse; its audit."""
     wh = _warehouse_with_sources(spark, sf_dir, "load_audit")
-    return pipeline.run_day(spark, wh, AUDIT_RUN)
+    return warehouse.run_day(spark, wh, AUDIT_RUN)
 
 
 @register("stream_merge_orders", oracle.OPERATORS["backfill_orders"])
@@ -358,25 +358,25 @@ def stream_merge_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.read_entity(spark, f"{root}/fact_order", e)
 
 
-@register("pipeline_user_activity", oracle.MARTS["mart_user_activity"])
-def pipeline_user_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+@register("end_to_end_user_activity", oracle.MARTS["mart_user_activity"])
+def end_to_end_user_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole warehouse flow, end to end, read back as the stored mart.
 
     raw CSV files → typed source tables → snapshot loads of the three
     dimensions → one catch-up run of the three facts over all their days →
     ``mart_user_activity`` written with its day partitions and clustering.
     """
-    wh = pipeline.Warehouse(fresh_dir(spark, "pipeline_user_activity"))
+    wh = warehouse.Warehouse(fresh_dir(spark, "end_to_end_user_activity"))
     raw_dir = f"{wh.root}/raw"
     for table, build in testdata.BUILDERS.items():
         e = BY_TABLE[table]
         raw_csv.write_raw(layout.conform(build(spark, sf_dir), e.source), f"{raw_dir}/{e.raw_file}")
-    pipeline.ingest_all(spark, wh, raw_dir)
+    warehouse.ingest_all(spark, wh, raw_dir)
     run = AUDIT_RUN
     for name in ("seller", "product", "customer"):
-        pipeline.load_entity(spark, wh, name, run)
+        warehouse.load_entity(spark, wh, name, run)
     for name in ("orders", "order_fop", "order_item"):
-        pipeline.backfill(spark, wh, name, "1990-01-02", "2010-01-01")
-    pipeline.build_marts(spark, wh, ("mart_user_activity",))
+        warehouse.backfill(spark, wh, name, "1990-01-02", "2010-01-01")
+    warehouse.build_marts(spark, wh, ("mart_user_activity",))
     part, _ = marts.MART_LAYOUT["mart_user_activity"]
-    return pipeline.read_mart(spark, wh, "mart_user_activity").drop(part)
+    return warehouse.read_mart(spark, wh, "mart_user_activity").drop(part)

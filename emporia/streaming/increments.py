@@ -3,7 +3,7 @@
 Extract folders (one ``ds=`` partition per run) are a file source: a stream
 with ``trigger(availableNow=True)`` picks up every run that arrived since
 the last one, in micro-batches, and stops.  Each micro-batch goes through
-the same REQUIRED check and insert-only merge as the batch pipeline, via
+the same REQUIRED check and insert-only merge as the batch loads, via
 ``foreachBatch``.  The stream's checkpoint (under the shared work folder)
 records which files were processed, so a restarted job continues where it
 stopped; a micro-batch that is replayed after a failure inserts nothing

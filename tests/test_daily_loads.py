@@ -1,4 +1,4 @@
-"""Extracts, staging, CSV exchange and the daily pipeline (rules 5-7, K6, C8, C9)."""
+"""Extracts, staging, CSV exchange and the daily loads (rules 5-7, K6, C8, C9)."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from emporia.operators import layout
 from emporia.operators.increment import first_day_rows
-from emporia.plans import pipeline
+from emporia.plans import warehouse
 from emporia.schemas import ENTITIES
 from emporia.session import fresh_dir
 from emporia.sources import extract, raw_csv, staging
@@ -74,8 +74,8 @@ def test_stage_append_is_idempotent_per_day(spark):
     assert sorted(r.order_id for r in staging.read_staging(spark, path, e).collect()) == ["a", "b"]
 
 
-def _warehouse(spark, entity_rows: dict) -> pipeline.Warehouse:
-    wh = pipeline.Warehouse(fresh_dir(spark, "wh"))
+def _warehouse(spark, entity_rows: dict) -> warehouse.Warehouse:
+    wh = warehouse.Warehouse(fresh_dir(spark, "wh"))
     for name, rows in entity_rows.items():
         e = ENTITIES[name]
         raw_csv.write_source(frame(spark, name, rows), wh.source(e), e)
@@ -97,7 +97,7 @@ def test_rule5_merge_source_is_all_staging(spark):
     src = raw_csv.read_source(spark, wh.source(e), e, with_partition=True)
     day1 = extract.increment(src, wh.exports, e, dt.date(2018, 3, 9))
     staging.stage(spark, extract.read_extract(spark, day1.path, e.table, day1.ds), wh.staging(e), e)
-    audit = pipeline.load_entity(spark, wh, "orders", D)
+    audit = warehouse.load_entity(spark, wh, "orders", D)
     assert sorted(r.order_id for r in _fact(spark, wh, "orders").collect()) == ["a", "b"]
     assert (audit.rows_read, audit.rows_inserted) == (2, 2)
     # with the slice as source only day 2 would have gone in
@@ -105,7 +105,7 @@ def test_rule5_merge_source_is_all_staging(spark):
     src2 = raw_csv.read_source(spark, wh2.source(e), e, with_partition=True)
     d1 = extract.increment(src2, wh2.exports, e, dt.date(2018, 3, 9))
     staging.stage(spark, extract.read_extract(spark, d1.path, e.table, d1.ds), wh2.staging(e), e)
-    pipeline.load_entity(spark, wh2, "orders", D, merge_source="slice")
+    warehouse.load_entity(spark, wh2, "orders", D, merge_source="slice")
     assert [r.order_id for r in _fact(spark, wh2, "orders").collect()] == ["b"]
 
 
@@ -118,9 +118,9 @@ def test_c8_backfill_equals_day_by_day(spark):
     ]
     loop = _warehouse(spark, {"orders": rows})
     for day in (dt.date(2018, 3, 9), dt.date(2018, 3, 10)):
-        pipeline.load_entity(spark, loop, "orders", day)
+        warehouse.load_entity(spark, loop, "orders", day)
     once = _warehouse(spark, {"orders": rows})
-    audit = pipeline.backfill(spark, once, "orders", "2018-03-09", "2018-03-10")
+    audit = warehouse.backfill(spark, once, "orders", "2018-03-09", "2018-03-10")
     a = sorted(map(tuple, _fact(spark, loop, "orders").collect()))
     b = sorted(map(tuple, _fact(spark, once, "orders").collect()))
     assert a == b
@@ -161,16 +161,16 @@ def test_c9_run_day_audit_and_marts(spark):
         ],
     }
     wh = _warehouse(spark, rows)
-    audit = {r.entity: r for r in pipeline.run_day(spark, wh, D).collect()}
+    audit = {r.entity: r for r in warehouse.run_day(spark, wh, D).collect()}
     assert audit["order_fop"].skipped
     assert (audit["orders"].rows_read, audit["orders"].rows_inserted) == (1, 1)
     assert (audit["seller"].rows_read, audit["seller"].rows_inserted) == (1, 1)
-    again = {r.entity: r for r in pipeline.run_day(spark, wh, D).collect()}
+    again = {r.entity: r for r in warehouse.run_day(spark, wh, D).collect()}
     assert again["orders"].rows_inserted == 0 and again["orders"].rows_already_present == 1
-    pipeline.build_marts(spark, wh)
-    m2 = pipeline.read_mart(spark, wh, "mart_product_performances").collect()
+    warehouse.build_marts(spark, wh)
+    m2 = warehouse.read_mart(spark, wh, "mart_product_performances").collect()
     assert len(m2) == 1 and m2[0].total_revenue == 5.0
-    m1 = pipeline.read_mart(spark, wh, "mart_user_activity")
+    m1 = warehouse.read_mart(spark, wh, "mart_user_activity")
     assert "order_purchase_date" in m1.columns and m1.count() == 1
     assert _fact(spark, wh, "orders").count() == 1
     assert e.partition_column in layout.read_entity(spark, wh.final(e), e, with_partition=True).columns
