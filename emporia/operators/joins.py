@@ -34,3 +34,23 @@ def small_side(df: DataFrame, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
     max_rows = max(1, max_bytes // row_width(df))
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def small_sides(*dfs: DataFrame, max_bytes: int = DEFAULT_MAX_BYTES) -> list[DataFrame]:
+    """:func:`small_side` for several lookups with one bounded job.
+
+    Each lookup contributes at most its bound + 1 rows (a tagged ``limit``);
+    one grouped count over their union gives every bound check at once.
+    """
+    if not dfs:
+        return []
+    bounds = [max(1, max_bytes // row_width(df)) for df in dfs]
+    probe = None
+    for i, (df, bound) in enumerate(zip(dfs, bounds)):
+        part = df.limit(bound + 1).select(F.lit(i).alias("lookup"))
+        probe = part if probe is None else probe.unionByName(part)
+    counts = {r.lookup: r.n for r in probe.groupBy("lookup").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [
+        F.broadcast(df) if counts.get(i, 0) <= bound else df
+        for i, (df, bound) in enumerate(zip(dfs, bounds))
+    ]

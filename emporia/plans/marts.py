@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from emporia.functions.numeric import mean, rounded_ratio, safe_divide
 from emporia.functions.temporal import day_of, month_of
-from emporia.operators.joins import small_side
+from emporia.operators.joins import small_side, small_sides
 
 Tables = Mapping[str, DataFrame]
 
@@ -51,9 +51,12 @@ ORDER_LOOKUP_COLUMNS = (
 )
 
 
+def _customer_columns(t: Tables, *cols: str) -> DataFrame:
+    return t["dim_customer"].select(F.col("customer_id").alias("c_customer_id"), *cols)
+
+
 def _customers(t: Tables, *cols: str) -> DataFrame:
-    c = t["dim_customer"]
-    return small_side(c.select(F.col("customer_id").alias("c_customer_id"), *cols))
+    return small_side(_customer_columns(t, *cols))
 
 
 def mart_user_activity(t: Tables) -> DataFrame:
@@ -66,8 +69,14 @@ def mart_user_activity(t: Tables) -> DataFrame:
     """
     cols = ("order_id", *ORDER_LOOKUP_COLUMNS)
     orders = t["fact_order"].select(*cols).unionByName(t["fact_order_fop"].select(*cols))
-    cust = _customers(
-        t, "customer_unique_id", "customer_zip_code_prefix", "customer_state"
+    cust, prod, sell = small_sides(
+        _customer_columns(t, "customer_unique_id", "customer_zip_code_prefix", "customer_state"),
+        t["dim_product"].select(
+            F.col("product_id").alias("p_product_id"), "product_category_name_english"
+        ),
+        t["dim_seller"].select(
+            F.col("seller_id").alias("s_seller_id"), "seller_zip_code_prefix", "seller_state"
+        ),
     )
     oc = orders.join(cust, orders.customer_id == cust.c_customer_id, "left").select(
         F.col("order_id").alias("o_order_id"),
@@ -87,16 +96,6 @@ def mart_user_activity(t: Tables) -> DataFrame:
         "order_purchase_timestamp",
         "shipping_limit_date",
     )
-    prod = small_side(
-        t["dim_product"].select(
-            F.col("product_id").alias("p_product_id"), "product_category_name_english"
-        )
-    )
-    sell = small_side(
-        t["dim_seller"].select(
-            F.col("seller_id").alias("s_seller_id"), "seller_zip_code_prefix", "seller_state"
-        )
-    )
     joined = (
         items.join(oc, items.order_id == oc.o_order_id, "left")
         .join(prod, F.col("i_product_id") == prod.p_product_id, "left")
@@ -143,7 +142,13 @@ def mart_product_performances(t: Tables) -> DataFrame:
             day_of("order_purchase_timestamp").alias("order_date"),
         )
     )
-    cust = _customers(t, "customer_unique_id")
+    cust, prod, sell = small_sides(
+        _customer_columns(t, "customer_unique_id"),
+        t["dim_product"].select(
+            F.col("product_id").alias("p_product_id"), "product_category_name_english"
+        ),
+        t["dim_seller"].select(F.col("seller_id").alias("s_seller_id")),
+    )
     oc = orders.join(cust, orders.customer_id == cust.c_customer_id, "left").select(
         "o_order_id", "order_date", "customer_unique_id"
     )
@@ -155,12 +160,6 @@ def mart_product_performances(t: Tables) -> DataFrame:
         "price",
         "freight_value",
     )
-    prod = small_side(
-        t["dim_product"].select(
-            F.col("product_id").alias("p_product_id"), "product_category_name_english"
-        )
-    )
-    sell = small_side(t["dim_seller"].select(F.col("seller_id").alias("s_seller_id")))
     x = (
         items.join(oc, items.order_id == oc.o_order_id, "inner")
         .join(prod, F.col("i_product_id") == prod.p_product_id, "left")
