@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 from emporia.schemas import Entity
 
 
+#: text of the error raised by :func:`require_inline`
+REQUIRED_MARK = "NULL in REQUIRED column"
+
+
 class ConstraintViolation(ValueError):
     """A load would break a REQUIRED column or a length limit."""
 
@@ -92,6 +96,6 @@ def require_inline(df: DataFrame, columns: Sequence[str], table: str) -> DataFra
     for f in df.columns:
         c = F.col(f)
         if f in columns:
-            c = F.when(c.isNull(), F.raise_error(F.lit(f"{table}: NULL in REQUIRED column {f}"))).otherwise(c)
+            c = F.when(c.isNull(), F.raise_error(F.lit(f"{table}: {REQUIRED_MARK} {f}"))).otherwise(c)
         out.append(c.alias(f))
     return df.select(*out)

@@ -2,9 +2,10 @@
 
 * the extract-layer cleaning is lenient: text that does not parse into the
   staging type becomes NULL (``try_cast``), typed columns pass through;
-* REQUIRED columns are checked before anything is written (one
-  aggregation over the extract), so a failing load leaves staging as it
-  was and the error names each column and its NULL count;
+* REQUIRED columns are checked while the rows are written (a projection,
+  no extra pass); a NULL fails the job before it commits, so staging stays
+  as it was, and only then one aggregation counts the NULLs per column for
+  the error message;
 * snapshot entities replace the whole staging table (truncate), increment
   entities replace only the day partitions of the slice (dynamic partition
   overwrite): the same as an append for a first load, and a retried load
@@ -37,10 +38,25 @@ def clean(df: DataFrame, entity: Entity) -> DataFrame:
 
 
 def stage(spark: SparkSession, df: DataFrame, path: str, entity: Entity, check: bool = True) -> None:
-    """Load ``df`` (already cleaned) into the entity's staging table."""
+    """Load ``df`` (already cleaned) into the entity's staging table.
+
+    Raises :class:`emporia.operators.checks.ConstraintViolation` (columns
+    and counts) when a REQUIRED column holds NULLs; nothing is committed then.
+    """
     df = layout.conform(df, entity.table)
-    if check:
-        checks.enforce(df, entity, "staging")
+    if not check:
+        _write(df, path, entity)
+        return
+    try:
+        _write(checks.require_inline(df, entity.required, entity.name), path, entity)
+    except Exception as err:
+        if checks.REQUIRED_MARK not in str(err):
+            raise
+        checks.enforce(df, entity, "staging")  # raises with per-column counts
+        raise
+
+
+def _write(df: DataFrame, path: str, entity: Entity) -> None:
     if entity.staging_mode == "truncate":
         layout.write_table(
             df,

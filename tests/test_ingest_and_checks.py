@@ -6,7 +6,7 @@ Rules 18-22 and the VARCHAR(n) limit.
 from __future__ import annotations
 
 import pytest
-from conftest import frame
+from conftest import frame, ts
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -111,3 +111,22 @@ def test_require_inline_fails_the_consuming_job(spark):
     with pytest.raises(PySparkException):
         checks.require_inline(df, ["k"], "t").collect()
     assert checks.require_inline(df.filter(F.col("k").isNotNull()), ["k"], "t").count() == 1
+
+
+def test_failed_staging_load_leaves_staging_unchanged(spark):
+    e = ENTITIES["orders"]
+    path = fresh_dir(spark, "stg_atomic")
+    good = frame(spark, "orders", [{"order_id": "a", "order_purchase_timestamp": ts("2018-03-09 10:00:00")}])
+    staging.stage(spark, good, path, e)
+    bad = frame(
+        spark,
+        "orders",
+        [
+            {"order_id": "b", "order_purchase_timestamp": ts("2018-03-09 11:00:00")},
+            {"order_id": None, "order_purchase_timestamp": ts("2018-03-09 12:00:00")},
+        ],
+    )
+    with pytest.raises(checks.ConstraintViolation) as err:
+        staging.stage(spark, bad, path, e)
+    assert ("order_id", "required", 1) in err.value.problems
+    assert [r.order_id for r in staging.read_staging(spark, path, e).collect()] == ["a"]
