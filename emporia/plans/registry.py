@@ -7,13 +7,20 @@ write path (staging, merge, CSV) write below the shared work folder
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from emporia import oracle
-from emporia.plans import marts
-from emporia.sources import testdata
+from emporia.functions.temporal import previous_day
+from emporia.operators import layout
+from emporia.operators.merge import merge_into
+from emporia.plans import aggregates, marts, warehouse
+from emporia.schemas import BY_TABLE, ENTITIES
+from emporia.session import fresh_dir
+from emporia.sources import extract, raw_csv, staging, testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,19 +52,7 @@ for _name in marts.MARTS:
     register(_name, oracle.MARTS[_name])(_mart_query(_name))
 
 
-# ------------------------------------------------------------ helpers
-
-import datetime as _dt  # noqa: E402
-
-from pyspark.sql import functions as F  # noqa: E402
-
-from emporia.functions.temporal import previous_day  # noqa: E402
-from emporia.operators import layout  # noqa: E402
-from emporia.operators.merge import merge_into  # noqa: E402
-from emporia.plans import aggregates, warehouse  # noqa: E402
-from emporia.schemas import BY_TABLE, ENTITIES  # noqa: E402
-from emporia.session import fresh_dir  # noqa: E402
-from emporia.sources import extract, raw_csv, staging  # noqa: E402
+# ------------------------------------------------------------ operators
 
 CUTOFF = _dt.date.fromisoformat(oracle.CUTOFF)
 
