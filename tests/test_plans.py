@@ -80,3 +80,16 @@ def test_item_merge_scans_only_the_source_days_without_shuffling_the_target(spar
     plan = _plan(new_rows(source, target, e.merge_key, day_column=(e.partition_column, e.partition_ts)), capsys)
     assert ">= 2018-03-03)" in plan and "<= 2018-03-04)" in plan
     assert "Exchange hashpartitioning" not in plan  # broadcast semi + anti joins
+
+
+def test_small_sides_checks_several_lookups_in_one_job(spark, capsys):
+    from emporia.operators.joins import small_sides
+
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    tiny = spark.range(10).withColumnRenamed("id", "a")
+    large = spark.range(500).withColumnRenamed("id", "b")
+    # a bound between the two sizes: only the tiny lookup is hinted
+    a, b = small_sides(tiny, large, max_bytes=100 * 32)
+    plan = _plan(big.join(a, F.col("k") == F.col("a")).join(b, F.col("k") == F.col("b")), capsys)
+    tree = plan.split("\n\n")[0]  # the operator tree, before the per-node details
+    assert tree.count("BroadcastHashJoin") == 1 and tree.count("SortMergeJoin") == 1
