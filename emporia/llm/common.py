@@ -120,3 +120,29 @@ def publish(path: str, attempt: int, write: Callable[[object], None]) -> None:
     with store.open_output_stream(part) as out:
         write(out)
     store.move(part, name)
+
+
+def free_name(df: DataFrame, base: str) -> str:
+    """``base``, or ``base`` with underscores added until no column has that name."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
+def append(df: DataFrame, fn: Callable[[list[str]], pa.Array], text_col: str, name: str, kind: str) -> DataFrame:
+    """``df`` with one column more, computed from the whole texts of a batch (null: empty).
+
+    All other columns pass through unread; ``name`` must be free.
+    """
+    work = free_name(df, "__text")
+    own = df.columns
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        made = fn(texts(batch, work))
+        yield pa.RecordBatch.from_arrays([*batch.columns[: len(own)], made], names=[*own, name])
+
+    bounded_batches(session_of(df))
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    return arrow_map(df.withColumn(work, text), run, f"{schema}, `{name}` {kind}")

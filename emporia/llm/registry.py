@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import packing, simhash, token_files
+from emporia.llm import archives, packing, simhash, tiling, token_files
 from emporia.llm.common import table
 from emporia.session import fresh_dir
 
@@ -30,6 +30,19 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document and benchmark item that the document gives away."""
+    return tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as an ARC record, converted to WARC and read back."""
+    found = archives.pages_to_warc(table(spark, sf_dir, "pages"), fresh_dir(spark, "archives"), min_bytes=0)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 4-word shingles, 4 bits."""
