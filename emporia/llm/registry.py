@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import archives, packing, simhash, tiling, token_files
-from emporia.llm.common import table
+from emporia.llm import archives, packing, quality, simhash, tiling, token_files, toxicity
+from emporia.llm.common import crc_split, table
 from emporia.session import fresh_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,22 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, learned from the rows that aren't held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), crc_split(F.col("doc_id"), 3) != 1)
+    scored = toxicity.annotate(docs.select("doc_id", "text"), model)
+    score = F.col("toxicity.score")
+    return scored.select(
+        "doc_id",
+        (crc_split(F.col("doc_id"), 3) == 1).alias("held_out"),
+        score.alias("score"),
+        (score >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        F.size("toxicity.passages").alias("passages"),
+    )
+
+
 @query
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row per piece of every document, packed in windows of 2048."""
@@ -30,6 +46,20 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality, learned from the rows that aren't held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"), crc_split(F.col("doc_id"), 4) != 2)
+    scored = quality.annotate(docs.select("doc_id", "text"), model, "score")
+    return scored.select(
+        "doc_id",
+        (crc_split(F.col("doc_id"), 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row per document and benchmark item that the document gives away."""
