@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import archives, packing, quality, simhash, tiling, token_files, toxicity
+from emporia.llm import archives, packing, pii, quality, simhash, tiling, token_files, toxicity
 from emporia.llm.common import crc_split, table
 from emporia.session import fresh_dir
 
@@ -46,6 +46,24 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: base spans counted and hashed, and all spans."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.annotate(docs, pii.train(docs))
+    base = F.col("pii.base")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in pii.KINDS],
+        F.sha2(pii.joined(base), 256).alias("base_sha256"),
+        pii.joined(pii.every_span(F.col("pii"))).alias("spans"),
+    )
+
+
 @query
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality, learned from the rows that aren't held out."""
