@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import archives, packing, pii, quality, simhash, tiling, token_files, toxicity
+from emporia.llm import archives, language_model, packing, pii, quality, simhash, tiling, token_files, toxicity
 from emporia.llm.common import crc_split, table
 from emporia.session import fresh_dir
 
@@ -64,6 +64,14 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document, learned from the rows that aren't held out."""
+    held_out = crc_split(F.col("doc_id"), 10) == 0
+    scored = language_model.score(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality, learned from the rows that aren't held out."""
