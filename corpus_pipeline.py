@@ -1,6 +1,10 @@
 """The documents' pipeline: one operator of ``emporia.llm`` per stage.
 
-Each stage takes what the one before kept; :func:`run` chains them.
+Each stage works on all that the one before kept, and its decisions take
+effect: toxic documents go, one document of each group of near duplicates
+stays, documents that give a benchmark item away go, personal data is replaced
+in the texts, and what is left is packed.  All but the last return the columns
+of ``documents``.
 """
 
 from __future__ import annotations
@@ -10,8 +14,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import packing, simhash
-from emporia.llm.common import stage, table
+from emporia.llm import packing, pii, simhash, tiling, toxicity
+from emporia.llm.common import crc_split, free_name, stage, table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored below the threshold, by a model learned from the labelled ones among them."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), crc_split(F.col("doc_id"), 3) != 1)
+    name = free_name(docs, "toxicity")
+    scored = toxicity.annotate(docs, model, name)
+    return scored.filter(F.col(f"{name}.score") < toxicity.THRESHOLD).drop(name)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,6 +31,20 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.representatives(docs, shingle=4, max_distance=4)
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no benchmark item is covered by."""
+    return tiling.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data in their texts replaced by its kind; ``n_chars`` follows."""
+    clean = pii.redact(docs, pii.train(docs))
+    if "n_chars" in clean.columns:
+        length = F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars"))
+        clean = clean.withColumn("n_chars", length)
+    return clean.select(*docs.columns)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document lies in the training sequences."""
     cut = packing.pieces(docs).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -26,7 +52,10 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
     ("near_dedup", near_dedup),
+    ("decontamination", decontaminate),
+    ("pii", redact),
     ("packing", pack),
 ]
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import archives, language_model, packing, pii, quality, simhash, tiling, token_files, toxicity
+from emporia.llm import archives, language_model, neighbours, packing, pii, quality, simhash, tiling, token_files, toxicity
 from emporia.llm.common import crc_split, table
 from emporia.session import fresh_dir
 
@@ -36,6 +36,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of every hundredth one."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 @query
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row per piece of every document, packed in windows of 2048."""
