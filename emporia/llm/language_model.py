@@ -37,9 +37,9 @@ from emporia.llm.common import bounded_batches, column, open_store, publish, rec
 from emporia.session import fresh_dir
 
 #: UTF-8 bytes of text in a block (a longer document is a block of its own).
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 14 << 20
 #: Tokens whose pairs, on average, one bucket holds.
-BUCKET_TOKENS = 2_000_000
+BUCKET_TOKENS = 1_000_000
 #: Occurrences of a context that one bucket holds.
 HOT_CONTEXT = 500_000
 #: Bits of a word's key; 0 is the end of a document.
