@@ -1,7 +1,7 @@
 """Toxic passages as maximal scoring segments of token log-odds.
 
 Every token has a log-odds of the toxic against the clean class.  Counts come
-from all labelled documents of the training split.  The Dirichlet prior of a
+from the labelled documents of the training split, at most ``FIT_ROWS`` of them.  The Dirichlet prior of a
 word is the distribution of its stem, the first letters, and a stem's prior is
 that of the corpus, so rare and unseen words are judged by what they begin
 with.  Tables have a fixed number of hashed slots.
@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emporia.llm.common import append, arrow_map, bounded_batches, column, crc_split, id_text, record, session_of, texts
+from emporia.llm.common import append, arrow_map, bounded_batches, column, crc_split, id_text, record, session_of, stage, texts
 
 #: Hashed slots of words and of stems.
 WORD_SLOTS = 1 << 20
@@ -38,8 +38,8 @@ STEM = 5
 PRIOR = 8.0
 #: What each token costs.
 DRIFT = 0.7
-#: Rows of the calibration split that the final logistic curve is fitted on.
-FIT_ROWS = 20000
+#: Labelled rows the model is fitted on, the smallest by hash of their id.
+FIT_ROWS = 40000
 #: Calibration documents: crc32 of the id modulo this is 0, among the training split.
 CALIBRATION = 5
 #: Words whose log-odds a worker keeps.
@@ -147,16 +147,24 @@ class Model:
 # ------------------------------------------------------------------- training
 
 
-def labelled(docs: DataFrame, labels: DataFrame, train: Column, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """(doc_id, text, label) of the labelled rows of the training split; a repeated label counts by its maximum."""
+def labelled(
+    docs: DataFrame, labels: DataFrame, split: Column, id_col: str, text_col: str, label_col: str, fit_rows: int
+) -> DataFrame:
+    """(doc_id, text, label) of at most ``fit_rows`` labelled rows of the split, written and reread.
+
+    A repeated label counts by its maximum.  The picked ids, bounded by
+    ``fit_rows``, are sent to the documents, so no text is shuffled.
+    """
     known = (
         labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
         .filter("label is not null and doc_id is not null")
-        .filter(train)
+        .filter(split)
         .groupBy("doc_id")
         .agg(F.max("label").alias("label"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
+        .limit(fit_rows)
     )
-    return id_text(docs, id_col, text_col).filter(train).join(known, "doc_id")
+    return stage(id_text(docs, id_col, text_col).join(F.broadcast(known), "doc_id"), "toxicity-labelled")
 
 
 def _count(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -265,16 +273,15 @@ def train(
     label_col: str = "toxic",
     fit_rows: int = FIT_ROWS,
 ) -> Model:
-    """Learn from the labelled rows for which ``split`` (on column doc_id) holds.
+    """Learn from at most ``fit_rows`` labelled rows for which ``split`` (on column doc_id) holds.
 
     Token counts take all of them but the calibration fifth; segment statistics
-    take all clean rows of that fifth; the final curve, four numbers, takes at
-    most ``fit_rows`` of it.  Without labels, or with one class only, the curve
-    falls back to fixed weights.
+    take that fifth's clean rows, the final curve all of its rows.  Without
+    labels, or with one class only, the curve falls back to fixed weights.
     """
     split = F.lit(True) if split is None else split
     fold = crc_split(F.concat(F.col("doc_id").cast("string"), F.lit("c")), CALIBRATION) == 0
-    rows = labelled(docs, labels, split, id_col, text_col, label_col)
+    rows = labelled(docs, labels, split, id_col, text_col, label_col, fit_rows)
     word, stem = _count(rows.filter(~fold))
     total = stem.sum(0)
     base = min(max(float((total[1] + 0.5) / (total.sum() + 1.0)), 1e-4), 0.5)
@@ -290,8 +297,7 @@ def train(
         x = [shared.value.features(*shared.value.found(t, kept)) for t in texts(batch)]
         yield record({"label": column(batch, "label"), "x": [v.tolist() for v in x]}, types)
 
-    picked = rows.filter(fold).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
-    got = arrow_map(picked, features, "label int, x array<double>").toPandas()
+    got = arrow_map(rows.filter(fold), features, "label int, x array<double>").toPandas()
     y = (got["label"].to_numpy() > 0).astype(float)
     if 0 < y.sum() < len(y):
         model.weights = _logistic(np.array(got["x"].tolist()), y)
