@@ -1,12 +1 @@
-"""Column-level helpers (JVM built-ins only)."""
-
-from emporia.functions.casts import (  # noqa: F401
-    PANDAS_NULL_TOKENS,
-    lenient,
-    lenient_number,
-    nullify_tokens,
-    strict,
-    strict_int_via_double,
-)
-from emporia.functions.numeric import as_double, mean, rounded_ratio, safe_divide  # noqa: F401
-from emporia.functions.temporal import day_of, in_days, month_of, on_day, previous_day  # noqa: F401
+"""Scalar building blocks: casts, dates and ratios."""

@@ -77,11 +77,6 @@ def strict_int_via_double(col: Column | str, name: str) -> Column:
     return strict(col, "double", name).cast("int")
 
 
-def lenient_number(col: Column | str) -> Column:
-    """``to_numeric(errors='coerce')`` as DOUBLE: 'x' gives NULL."""
-    return lenient(col, "double")
-
-
 def _is_timestamp(dtype: T.DataType | str) -> bool:
     if isinstance(dtype, str):
         return dtype.lower().startswith("timestamp")

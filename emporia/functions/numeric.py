@@ -33,6 +33,3 @@ def mean(col: Column) -> Column:
     """
     return safe_divide(F.sum(col).cast("double"), F.count(col).cast("double"))
 
-
-def as_double(col: Column) -> Column:
-    return col.cast("double")

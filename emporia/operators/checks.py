@@ -62,15 +62,6 @@ def violations(
     return wide.select(F.inline(rows))
 
 
-def entity_violations(df: DataFrame, entity: Entity, layer: str = "staging") -> DataFrame:
-    """Checks of an entity: REQUIRED columns of ``layer`` and the source length limits."""
-    required = entity.required if layer == "staging" else entity.required_final
-    limits = entity.max_length if layer == "source" else {}
-    if layer == "source":
-        required = ()
-    return violations(df, required, limits)
-
-
 def enforce(df: DataFrame, entity: Entity, layer: str = "staging") -> None:
     """Raise :class:`ConstraintViolation` naming each failed column and its count."""
     required = entity.required if layer == "staging" else entity.required_final

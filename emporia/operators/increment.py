@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporia.functions.temporal import in_days, on_day
+from emporia.functions.temporal import on_day
 
 
 def day_slice(df: DataFrame, ts_col: str, day: dt.date | str) -> DataFrame:
@@ -22,11 +22,6 @@ def day_slice(df: DataFrame, ts_col: str, day: dt.date | str) -> DataFrame:
     return df.filter(on_day(ts_col, day))
 
 
-def range_slice(df: DataFrame, ts_col: str, start: dt.date | str, end: dt.date | str) -> DataFrame:
-    """Rows with ``start <= DATE(ts_col) <= end``."""
-    return df.filter(in_days(ts_col, start, end))
-
-
 def first_day_rows(df: DataFrame, keys: Sequence[str], ts_col: str) -> DataFrame:
     """Keep, per key, only the rows of the key's earliest day.
 

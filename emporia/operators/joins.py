@@ -1,56 +1,53 @@
 """Join helpers.
 
-:func:`small_side` broadcasts a lookup table only behind a measured bound.
-Spark's static planner already broadcasts a *stored* table whose files are
-below ``spark.sql.autoBroadcastJoinThreshold``; but a lookup that is itself
-a join (a dimension enriched with other tables) gets a size estimate that
-is the product of its inputs' sizes, so it is planned as a sort-merge join
-and the large side is shuffled once more.  Here the bound is checked with a
-bounded job (``limit(n + 1).count()`` stops after ``n + 1`` rows), and the
-broadcast hint is given only when the table provably fits; otherwise the
-join stays a shuffle join (with AQE skew splitting).
+:func:`small_side` broadcasts a lookup only after measuring it.  A lookup
+that is itself a join (a dimension enriched with other tables) gets a static
+size estimate that is the product of its inputs' sizes, so Spark would plan
+a sort-merge join and shuffle the large side once more.  The measurement is
+one aggregate, summed map-side: rows and the bytes of their values.  Beyond
+the bound the join stays a shuffle join, with AQE splitting skewed keys.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: largest lookup we broadcast, in estimated bytes
+#: largest lookup we broadcast, in measured bytes
 DEFAULT_MAX_BYTES = 64 * 1024 * 1024
 
+#: of a row, and of each of its fields, besides the bytes of strings
+ROW_BYTES, FIELD_BYTES = 32, 16
+
 
-def row_width(df: DataFrame) -> int:
-    """A generous per-row size estimate from the schema (strings count 64 bytes)."""
-    width = 16
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes a row takes: fixed shares per row and field, and the real length of strings."""
+    total = F.lit(ROW_BYTES + FIELD_BYTES * len(df.columns)).cast("bigint")
     for f in df.schema.fields:
-        name = f.dataType.typeName()
-        width += 64 if name in ("string", "binary") else 16
-    return width
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f.name)))), F.lit(0))
+    return total
+
+
+def measured_bytes(df: DataFrame) -> Column:
+    """Aggregate: the bytes of all rows (0 for none)."""
+    return F.coalesce(F.sum(row_bytes(df)), F.lit(0))
 
 
 def small_side(df: DataFrame, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
-    """``broadcast(df)`` when ``df`` provably fits in ``max_bytes``, else ``df``."""
-    max_rows = max(1, max_bytes // row_width(df))
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    """``broadcast(df)`` when its measured size is within ``max_bytes``, else ``df``."""
+    return small_sides(df, max_bytes=max_bytes)[0]
 
 
 def small_sides(*dfs: DataFrame, max_bytes: int = DEFAULT_MAX_BYTES) -> list[DataFrame]:
-    """:func:`small_side` for several lookups with one bounded job.
-
-    Each lookup contributes at most its bound + 1 rows (a tagged ``limit``);
-    one grouped count over their union gives every bound check at once.
-    """
+    """:func:`small_side` for several lookups, measured in one job."""
     if not dfs:
         return []
-    bounds = [max(1, max_bytes // row_width(df)) for df in dfs]
-    probe = None
-    for i, (df, bound) in enumerate(zip(dfs, bounds)):
-        part = df.limit(bound + 1).select(F.lit(i).alias("lookup"))
-        probe = part if probe is None else probe.unionByName(part)
-    counts = {r.lookup: r.n for r in probe.groupBy("lookup").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [
-        F.broadcast(df) if counts.get(i, 0) <= bound else df
-        for i, (df, bound) in enumerate(zip(dfs, bounds))
-    ]
+    probes = [df.agg(measured_bytes(df).alias("n")).select(F.lit(i).alias("lookup"), "n") for i, df in enumerate(dfs)]
+    sizes = {r.lookup: r.n for r in reduce(DataFrame.unionByName, probes).collect()}
+    return [F.broadcast(df) if sizes[i] <= max_bytes else df for i, df in enumerate(dfs)]

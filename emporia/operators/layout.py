@@ -56,16 +56,17 @@ def write_table(
 ) -> None:
     """Write ``df`` with the table's layout.
 
-    ``replace_partitions=True`` overwrites only the day partitions present
-    in ``df`` (dynamic partition overwrite): re-running the same day is
-    idempotent, which makes a retried staging load safe.
+    ``mode="overwrite"`` replaces the whole table, whatever the session's
+    setting; ``replace_partitions=True`` replaces only the day partitions
+    present in ``df``, so re-running a day is idempotent and a retried
+    staging load is safe.
     """
     df = arrange(with_day_partition(df, partition_col, partition_ts), partition_col, cluster)
     writer = df.write.format(fmt).options(**(options or {}))
     if replace_partitions:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
-        writer = writer.mode(mode)
+        writer = writer.mode(mode).option("partitionOverwriteMode", "static")
     if partition_col:
         writer = writer.partitionBy(partition_col)
     writer.save(path)

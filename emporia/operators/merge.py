@@ -9,42 +9,50 @@ Semantics kept exactly:
    rows are inserted again by every merge (no null-safe equality).
 
 Plan: the anti join needs only the key columns of the target (column
-pruning reaches the Parquet scan).  Before it, the target's keys are
-reduced to those that occur in the source with a LEFT SEMI join whose
-build side is the source: when the source's keys provably fit in memory
-(a daily slice; checked with a bounded count) they are broadcast, so the
-large target is scanned once and never shuffled; the anti join then runs
-against the few hits (AQE broadcasts them once it has measured them).  When the
-target is day-partitioned and the key contains the partitioning
-timestamp, the day column is added to the condition (equal timestamps
-have equal days, so the result is unchanged) and the target scan is
-pruned to the source's day range: one global MIN/MAX aggregate over the
-source (partial aggregation, a single row to the driver) gives two
-literals for a static partition filter, so a daily slice reads one day
-folder of the target.  A large source falls back to sort-merge joins,
-with AQE splitting skewed keys.
+pruning reaches the Parquet scan).  One aggregate over the source gives its
+row count, the bytes of its keys and, when the key holds the partitioning
+timestamp, its range of days.  The range prunes a day-partitioned target
+to those folders (equal timestamps have equal days, so the result is
+unchanged).  Keys within the broadcast bound (a daily slice) are
+broadcast in a LEFT SEMI join that reduces the target to the few hits, so
+the large target is scanned once and never shuffled.  A larger source
+joins directly: a plain sort-merge anti join, whose skewed keys AQE splits.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.operators import layout
-from emporia.operators.joins import small_side
+from emporia.operators import checks, layout
+from emporia.operators.joins import DEFAULT_MAX_BYTES, measured_bytes
 from emporia.schemas import Entity
 
 
-def source_day_range(source: DataFrame, ts_col: str):
-    """(first, last) day of ``source[ts_col]``; (None, None) when it has no timestamps."""
-    row = source.agg(
-        F.min(F.to_date(F.col(ts_col))).alias("lo"), F.max(F.to_date(F.col(ts_col))).alias("hi")
-    ).first()
-    return row.lo, row.hi
+@dataclass(frozen=True)
+class SourceStats:
+    """What one pass over a merge source tells."""
+
+    rows: int
+    key_bytes: int
+    first_day: dt.date | None = None
+    last_day: dt.date | None = None
+
+
+def source_stats(source: DataFrame, keys: Sequence[str], ts_col: str | None = None) -> SourceStats:
+    """Rows, bytes of the key columns and, with ``ts_col``, the range of its days."""
+    aggs = [F.count(F.lit(1)).alias("n"), measured_bytes(source.select(*keys)).alias("size")]
+    if ts_col is not None:
+        day = F.to_date(F.col(ts_col))
+        aggs += [F.min(day).alias("lo"), F.max(day).alias("hi")]
+    row = source.agg(*aggs).first()
+    return SourceStats(int(row.n), int(row["size"]), *((row.lo, row.hi) if ts_col is not None else ()))
 
 
 def _key_condition(left: DataFrame, right_prefix: str, keys: Sequence[str]):
@@ -61,41 +69,38 @@ def new_rows(
     keys: Sequence[str],
     *,
     day_column: tuple[str, str] | None = None,
-    prefilter: bool = True,
-    key_source: DataFrame | None = None,
-    day_range: tuple | None = None,
+    stats: SourceStats | None = None,
+    max_bytes: int = DEFAULT_MAX_BYTES,
 ) -> DataFrame:
     """Rows of ``source`` whose key has no ``=`` match in ``target``.
 
     ``day_column=(partition_col, ts_col)``: the target's day partition
     column and the key timestamp it is derived from (enables partition
     pruning of the target when ``ts_col`` is part of ``keys``).
-    ``key_source``: the DataFrame the pre-filter takes the source keys from
-    (defaults to ``source``).  ``day_range``: the source's (first, last)
-    day when the caller already computed it.
+    ``stats``: of the source, when the caller has measured it.
     """
     keys = list(keys)
+    by_day = day_column is not None and day_column[1] in keys and day_column[0] in target.columns
+    stats = stats or source_stats(source, keys, day_column[1] if by_day else None)
     t_keys = [F.col(k).alias(f"__t_{k}") for k in keys]
     extra_t: list = []
     extra_cond = None
-    if day_column is not None and day_column[1] in keys and day_column[0] in target.columns:
+    if by_day:
         part_col, ts_col = day_column
         extra_t = [F.col(part_col).alias("__t___day")]
         extra_cond = F.to_date(F.col(ts_col)) == F.col("__t___day")
-        lo, hi = day_range or source_day_range(key_source if key_source is not None else source, ts_col)
         # only these day folders can hold a match (a NULL timestamp never matches)
-        if lo is None:
+        if stats.first_day is None:
             target = target.where(F.lit(False))
         else:
-            target = target.where(F.col(part_col).between(F.lit(lo), F.lit(hi)))
+            target = target.where(F.col(part_col).between(F.lit(stats.first_day), F.lit(stats.last_day)))
     tgt = target.select(*t_keys, *extra_t)
-    if prefilter:
-        src_keys = (key_source if key_source is not None else source).select(*keys)
+    if stats.key_bytes <= max_bytes:
+        src_keys = source.select(*keys)
         cond = _key_condition(src_keys, "__t_", keys)
         if extra_cond is not None:
             cond = cond & extra_cond
-        # broadcast the source's keys when they provably fit (a daily slice)
-        tgt = tgt.join(small_side(src_keys), on=cond, how="left_semi")
+        tgt = tgt.join(F.broadcast(src_keys), on=cond, how="left_semi")
     cond = _key_condition(source, "__t_", keys)
     return source.join(tgt, on=cond, how="left_anti")
 
@@ -103,11 +108,25 @@ def new_rows(
 @dataclass
 class MergeResult:
     rows_read: int
-    rows_inserted: int | None
+    rows_inserted: int
 
     @property
-    def rows_already_present(self) -> int | None:
-        return None if self.rows_inserted is None else self.rows_read - self.rows_inserted
+    def rows_already_present(self) -> int:
+        return self.rows_read - self.rows_inserted
+
+
+def observed_rows(obs: Observation) -> int:
+    """The count ``n`` of an observed write.
+
+    When a stage turns out empty, adaptive execution may drop the observing
+    node with it; the metric is then an empty row, and no row was written.
+    """
+    try:
+        return int(obs.get["n"])
+    except Py4JJavaError as missing:
+        if "toPyRow" not in str(missing):
+            raise
+        return 0
 
 
 def merge_into(
@@ -115,17 +134,14 @@ def merge_into(
     source: DataFrame,
     target_path: str,
     entity: Entity,
-    *,
-    prefilter: bool = True,
 ) -> MergeResult:
     """Insert the source's unmatched rows into the entity's stored table.
 
     Creates the table when absent (``CREATE TABLE IF NOT EXISTS``).  The
     new rows are appended as new files in their day partitions; existing
-    files are never rewritten.  The inserted count is an ``Observation``
-    metric of the writing job itself (no pass over the target); should the
-    metric be unavailable the count is reported as None, the data is
-    written either way.
+    files are never rewritten.  A NULL in a NOT NULL column of the table
+    fails the write before anything is committed.  The inserted count is an
+    ``Observation`` metric of the writing job (no pass over the target).
     """
     schema = layout.table_schema(entity)
     layout.ensure_table(spark, target_path, schema, entity.partition_column)
@@ -136,29 +152,16 @@ def merge_into(
         if entity.partition_ts and entity.partition_ts in entity.merge_key
         else None
     )
-    # one pass over the source for its row count and (if needed) day range
-    stats = [F.count(F.lit(1)).alias("n")]
-    if day is not None:
-        d = F.to_date(F.col(entity.partition_ts))
-        stats += [F.min(d).alias("lo"), F.max(d).alias("hi")]
-    row = src.agg(*stats).first()
-    rows_read = int(row.n)
-    day_range = (row.lo, row.hi) if day is not None else None
-    fresh = new_rows(
-        src, target, entity.merge_key, day_column=day, prefilter=prefilter, day_range=day_range
-    )
+    stats = source_stats(src, entity.merge_key, day[1] if day else None)
+    fresh = new_rows(src, target, entity.merge_key, day_column=day, stats=stats)
     inserted = Observation(f"merge_{entity.name}_{uuid.uuid4().hex[:8]}")
     fresh = fresh.observe(inserted, F.count(F.lit(1)).alias("n"))
     layout.write_table(
-        fresh,
+        checks.require_inline(fresh, entity.required_final, entity.final_name),
         target_path,
         mode="append",
         partition_col=entity.partition_column,
         partition_ts=entity.partition_ts,
         cluster=entity.cluster,
     )
-    try:
-        n_inserted: int | None = int(inserted.get["n"])
-    except Exception:  # metric lost; the rows are written
-        n_inserted = None
-    return MergeResult(rows_read, n_inserted)
+    return MergeResult(stats.rows, observed_rows(inserted))

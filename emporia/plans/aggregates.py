@@ -13,6 +13,7 @@ from emporia.functions.casts import lenient
 from emporia.functions.numeric import mean, rounded_ratio, safe_divide
 from emporia.functions.temporal import day_of, month_of
 from emporia.operators import checks
+from emporia.operators.joins import small_side, small_sides
 from emporia.plans.marts import Tables
 from emporia.schemas import BY_TABLE
 from emporia.schemas import ORDER_COLUMNS
@@ -42,8 +43,10 @@ def agg_count_nonnull_vs_distinct(t: Tables) -> DataFrame:
         "order_id", "order_item_id", F.col("product_id").alias("i_product_id"),
         F.col("seller_id").alias("i_seller_id"),
     )
-    prod = t["dim_product"].select(F.col("product_id").alias("p_product_id"), "product_category_name_english")
-    sell = t["dim_seller"].select(F.col("seller_id").alias("s_seller_id"))
+    prod, sell = small_sides(
+        t["dim_product"].select(F.col("product_id").alias("p_product_id"), "product_category_name_english"),
+        t["dim_seller"].select(F.col("seller_id").alias("s_seller_id")),
+    )
     x = items.join(prod, F.col("i_product_id") == F.col("p_product_id"), "left").join(
         sell, F.col("i_seller_id") == F.col("s_seller_id"), "left"
     )
@@ -77,7 +80,7 @@ def agg_sum_avg_min_max(t: Tables) -> DataFrame:
 def agg_safe_ratio(t: Tables) -> DataFrame:
     """Rounded and unrounded ratios of aggregates; NULL on a zero divisor."""
     orders = t["fact_order"].select(F.col("order_id").alias("o_order_id"), "customer_id")
-    cust = t["dim_customer"].select(F.col("customer_id").alias("c_customer_id"), "customer_unique_id")
+    cust = small_side(t["dim_customer"].select(F.col("customer_id").alias("c_customer_id"), "customer_unique_id"))
     oc = orders.join(cust, F.col("customer_id") == F.col("c_customer_id"), "left")
     items = t["fact_order_item"].select("order_id", "order_item_id", "seller_id", "price")
     x = items.join(oc, F.col("order_id") == F.col("o_order_id"), "left")
@@ -112,15 +115,18 @@ def agg_group_by_month(t: Tables) -> DataFrame:
 def lenient_cast(lineitem: DataFrame) -> DataFrame:
     """Extract-layer parsing: text that does not parse becomes NULL.
 
-    Numeric and date text of every line item parses; the flag columns are
-    text that does not, and come out NULL.
+    Every third line's number and date is replaced by a flag, text that does
+    not parse and comes out NULL; the flag columns never parse.
     """
+    junk = F.col("l_linenumber") % 3 == 0
+    number = F.when(junk, F.col("l_returnflag")).otherwise(F.col("l_linenumber").cast("double").cast("string"))
+    date = F.when(junk, F.col("l_linestatus")).otherwise(F.col("l_shipdate").cast("string"))
     return lineitem.select(
         F.col("l_orderkey").alias("order_key"),
         F.col("l_linenumber").alias("line_number"),
-        lenient(F.col("l_linenumber").cast("double").cast("string"), "double").alias("order_item_id"),
+        lenient(number, "double").alias("order_item_id"),
         lenient(F.col("l_returnflag"), "double").alias("returnflag_as_number"),
-        lenient(F.col("l_shipdate").cast("string"), "timestamp_ntz").alias("shipping_limit_date"),
+        lenient(date, "timestamp_ntz").alias("shipping_limit_date"),
         lenient(F.col("l_linestatus"), "timestamp_ntz").alias("linestatus_as_timestamp"),
     )
 

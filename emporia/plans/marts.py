@@ -21,7 +21,7 @@ Plan shape, chosen for data far larger than memory:
   exchange), and the join then handles one row per order instead of one
   per item.  Every measure is additive over the join's fan-out, so the
   result equals the row-level query, duplicates and NULLs included.
-* Dimension lookups are broadcast only when a bounded check proves them
+* Dimension lookups are broadcast only when their measured size is
   small (:func:`emporia.operators.joins.small_side`); otherwise they are
   sort-merge joins and AQE splits skewed join partitions (a hot product,
   seller or a NULL key on the item side).
@@ -31,11 +31,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from emporia.functions.numeric import mean, rounded_ratio, safe_divide
 from emporia.functions.temporal import day_of, month_of
+from emporia.operators import layout
 from emporia.operators.joins import small_side, small_sides
 
 Tables = Mapping[str, DataFrame]
@@ -297,3 +299,47 @@ MART_LAYOUT = {
     "mart_customer_characteristics": ("order_month", ("customer_state",)),
     "mart_lost_revenue": ("order_month", ("order_status",)),
 }
+
+#: columns of each mart, in order
+MART_SCHEMAS = {
+    "mart_user_activity": (
+        "order_id string, product_category_name_english string, order_item_id double, price double, freight_value double, "
+        "order_status string, payment_type string, payment_installments double, order_purchase_timestamp timestamp_ntz, "
+        "shipping_limit_date timestamp_ntz, customer_id string, customer_unique_id string, customer_zip_code_prefix bigint, "
+        "customer_state string, seller_id string, seller_zip_code_prefix bigint, seller_state string, "
+        "order_estimated_delivery_date timestamp_ntz, order_delivered_carrier_date timestamp_ntz, "
+        "order_delivered_customer_date timestamp_ntz"
+    ),
+    "mart_product_performances": (
+        "product_id string, product_category_name_english string, seller_count bigint, unique_customer_count bigint, "
+        "total_units_sold bigint, total_orders bigint, total_revenue double, avg_revenue_per_unit double, "
+        "avg_revenue_per_customer double, total_shipping_cost double, avg_shipping_cost double, avg_price double, "
+        "min_price double, max_price double, avg_items_per_order double, order_date date"
+    ),
+    "mart_customer_characteristics": (
+        "customer_unique_id string, customer_city string, customer_state string, order_month date, total_orders bigint, "
+        "total_items_bought bigint, total_revenue double, avg_revenue_per_order double, "
+        "first_purchase_date timestamp_ntz, last_purchase_date timestamp_ntz"
+    ),
+    "mart_lost_revenue": (
+        "order_month date, order_status string, total_fop_orders bigint, total_unique_fop_orders bigint, "
+        "total_fop_items double, total_est_lost_revenue double, total_est_lost_shipping_cost double"
+    ),
+}
+
+
+def store(df: DataFrame, path: str, name: str) -> None:
+    """Replace a stored mart: day partitions, sorted by the clustering columns."""
+    part, cluster = MART_LAYOUT[name]
+    ts = "order_purchase_timestamp" if part not in df.columns else None
+    layout.replace_table(df, path, partition_col=part, cluster=cluster, partition_ts=ts)
+
+
+def read_stored(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """A stored mart, its columns as defined and the partition column after them if it is an extra one."""
+    part, _ = MART_LAYOUT[name]
+    schema = T.StructType.fromDDL(MART_SCHEMAS[name])
+    columns = schema.names
+    if part not in columns:
+        schema.add(part, T.DateType())
+    return spark.read.schema(schema).parquet(path).select(*columns, *([part] if part not in columns else []))

@@ -93,10 +93,11 @@ def _orders_as_of_cutoff(table: str, status: str):
     return initial
 
 
-def _sold_before_cutoff(table: str, key: str):
+def _half_with(table: str, key: str, column: str):
+    """An earlier load: the even keys, with another value in ``column``."""
+
     def initial(t):
-        sold = t["fact_order_item"].filter(_before_cutoff("order_purchase_timestamp")).select(key)
-        return t[table].join(sold, key, "left_semi")
+        return t[table].filter(F.col(key).cast("bigint") % 2 == 0).withColumn(column, F.lit("old"))
 
     return initial
 
@@ -114,19 +115,23 @@ register("merge_order_item", oracle.MERGES["merge_order_item"])(
         "merge_order_item",
     )
 )
-register("merge_customer", oracle.MERGES["merge_customer"])(
-    _merge_query(
-        "dim_customer",
-        lambda t: t["dim_customer"].filter(_before_cutoff("first_purchase_date")),
-        "merge_customer",
-    )
-)
-register("merge_product", oracle.MERGES["merge_product"])(
-    _merge_query("dim_product", _sold_before_cutoff("dim_product", "product_id"), "merge_product")
-)
-register("merge_seller", oracle.MERGES["merge_seller"])(
-    _merge_query("dim_seller", _sold_before_cutoff("dim_seller", "seller_id"), "merge_seller")
-)
+for _name, _table, _key, _column in (
+    ("merge_customer", "dim_customer", "customer_id", "customer_city"),
+    ("merge_product", "dim_product", "product_id", "product_category_name"),
+    ("merge_seller", "dim_seller", "seller_id", "seller_city"),
+):
+    register(_name, oracle.MERGES[_name])(_merge_query(_table, _half_with(_table, _key, _column), _name))
+
+
+@register("merge_orders_twice", oracle.OPERATORS["merge_orders_twice"])
+def merge_orders_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same orders merged again: nothing is inserted twice."""
+    e = ENTITIES["orders"]
+    path = fresh_dir(spark, "merge_orders_twice")
+    orders = testdata.fact_order(spark, sf_dir)
+    merge_into(spark, orders, path, e)
+    merge_into(spark, orders, path, e)
+    return layout.read_entity(spark, path, e)
 
 
 def _extract_day(day: str, label: str) -> Query:
@@ -163,7 +168,68 @@ def snapshot_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     res = extract.snapshot(
         testdata.dim_customer(spark, sf_dir), base, e, ds, transform=lambda d: staging.clean(d, e)
     )
-    return extract.read_extract(spark, res.path, e.table, ds)
+    return extract.read_snapshot(spark, res.path, e.table)
+
+
+def _even(df: DataFrame, key: str) -> DataFrame:
+    return df.filter(F.col(key).cast("bigint") % 2 == 0)
+
+
+@register("snapshot_twice", oracle.OPERATORS["snapshot_twice"])
+def snapshot_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second snapshot, of fewer rows: only they are left."""
+    e = ENTITIES["seller"]
+    base = fresh_dir(spark, "snapshot_twice")
+    sellers = layout.conform(testdata.dim_seller(spark, sf_dir), e.table)
+    extract.snapshot(sellers, base, e, _dt.date(1998, 10, 4))
+    res = extract.snapshot(_even(sellers, "seller_id"), base, e, _dt.date(1998, 10, 5))
+    return extract.read_snapshot(spark, res.path, e.table)
+
+
+@register("stage_truncate_customer", oracle.OPERATORS["stage_truncate_customer"])
+def stage_truncate_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of a day-partitioned table; the days that only the first had are gone."""
+    e = ENTITIES["customer"]
+    path = fresh_dir(spark, "stage_truncate_customer")
+    customers = testdata.dim_customer(spark, sf_dir)
+    staging.stage(spark, customers, path, e)
+    staging.stage(spark, _even(customers, "customer_id"), path, e)
+    return staging.read_staging(spark, path, e)
+
+
+@register("ingest_refresh_orders", oracle.OPERATORS["ingest_refresh_orders"])
+def ingest_refresh_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full refresh with other days replaces the source table."""
+    e = ENTITIES["orders"]
+    path = fresh_dir(spark, "ingest_refresh_orders")
+    orders = testdata.fact_order(spark, sf_dir)
+    raw_csv.write_source(orders.filter(_before_cutoff("order_purchase_timestamp")), path, e)
+    raw_csv.write_source(orders.filter(~_before_cutoff("order_purchase_timestamp")), path, e)
+    return raw_csv.read_source(spark, path, e)
+
+
+@register("replace_mart", oracle.OPERATORS["replace_mart"])
+def replace_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart stored again with fewer months and states."""
+    path = fresh_dir(spark, "replace_mart")
+    mart = marts.mart_lost_revenue(testdata.warehouse(spark, sf_dir))
+    marts.store(mart, path, "mart_lost_revenue")
+    late = (F.col("order_status") == "canceled") & (F.col("order_month") >= F.lit(CUTOFF))
+    marts.store(mart.filter(late), path, "mart_lost_revenue")
+    return marts.read_stored(spark, path, "mart_lost_revenue")
+
+
+def _stored_mart(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = fresh_dir(spark, f"stored_{name}")
+        marts.store(marts.MARTS[name](testdata.warehouse(spark, sf_dir)), path, name)
+        return marts.read_stored(spark, path, name)
+
+    return run
+
+
+for _name in ("mart_product_performances", "mart_customer_characteristics", "mart_lost_revenue"):
+    register(f"stored_{_name}", oracle.MARTS[_name])(_stored_mart(_name))
 
 
 @register("stage_truncate", oracle.OPERATORS["stage_truncate"])
@@ -217,10 +283,27 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = ENTITIES["order_item"]
     path = fresh_dir(spark, "csv_roundtrip")
     items = layout.conform(testdata.fact_order_item(spark, sf_dir), e.table)
+    odd = F.concat(F.lit("  "), F.col("product_id"), F.lit(' "q", \nx '))
+    items = items.withColumn("product_id", F.when(F.col("order_item_id") == 1, odd).otherwise(F.col("product_id")))
     extract.write_increments(items, path, e)
     return extract.read_increments(spark, path, e.table, "csv")
 
 
+def _odd_sellers(src: DataFrame) -> DataFrame:
+    """Raw text as other tools write it: null tokens, leading zeros and decimals, quotes, commas, spaces, line breaks."""
+    kind, city = F.col("seller_id").cast("bigint") % 3, F.col("seller_city")
+    zip_ = F.col("seller_zip_code_prefix").cast("string")
+    return src.withColumn(
+        "seller_city",
+        F.when(kind == 0, F.lit("NA"))
+        .when(kind == 1, F.concat(F.lit(" "), city, F.lit(' "x", y ')))
+        .otherwise(F.concat(city, F.lit("\nz"))),
+    ).withColumn(
+        "seller_zip_code_prefix",
+        F.when(kind == 0, F.concat(zip_, F.lit(".0"))).when(kind == 1, F.concat(F.lit("0"), zip_)).otherwise(zip_),
+    )
+
+
 def _ingest_query(entity: str) -> Query:
     e = ENTITIES[entity]
     table = e.final_name
@@ -230,7 +313,8 @@ def _ingest_query(entity: str) -> Query:
         src = testdata.BUILDERS[table](spark, sf_dir)
         if entity == "order_item":
             src = src.withColumn("order_item_id", F.col("order_item_id").cast("string"))
-        raw_csv.write_raw(layout.conform(src, e.source), f"{root}/raw/{e.raw_file}")
+        src = layout.conform(src, e.source)
+        raw_csv.write_raw(_odd_sellers(src) if entity == "seller" else src, f"{root}/raw/{e.raw_file}")
         raw_csv.ingest(spark, f"{root}/raw/{e.raw_file}", e, f"{root}/source/{entity}")
         return raw_csv.read_source(spark, f"{root}/source/{entity}", e)
 
@@ -249,7 +333,9 @@ def _ingest_oracle(entity: str) -> str:
 
 
 for _entity in ENTITIES:
-    register(f"ingest_csv_{_entity}", _ingest_oracle(_entity))(_ingest_query(_entity))
+    register(f"ingest_csv_{_entity}", oracle.OPERATORS.get(f"ingest_csv_{_entity}") or _ingest_oracle(_entity))(
+        _ingest_query(_entity)
+    )
 
 
 @register(
@@ -259,25 +345,32 @@ def lenient_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.lenient_cast(testdata.read(spark, sf_dir, "lineitem"))
 
 
-def _violations_oracle() -> str:
-    parts = []
-    for table, e in BY_TABLE.items():
-        for c in e.required:
-            parts.append(
-                f"SELECT '{table}' AS table_name, '{c}' AS column_name, 'required' AS check_name, "
-                f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS violations FROM {table}"
-            )
-        for c, n in e.max_length.items():
-            parts.append(
-                f"SELECT '{table}' AS table_name, '{c}' AS column_name, 'length>{n}' AS check_name, "
-                f"CAST(COUNT(*) FILTER (WHERE length({c}) > {n}) AS BIGINT) AS violations FROM {table}"
-            )
-    return oracle.with_adapter("\nUNION ALL\n".join(parts))
+def _spoiled(t) -> dict[str, DataFrame]:
+    """The tables with values removed or made too long by rule."""
+
+    def gone(df: DataFrame, column: str, when) -> DataFrame:
+        return df.withColumn(column, F.when(~when, F.col(column)))
+
+    def long(df: DataFrame, column: str, when) -> DataFrame:
+        return df.withColumn(column, F.when(when, F.repeat(F.lit("x"), 120)).otherwise(F.col(column)))
+
+    out = {"dim_product": gone(t["dim_product"], "product_id", F.col("product_weight_g") % 7 == 0)}
+    for name, who in (("dim_seller", "seller"), ("dim_customer", "customer")):
+        zip_ = F.col(f"{who}_zip_code_prefix")
+        df = gone(t[name], f"{who}_id", zip_ % 7 == 0)
+        out[name] = long(long(df, f"{who}_city", zip_ % 5 == 0), f"{who}_state", zip_ % 3 == 0)
+    for name in ("fact_order", "fact_order_fop"):
+        part = F.col("payment_installments")
+        df = gone(gone(t[name], "order_id", part == 1), "order_purchase_timestamp", part == 2)
+        out[name] = long(long(df, "order_status", part == 3), "payment_type", part == 4)
+    freight = F.col("freight_value")
+    out["fact_order_item"] = gone(gone(t["fact_order_item"], "order_id", freight % 2 == 0), "product_id", freight % 3 == 0)
+    return out
 
 
-@register("required_violations", _violations_oracle())
+@register("required_violations", oracle.VIOLATIONS)
 def required_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregates.required_violations(testdata.warehouse(spark, sf_dir))
+    return aggregates.required_violations(_spoiled(testdata.warehouse(spark, sf_dir)))
 
 
 def _tables_query(fn, label: str) -> Query:
@@ -312,8 +405,9 @@ def _warehouse_with_sources(spark: SparkSession, sf_dir: str, label: str) -> war
 def backfill_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two overlapping catch-up runs; every order lands exactly once."""
     wh = _warehouse_with_sources(spark, sf_dir, "backfill_orders")
-    warehouse.backfill(spark, wh, "orders", "1990-01-02", CUTOFF.isoformat())
-    warehouse.backfill(spark, wh, "orders", (CUTOFF - _dt.timedelta(days=45)).isoformat(), "2010-01-01")
+    first, last = warehouse.run_dates(spark, wh, "orders")
+    warehouse.backfill(spark, wh, "orders", first, CUTOFF)
+    warehouse.backfill(spark, wh, "orders", CUTOFF - _dt.timedelta(days=45), last)
     return layout.read_entity(spark, wh.final(ENTITIES["orders"]), ENTITIES["orders"])
 
 
@@ -371,7 +465,7 @@ def end_to_end_user_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name in ("seller", "product", "customer"):
         warehouse.load_entity(spark, wh, name, run)
     for name in ("orders", "order_fop", "order_item"):
-        warehouse.backfill(spark, wh, name, "1990-01-02", "2010-01-01")
+        warehouse.backfill(spark, wh, name, *warehouse.run_dates(spark, wh, name))
     warehouse.build_marts(spark, wh, ("mart_user_activity",))
     part, _ = marts.MART_LAYOUT["mart_user_activity"]
     return warehouse.read_mart(spark, wh, "mart_user_activity").drop(part)

@@ -28,6 +28,7 @@ def _struct(*cols: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in cols])
 
 
+# Table and column names, types, limits, keys and raw files.
 ORDER_COLUMNS = (
     "order_id",
     "customer_id",
@@ -40,7 +41,13 @@ ORDER_COLUMNS = (
     "payment_type",
     "payment_installments",
 )
-ORDER_TIMESTAMPS = ORDER_COLUMNS[3:8]
+ORDER_TIMESTAMPS = (
+    "order_purchase_timestamp",
+    "order_approved_at",
+    "order_delivered_carrier_date",
+    "order_delivered_customer_date",
+    "order_estimated_delivery_date",
+)
 
 
 def _order_struct() -> T.StructType:
@@ -62,8 +69,6 @@ class Entity:
     required_final: tuple[str, ...]
     #: VARCHAR(n) limits of the source layer
     max_length: dict[str, int] = field(default_factory=dict)
-    #: integer columns of the source layer (ingest requires a value)
-    int_columns: tuple[str, ...] = ()
     #: insert-only merge key (plain equality, NULL never matches)
     merge_key: tuple[str, ...] = ()
     #: timestamp whose DATE partitions staging / final table
@@ -101,7 +106,6 @@ SELLER = Entity(
     required=("seller_id",),
     required_final=("seller_id",),
     max_length={"seller_city": 100, "seller_state": 25},
-    int_columns=("seller_zip_code_prefix",),
     merge_key=("seller_id",),
     cluster=("seller_state",),
     raw_file="raw_seller.csv",
@@ -157,7 +161,6 @@ CUSTOMER = Entity(
     required=("customer_id", "first_purchase_date"),
     required_final=("customer_id",),
     max_length={"customer_city": 100, "customer_state": 20},
-    int_columns=("customer_zip_code_prefix",),
     merge_key=("customer_id",),
     partition_ts="first_purchase_date",
     cluster=("customer_state",),
@@ -237,6 +240,3 @@ ENTITIES: dict[str, Entity] = {
 
 #: final table name -> entity
 BY_TABLE: dict[str, Entity] = {e.final_name: e for e in ENTITIES.values()}
-
-DIMENSIONS = ("dim_seller", "dim_product", "dim_customer")
-FACTS = ("fact_order", "fact_order_fop", "fact_order_item")

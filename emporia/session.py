@@ -31,20 +31,14 @@ BASE_CONF: dict[str, str] = {
     # estimates (a projected fact scan can look small, and a join's output
     # estimate is a product of guesses); AQE converts a join to a broadcast
     # when a side's *shuffled* size, measured at runtime, is small, and
-    # operators hint broadcasts behind bounded row-count checks.
+    # operators hint broadcasts behind measured sizes.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
-    # Row counts of loads come from Observation metrics of the writing job;
-    # AQE's empty-relation shortcut replaces an empty stage together with
-    # its metrics node, so that one rule is switched off (an empty stage is
-    # cheap either way).
-    "spark.sql.adaptive.optimizer.excludedRules": (
-        "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
-    ),
+    # A skewed join is split even where that costs one more exchange (a hot
+    # order between two joins that share a partitioning).
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Rewrite a partitioned target's scan to the partitions a join needs.
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
-    # Re-running a day replaces only that day's partition.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
     # Listing a day-partitioned table: one listing task per ~tens of day
     # folders, not one per folder.
@@ -52,14 +46,8 @@ BASE_CONF: dict[str, str] = {
 }
 
 
-#: Extra settings for local mode only (tests, the bench): tiny tables written
-#: into thousands of day folders are dominated by per-file costs, so skip the
-#: local checksum files and let AQE keep several small write tasks.
-LOCAL_CONF: dict[str, str] = {
-    "spark.hadoop.fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
-    "spark.ui.enabled": "false",
-}
+#: Extra settings for local mode only (tests, the bench): no web page.
+LOCAL_CONF: dict[str, str] = {"spark.ui.enabled": "false"}
 
 
 def build_session(

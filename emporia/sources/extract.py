@@ -1,8 +1,8 @@
 """Extracts from the source tables: a full snapshot or one day's increment.
 
-Extract folders are datasets partitioned by the run date ``ds`` (DATE);
-writing a run again replaces only its own ``ds`` partition, so retries are
-idempotent.  The increment of run ``ds`` holds the rows whose increment
+A snapshot is one folder that each run replaces.  Increments are datasets
+partitioned by the run date ``ds`` (DATE); writing a run again replaces
+only its own ``ds`` partition, so retries are idempotent.  The increment of run ``ds`` holds the rows whose increment
 timestamp falls on the *previous* day (``DATE(ts) = ds - 1``); an empty
 increment writes nothing and is reported as skipped.  Row counts are
 taken from ``Observation`` metrics of the writing job itself.
@@ -14,15 +14,15 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emporia.functions.temporal import previous_day
 from emporia.operators.increment import day_slice
+from emporia.operators.merge import observed_rows
 from emporia.schemas import Entity
-from emporia.sources.raw_csv import CSV_TIMESTAMP_FORMAT
+from emporia.sources.raw_csv import CSV_QUOTING, CSV_TIMESTAMP_FORMAT
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -45,29 +45,12 @@ def _as_date(d: dt.date | str) -> dt.date:
 def csv_options() -> dict[str, str]:
     return {
         "header": "true",
+        **CSV_QUOTING,
         "timestampFormat": CSV_TIMESTAMP_FORMAT,
         "timestampNTZFormat": CSV_TIMESTAMP_FORMAT,
     }
 
 
-def _observed(obs: Observation, fallback) -> int:
-    """The observed row count; ``fallback()`` when the session lost the metric."""
-    try:
-        return int(obs.get["n"])
-    except Exception:
-        return int(fallback())
-
-
-def _written_rows(spark: SparkSession, path: str, fmt: str, ds: dt.date) -> int:
-    try:
-        reader = spark.read.format(fmt)
-        if fmt == "csv":
-            reader = reader.options(**csv_options())
-        return reader.load(path).filter(F.col("ds") == F.lit(ds)).count()
-    except AnalysisException:  # nothing written yet
-        return 0
-
-
 def _write(df: DataFrame, path: str, ds: dt.date, fmt: str, label: str) -> int:
     seen = Observation(f"extract_{label}")
     # rebalance: a day's rows land in a few right-sized files, not one file
@@ -82,7 +65,7 @@ def _write(df: DataFrame, path: str, ds: dt.date, fmt: str, label: str) -> int:
     if fmt == "csv":
         writer = writer.options(**csv_options())
     writer.save(path)
-    return _observed(seen, lambda: _written_rows(df.sparkSession, path, fmt, ds))
+    return observed_rows(seen)
 
 
 def snapshot(
@@ -92,12 +75,19 @@ def snapshot(
     ds: dt.date | str,
     transform: Transform | None = None,
 ) -> ExtractResult:
-    """``SELECT *`` of the source table (optionally transformed), as of run ``ds``."""
-    ds = _as_date(ds)
+    """``SELECT *`` of the source table (optionally transformed): one stable copy, replaced by each run."""
     if transform is not None:
         df = df.transform(transform)
     path = f"{base}/{entity.name}"
-    return ExtractResult(path, ds, _write(df, path, ds, "parquet", entity.name))
+    seen = Observation(f"snapshot_{entity.name}")
+    out = df.observe(seen, F.count(F.lit(1)).alias("n")).hint("rebalance")
+    out.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    return ExtractResult(path, _as_date(ds), observed_rows(seen))
+
+
+def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The snapshot as the last run left it."""
+    return spark.read.schema(schema).parquet(path)
 
 
 def increment(
@@ -143,7 +133,7 @@ def write_increments(df: DataFrame, path: str, entity: Entity) -> int:
     if entity.extract_format == "csv":
         writer = writer.options(**csv_options())
     writer.save(path)
-    return _observed(seen, lambda: df.count())
+    return observed_rows(seen)
 
 
 def read_increments(
@@ -161,6 +151,7 @@ def read_increments(
         reader = (
             reader.options(**csv_options())
             .option("mode", "FAILFAST")
+            .option("multiLine", True)
             .option("enforceSchema", False)
         )
     df = reader.format(fmt).load(path)

@@ -9,8 +9,7 @@
 * the source table is replaced as a whole (drop, create, append); tables
   with a daily increment are stored partitioned by the increment's day.
 
-Reading is split by Spark into file blocks; nothing is read on the driver
-except the header line.
+Nothing is read on the driver except the header line.
 """
 
 from __future__ import annotations
@@ -28,14 +27,29 @@ from emporia.schemas import Entity
 #: format used for timestamps in CSV files this package writes
 CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
+#: quoting as pandas reads and writes it: doubled quotes, spaces untouched
+CSV_QUOTING = {
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
-def read_raw(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """Headered CSV as all-string columns named by the header."""
+
+def read_raw(spark: SparkSession, path: str, sep: str = ",", multi_line: bool = True) -> DataFrame:
+    """Headered CSV as all-string columns named by the header.
+
+    Files of one folder must share their header; another one fails the
+    read.  Quoted values may hold line breaks; such files can't be read in
+    blocks, so pass ``multi_line=False`` for large files known to hold none.
+    """
     return (
         spark.read.option("header", True)
         .option("sep", sep)
         .option("inferSchema", False)
-        .option("multiLine", False)
+        .option("multiLine", multi_line)
+        .option("enforceSchema", False)
+        .options(**CSV_QUOTING)
         .option("mode", "FAILFAST")
         .csv(path)
     )
@@ -113,7 +127,7 @@ def write_source(df: DataFrame, path: str, entity: Entity) -> None:
             partition_ts=entity.increment_ts,
         )
     else:
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
 def read_source(spark: SparkSession, path: str, entity: Entity, with_partition: bool = False) -> DataFrame:
@@ -132,6 +146,7 @@ def write_raw(df: DataFrame, path: str) -> str:
     (
         df.write.mode("overwrite")
         .option("header", True)
+        .options(**CSV_QUOTING)
         .option("timestampFormat", CSV_TIMESTAMP_FORMAT)
         .option("timestampNTZFormat", CSV_TIMESTAMP_FORMAT)
         .csv(path)

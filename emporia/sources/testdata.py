@@ -2,7 +2,7 @@
 
 Every entity is a projection (plus dimension lookups) over a *whole* input
 table; nothing is sampled or filtered away, so the work grows with the
-data.  Money columns are exposed as DECIMAL(8,2) so sums are exact (the
+data.  Money columns are exposed as DECIMAL(18,2) so sums are exact (the
 marts are type-generic and return DOUBLE either way).
 
 Mapping (stated once, shared by the Spark side and the SQL oracle):
@@ -11,9 +11,15 @@ Mapping (stated once, shared by the Spark side and the SQL oracle):
 * dim_product  ← part
 * dim_customer ← customer ⟕ nation ⟕ region ⟕ (first order date per customer);
   two customer ids per person (``c_custkey - c_custkey % 2``)
-* fact_order     ← orders with status F (delivered) or O (shipped)
+* fact_order     ← orders but those with status P: F delivered, all others shipped
 * fact_order_fop ← orders with status P (even key canceled, odd unavailable)
 * fact_order_item← lineitem ⟕ orders (purchase timestamp of the order)
+
+So that unmatched keys and missing values occur, some keys are changed and
+some values removed by rule, without dropping a row: customers of orders
+(key % 43 = 0), products (% 37) and sellers (% 31) of items are unknown,
+sellers (% 29) are NULL, and of items with (order + line) % 53 = 0 the
+price, % 59 = 0 the line number is NULL.
 """
 
 from __future__ import annotations
@@ -124,11 +130,12 @@ def dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _orders(spark: SparkSession, sf_dir: str, statuses: list[str], status_expr) -> DataFrame:
-    o = read(spark, sf_dir, "orders").filter(F.col("o_orderstatus").isin(statuses))
+def _orders(spark: SparkSession, sf_dir: str, chosen, status_expr) -> DataFrame:
+    o = read(spark, sf_dir, "orders").filter(chosen)
+    customer = F.col("o_custkey").cast("string")
     return o.select(
         F.col("o_orderkey").cast("string").alias("order_id"),
-        F.col("o_custkey").cast("string").alias("customer_id"),
+        F.when(F.col("o_custkey") % 43 == 0, F.concat(F.lit("unknown-"), customer)).otherwise(customer).alias("customer_id"),
         status_expr.alias("order_status"),
         F.col("o_orderdate").alias("order_purchase_timestamp"),
         _plus_days("o_orderdate", 1).alias("order_approved_at"),
@@ -142,32 +149,33 @@ def _orders(spark: SparkSession, sf_dir: str, statuses: list[str], status_expr)
 
 def fact_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.when(F.col("o_orderstatus") == "F", "delivered").otherwise("shipped")
-    return _orders(spark, sf_dir, ["F", "O"], status)
+    return _orders(spark, sf_dir, ~F.col("o_orderstatus").eqNullSafe("P"), status)
 
 
 def fact_order_fop(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.when(F.col("o_orderkey") % 2 == 0, "canceled").otherwise("unavailable")
-    return _orders(spark, sf_dir, ["P"], status)
+    return _orders(spark, sf_dir, F.col("o_orderstatus") == "P", status)
 
 
 def fact_order_item(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read(spark, sf_dir, "lineitem").withColumn("order_id", F.col("l_orderkey").cast("string"))
-    # purchase timestamp of the item's order (unique per key: see _geo); joined
-    # on the string order id, so a later join on order_id reuses this
-    # join's hash partitioning instead of shuffling the items again
-    o = (
-        read(spark, sf_dir, "orders")
-        .groupBy(F.col("o_orderkey").cast("string").alias("o_order_id"))
-        .agg(F.min("o_orderdate").alias("o_orderdate"))
-    )
+    # purchase timestamp of the item's order, whose key is unique; joined on the
+    # string order id, so a later join on order_id reuses this join's hash
+    # partitioning, and with no operator between shuffle and sort, so AQE can
+    # split a hot order
+    o = read(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("o_order_id"), "o_orderdate")
+    place = F.col("l_orderkey") + F.col("l_linenumber")
+    product, seller = F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")
     return li.join(o, li.order_id == o.o_order_id, "left").select(
         F.col("order_id"),
-        F.col("l_linenumber").cast("double").alias("order_item_id"),
-        F.col("l_partkey").cast("string").alias("product_id"),
-        F.col("l_suppkey").cast("string").alias("seller_id"),
+        F.when(place % 59 != 0, F.col("l_linenumber").cast("double")).alias("order_item_id"),
+        F.when(F.col("l_partkey") % 37 == 0, F.concat(F.lit("unknown-"), product)).otherwise(product).alias("product_id"),
+        F.when(F.col("l_suppkey") % 31 == 0, F.concat(F.lit("unknown-"), seller))
+        .when(F.col("l_suppkey") % 29 != 0, seller)
+        .alias("seller_id"),
         F.col("l_shipdate").alias("shipping_limit_date"),
-        F.col("l_extendedprice").cast("decimal(8,2)").alias("price"),
-        F.col("l_quantity").cast("decimal(8,2)").alias("freight_value"),
+        F.when(place % 53 != 0, F.col("l_extendedprice").cast("decimal(18,2)")).alias("price"),
+        F.col("l_quantity").cast("decimal(18,2)").alias("freight_value"),
         F.col("o_orderdate").alias("order_purchase_timestamp"),
     )
 

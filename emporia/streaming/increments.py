@@ -2,9 +2,11 @@
 
 Extract folders (one ``ds=`` partition per run) are a file source: a stream
 with ``trigger(availableNow=True)`` picks up every run that arrived since
-the last one, in micro-batches, and stops.  Each micro-batch goes through
-the same REQUIRED check and insert-only merge as the batch loads, via
-``foreachBatch``.  The stream's checkpoint (under the shared work folder)
+the last one, as one micro-batch, and stops.  There is no cap on files: a
+day's files must meet in one batch, or the merge would find the first
+file's keys present and lose in-batch duplicates.  The micro-batch goes
+through the same REQUIRED check and insert-only merge as the batch loads,
+via ``foreachBatch``.  The stream's checkpoint (under the shared work folder)
 records which files were processed, so a restarted job continues where it
 stopped; a micro-batch that is replayed after a failure inserts nothing
 twice, because the merge skips keys already present (NULL keys excepted,
@@ -22,10 +24,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from emporia.operators import checks
+from emporia.operators import checks, layout
 from emporia.operators.increment import first_day_rows
 from emporia.operators.merge import merge_into
 from emporia.schemas import Entity
+from emporia.session import fresh_dir
 from emporia.sources.extract import csv_options
 
 
@@ -37,14 +40,12 @@ class StreamReport:
     per_batch: list[tuple[int, int, int]] = field(default_factory=list)
 
 
-def increment_stream(spark: SparkSession, extract_path: str, entity: Entity, max_files_per_trigger: int | None = None) -> DataFrame:
+def increment_stream(spark: SparkSession, extract_path: str, entity: Entity) -> DataFrame:
     """A streaming DataFrame over an entity's extract folder."""
     full = T.StructType([*entity.table.fields, T.StructField("ds", T.DateType(), True)])
     reader = spark.readStream.schema(full).format(entity.extract_format)
     if entity.extract_format == "csv":
         reader = reader.options(**csv_options()).option("mode", "FAILFAST").option("enforceSchema", False)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(extract_path)
 
 
@@ -54,24 +55,26 @@ def merge_stream(
     entity: Entity,
     target_path: str,
     checkpoint: str,
-    max_files_per_trigger: int | None = None,
 ) -> StreamReport:
     """Merge every not yet processed extract run into the entity's table, then stop."""
     report = StreamReport()
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
-        rows = batch.drop("ds")
-        checks.enforce(rows, entity, "staging")
-        if entity.increment_ts is not None:
+        # written once, REQUIRED columns checked on the way; the merge reads that
+        session, path = batch.sparkSession, fresh_dir(batch.sparkSession, "increment-batch")
+        rows = layout.conform(batch.drop("ds"), entity.table)
+        checks.require_inline(rows, entity.required, entity.name).write.parquet(path)
+        rows = layout.read_table(session, path, entity.table)
+        if entity.increment_ts not in (None, *entity.merge_key):
             rows = first_day_rows(rows, entity.merge_key, entity.increment_ts)
-        res = merge_into(batch.sparkSession, rows, target_path, entity)
+        res = merge_into(session, rows, target_path, entity)
         report.batches += 1
         report.rows_read += res.rows_read
         report.rows_inserted += res.rows_inserted
         report.per_batch.append((epoch_id, res.rows_read, res.rows_inserted))
 
     query = (
-        increment_stream(spark, extract_path, entity, max_files_per_trigger)
+        increment_stream(spark, extract_path, entity)
         .writeStream.foreachBatch(each_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

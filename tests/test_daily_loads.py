@@ -176,6 +176,33 @@ def test_c9_run_day_audit_and_marts(spark):
     assert e.partition_column in layout.read_entity(spark, wh.final(e), e, with_partition=True).columns
 
 
+def test_replace_drops_days_the_new_rows_lack(spark):
+    """Whatever the session's overwrite mode: source refresh and truncating stage replace whole tables."""
+    old, new = ts("2018-03-08 10:00:00"), ts("2018-03-09 10:00:00")
+    for mode in ("static", "dynamic"):
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+        try:
+            src, stg = fresh_dir(spark, "src"), fresh_dir(spark, "stg")
+            for when in (old, new):
+                orders = _orders(spark, [{"order_id": str(when), "order_purchase_timestamp": when}])
+                raw_csv.write_source(orders, src, ENTITIES["orders"])
+                people = frame(spark, "customer", [{"customer_id": str(when), "first_purchase_date": when}])
+                staging.stage(spark, people, stg, ENTITIES["customer"])
+            assert [r.order_id for r in raw_csv.read_source(spark, src, ENTITIES["orders"]).collect()] == [str(new)]
+            assert [r.customer_id for r in staging.read_staging(spark, stg, ENTITIES["customer"]).collect()] == [str(new)]
+        finally:
+            spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_csv_extract_keeps_text_as_it_is(spark):
+    e = ENTITIES["order_item"]
+    odd = ["  p ", 'a "b", c', "x\ny", "0042"]
+    rows = [{"order_id": str(i), "product_id": p, "order_purchase_timestamp": ts("2018-03-09 10:00:00")} for i, p in enumerate(odd)]
+    res = extract.increment(frame(spark, "order_item", rows), fresh_dir(spark, "odd"), e, D)
+    back = extract.read_extract(spark, res.path, e.table, D, "csv").collect()
+    assert [r.product_id for r in sorted(back)] == odd
+
+
 def test_entry_contract(spark):
     import __spark_entry__ as entry
 

@@ -130,3 +130,19 @@ def test_failed_staging_load_leaves_staging_unchanged(spark):
         staging.stage(spark, bad, path, e)
     assert ("order_id", "required", 1) in err.value.problems
     assert [r.order_id for r in staging.read_staging(spark, path, e).collect()] == ["a"]
+
+
+def test_files_with_another_header_fail(spark):
+    folder = fresh_dir(spark, "raw")
+    for name, header in (("a", "seller_city,seller_state"), ("b", "seller_state,seller_city")):
+        spark.createDataFrame([(header,), ("x,y",)], "value string").coalesce(1).write.text(f"{folder}/{name}")
+    with pytest.raises(Exception, match="(?i)header"):
+        raw_csv.read_raw(spark, f"{folder}/*").collect()
+
+
+def test_quoted_raw_values(spark):
+    path = fresh_dir(spark, "raw") + "/file.csv"
+    text = 'seller_id,seller_city\ns1,"sao ""x"", paulo"\ns2,"two\nlines"\ns3, spaced '
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+    got = {r.seller_id: r.seller_city for r in raw_csv.read_raw(spark, path).collect()}
+    assert got == {"s1": 'sao "x", paulo', "s2": "two\nlines", "s3": " spaced "}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from conftest import frame, ts
 
 from emporia.operators import layout
@@ -106,9 +107,25 @@ def test_prefilter_does_not_change_the_result(spark):
         [_item(order_id=f"x{i}", seller_id=None if i % 4 == 0 else "s") for i in range(6, 18)],
     )
     keys = ENTITIES["order_item"].merge_key
-    with_pf = sorted(map(tuple, new_rows(src, tgt, keys, prefilter=True).collect()))
-    without = sorted(map(tuple, new_rows(src, tgt, keys, prefilter=False).collect()))
+    with_pf = sorted(map(tuple, new_rows(src, tgt, keys).collect()))
+    without = sorted(map(tuple, new_rows(src, tgt, keys, max_bytes=0).collect()))
     assert with_pf == without
     # x6..x11 match unless either side's seller is NULL (x6, x9 in the
     # target, x8 in the source); x12..x17 are new
     assert {r[0] for r in with_pf} == {"x6", "x8", "x9"} | {f"x{i}" for i in range(12, 18)}
+
+
+def test_not_null_columns_of_the_table_are_enforced(spark):
+    path = _target(spark, "orders", _orders(spark, [{"order_id": "o1"}]))
+    with pytest.raises(Exception, match="NULL in REQUIRED column order_id"):
+        merge_into(spark, _orders(spark, [{"order_id": None}]), path, ENTITIES["orders"])
+    assert [r.order_id for r in _read(spark, "orders", path).collect()] == ["o1"]
+
+
+def test_a_large_source_joins_plainly(spark, capsys):
+    """Beyond the broadcast bound: one anti join, no semi join that would hide its skew."""
+    target = _orders(spark, [{"order_id": "o1"}])
+    new_rows(_orders(spark, [{"order_id": "o2"}]), target, ["order_id"], max_bytes=0).explain("formatted")
+    tree = capsys.readouterr().out.split("\n\n")[0]
+    assert "LeftAnti" in tree or "SortMergeJoin" in tree
+    assert "LeftSemi" not in tree and "Broadcast" not in tree

@@ -33,3 +33,22 @@ def test_stream_merges_new_runs_once(spark):
     rep2 = merge_stream(spark, f"{root}/exports", e, f"{root}/fact", f"{root}/ckpt")
     assert rep2.rows_read == 1 and rep2.rows_inserted == 1
     assert sorted(r.order_id for r in layout.read_entity(spark, f"{root}/fact", e).collect()) == ["o5", "o7"]
+
+
+def test_files_of_one_day_meet_in_one_batch(spark):
+    """Two units of one item, in two files of a day, share their key: both go in."""
+    e = ENTITIES["order_item"]
+    root = fresh_dir(spark, "stream2")
+    rows = [
+        {"order_id": "o", "order_item_id": n, "product_id": "p", "seller_id": "s", "order_purchase_timestamp": ts("2018-03-08 10:00:00")}
+        for n in (1.0, 2.0)
+    ]
+    for i, row in enumerate(rows):
+        part = f"{root}/part{i}"
+        extract.write_increments(frame(spark, "order_item", [row]), part, e)
+        spark.read.schema(e.table).options(**extract.csv_options()).csv(f"{part}/ds=2018-03-09").write.options(
+            **extract.csv_options()
+        ).mode("append").csv(f"{root}/exports/ds=2018-03-09")
+    rep = merge_stream(spark, f"{root}/exports", e, f"{root}/fact", f"{root}/ckpt")
+    assert rep.rows_inserted == 2
+    assert sorted(r.order_item_id for r in layout.read_entity(spark, f"{root}/fact", e).collect()) == [1.0, 2.0]
