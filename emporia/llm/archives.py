@@ -3,7 +3,8 @@
 An ARC file starts with a version block that names the fields of its header
 lines: version 1 has URL, IP address, date, content type and length; version 2
 adds result code, checksum, location, offset and file name.  A record is one
-such line, then as many bytes as the line declares, then a line break.
+such line, then as many bytes as the line declares, then a line break.  Files
+named ``.arc.gz`` hold one gzip member per record.
 
 Conversion first indexes the ARC files: per record, where it lies and its
 payload's digest.  Only this index is shuffled, to find of equal payloads the
@@ -82,7 +83,7 @@ def arc_record(
 
 
 def arc_records(file) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """(offset, header fields, body) of each record of an open ARC file.
+    """(offset among the plain bytes, header fields, body) of each record of an open ARC file.
 
     The version block names the fields; a header line is split from the right,
     as only a URL may hold blanks.  A declared length beyond the end of the
@@ -111,6 +112,11 @@ def arc_records(file) -> Iterator[tuple[int, dict[str, str], bytes]]:
         yield at, dict(zip(fields, values)), data.take(int(values[-1]))
 
 
+def unzipped(file, name: str):
+    """The bytes of an open file, of all its gzip members if its name ends so."""
+    return gzip.GzipFile(fileobj=file) if name.endswith(".gz") else file
+
+
 class _Lines:
     """Lines and counted bytes of a stream, read in blocks."""
 
@@ -161,12 +167,19 @@ def http_parts(body: bytes) -> tuple[bytes, dict[str, str], bytes]:
 
 
 def write_arc(
-    pages: DataFrame, path: str, version: int | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
+    pages: DataFrame,
+    path: str,
+    version: int | None = None,
+    id_col: str = "page_id",
+    url_col: str = "url",
+    html_col: str = "html",
+    compress: bool = True,
 ) -> DataFrame:
     """Write pages as ARC files below ``path`` and return (file, records), reread.
 
     One file per task; without ``version`` even tasks write version 1 and odd
-    ones version 2.  Null html is an empty payload, a null URL a URN.
+    ones version 2.  Null html is an empty payload, a null URL a URN.  With
+    ``compress`` each record is a gzip member of its own.
     """
     path = path.rstrip("/")
     rows = pages.select(
@@ -175,18 +188,21 @@ def write_arc(
         F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"),
     )
 
+    def member(data: bytes) -> bytes:
+        return gzip.compress(data, 1, mtime=0) if compress else data
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = next((b for b in batches if b.num_rows), None)
         if first is None:
             return
         task = TaskContext.get()
-        name = f"part-{task.partitionId():06d}.arc"
+        name = f"part-{task.partitionId():06d}.arc{'.gz' if compress else ''}"
         kind = version or 1 + task.partitionId() % 2
         count = 0
 
         def fill(out) -> None:
             nonlocal count
-            head = arc_version_block(name, kind)
+            head = member(arc_version_block(name, kind))
             out.write(head)
             offset, batch = len(head), first
             while batch is not None:
@@ -194,7 +210,7 @@ def write_arc(
                 for page_id, url, data in zip(column(batch, "page_id").to_pylist(), column(batch, "url").to_pylist(), html):
                     url = url or f"urn:page:{page_id}"
                     body = http_response(data, page_id)
-                    written = arc_record(url, "text/html", body, kind, name, offset)
+                    written = member(arc_record(url, "text/html", body, kind, name, offset))
                     out.write(written)
                     offset += len(written)
                     count += 1
@@ -222,8 +238,8 @@ def index_arc(files: DataFrame) -> DataFrame:
             for file in column(batch, "file").to_pylist():
                 store, name = open_store(file)
                 out: dict[str, list] = {k: [] for k in types}
-                with store.open_input_stream(name) as source:
-                    for at, fields, body in arc_records(source):
+                with store.open_input_file(name) as source:
+                    for at, fields, body in arc_records(unzipped(source, name)):
                         if fields["URL"].startswith("filedesc://"):
                             continue
                         _, http, payload = http_parts(body)
@@ -325,14 +341,14 @@ def convert(files: DataFrame, path: str, min_bytes: int = 0) -> DataFrame:
                 if refers_to is not None:
                     kept[file][at] = refers_to
         for file in order:
-            name = f"{path}/{file.rsplit('/', 1)[1].removesuffix('.arc')}.warc.gz"
+            name = f"{path}/{file.rsplit('/', 1)[1].removesuffix('.gz').removesuffix('.arc')}.warc.gz"
             count = 0
 
             def fill(out, file=file) -> None:
                 nonlocal count
                 store, source = open_store(file)
-                with store.open_input_stream(source) as data:
-                    for at, fields, body in arc_records(data):
+                with store.open_input_file(source) as data:
+                    for at, fields, body in arc_records(unzipped(data, source)):
                         out.write(convert_record(fields, body, kept[file].get(at)))
                         count += 1
 

@@ -153,13 +153,13 @@ def test_tiling_catches_reordered_passages(spark):
     assert tiling.decontaminate(_docs(spark, texts), bench.filter("item_id = 99")).count() == len(texts) + 2
 
 
-@pytest.mark.parametrize("version", [1, 2])
-def test_archives_round_trip(spark, version):
+@pytest.mark.parametrize(("version", "compress"), [(1, True), (2, True), (2, False), (None, True)])
+def test_archives_round_trip(spark, version, compress):
     html = ["<a>", "<b>é\r\n\r\n</b>", "<a>", None, "", "HTTP/1.1 fake\r\n\r\nx"]
     rows = [(i, None if i == 1 else f"http://x/ {i}", h, "u") for i, h in enumerate(html)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, file string")
     root = fresh_dir(spark, "arc")
-    warc = archives.read_warc(archives.convert(archives.write_arc(pages, f"{root}/a", version), f"{root}/w"))
+    warc = archives.read_warc(archives.convert(archives.write_arc(pages, f"{root}/a", version, compress=compress), f"{root}/w"))
     got = {r.page_id: r for r in warc.collect()}
     assert len(got) == len(html)
     for i, h in enumerate(html):
