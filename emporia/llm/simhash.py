@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from emporia.llm.common import arrow_map, bounded_batches, column, id_text, record, session_of, stage
+from emporia.llm.common import arrow_map, bounded_batches, column, free_name, id_text, record, session_of, stage
 
 SEED = 42
 BITS = 64
@@ -333,9 +333,10 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", **options) -> DataF
     none of their rows apart, so all of them stay.
     """
     keep = components(docs, id_col, **options).filter("doc_id = component_id").select("doc_id").distinct()
-    marked = docs.withColumn("__id", F.col(id_col).cast("long"))
-    once = Window.partitionBy("__id").orderBy(*[F.col(c) for c in docs.columns])
-    kept = marked.join(keep.select(F.col("doc_id").alias("__id")), "__id", "left_semi")
-    kept = kept.withColumn("__n", F.row_number().over(once)).filter("__n = 1").drop("__n")
-    return kept.unionByName(marked.filter("__id is null")).select(*docs.columns)
-
+    key = free_name(docs, "__id")
+    marked = docs.withColumn(key, F.col(id_col).cast("long"))
+    turn = free_name(marked, "__n")
+    once = Window.partitionBy(key).orderBy(*[F.col(c) for c in docs.columns])
+    kept = marked.join(keep.withColumnRenamed("doc_id", key), key, "left_semi")
+    kept = kept.withColumn(turn, F.row_number().over(once)).filter(F.col(turn) == 1).drop(turn)
+    return kept.unionByName(marked.filter(F.col(key).isNull())).select(*docs.columns)

@@ -116,6 +116,8 @@ def test_simhash_components_equal_brute_force(spark):
     kept = simhash.representatives(_docs(spark, texts))
     assert kept.columns == ["doc_id", "text", "label", "n_chars"]
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(label.values()))
+    clash = spark.createDataFrame([(1, "a b", 5, 6), (2, "a b", 7, 8), (None, "c", 9, 0)], "doc_id long, text string, __id int, __n int")
+    assert sorted(tuple(r)[2:] for r in simhash.representatives(clash).collect()) == [(5, 6), (9, 0)]
 
 
 def test_vantage_trees_lose_no_pair():
