@@ -50,12 +50,12 @@ LOOSE = {
         r"(?<![0-9+])(?:\([0-9]{2,4}\)\s?|0[0-9]{1,4}[ ./-]|[0-9]{3}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])"
     ),
 }
-#: What a text must hold for a loose pattern to be worth trying.
+#: What every match of a loose pattern holds: texts without it need no try, and no match is missed.
 _HINT = {
-    "email": re.compile(r"@\s|\s@|[\[({]\s?at\s?[\])}]", re.IGNORECASE),
+    "email": re.compile(r"@|[\[({]\s?at\s?[\])}]", re.IGNORECASE),
     "ip": re.compile(r"[0-9A-Fa-f]:[0-9A-Fa-f]{1,4}:"),
     "card": re.compile(r"[0-9]{4}[ ./_-]{1,2}[0-9]{4}[ ./_-]{1,2}[0-9]{4}"),
-    "phone": re.compile(r"[0-9]\)?[ ./-][0-9]{3,4}[ .-][0-9]{3,4}"),
+    "phone": re.compile(r"[0-9](?:\)\s?|[ ./-])[0-9]{3,4}[ .-][0-9]{3,4}"),
 }
 
 # Gazetteers (fixed values).
