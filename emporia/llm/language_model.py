@@ -42,8 +42,6 @@ BLOCK_BYTES = 14 << 20
 BUCKET_TOKENS = 1_000_000
 #: Occurrences of a context that one bucket holds.
 HOT_CONTEXT = 500_000
-#: Bits of a word's key; 0 is the end of a document.
-KEY_BITS = 40
 #: Gibbs: sweeps, of which the first are not averaged, and customers of a dish that get up in a sweep.
 SWEEPS, BURN, MOVES = 4, 1, 6
 SEED = 11
@@ -64,12 +62,10 @@ _ANSWER = "key long, bucket long, data binary, total double, distinct double"
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
-    """Arrays in one compressed value; 64-bit keys take five bytes each."""
+    """Arrays in one compressed value."""
     parts = []
     for a in arrays:
         kind = a.dtype.str
-        if a.dtype == np.uint64:
-            kind, a = "<k5", np.ascontiguousarray(a.view(np.uint8).reshape(-1, 8)[:, :5])
         data = a.tobytes()
         parts.append(kind.encode().ljust(4) + struct.pack("<Q", len(data)) + data)
     return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
@@ -80,13 +76,8 @@ def _unpack(data: bytes) -> list[np.ndarray]:
     while at < len(raw):
         kind, size = raw[at : at + 4].decode().strip(), struct.unpack_from("<Q", raw, at + 4)[0]
         at += 12
-        if kind == "<k5":
-            wide = np.zeros((size // 5, 8), np.uint8)
-            wide[:, :5] = np.frombuffer(raw, np.uint8, size, at).reshape(-1, 5)
-            out.append(wide.reshape(-1).view(np.uint64))
-        else:
-            dtype = np.dtype(kind)
-            out.append(np.frombuffer(raw, dtype, size // dtype.itemsize, at))
+        dtype = np.dtype(kind)
+        out.append(np.frombuffer(raw, dtype, size // dtype.itemsize, at))
         at += size
     return out
 
@@ -103,7 +94,8 @@ class _Words(dict):
 
 
 def _key(word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word, SEED) % ((1 << KEY_BITS) - 1) + 1
+    """All 64 bits of the word's hash; 0 is the end of a document."""
+    return xxhash.xxh64_intdigest(word, SEED) or 1
 
 
 def encode(docs: DataFrame, path: str, id_col: str, text_col: str, learn: Column) -> DataFrame:

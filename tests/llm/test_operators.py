@@ -318,6 +318,14 @@ def test_language_model_is_a_distribution(spark):
     assert language_model.score(_empty(spark)).count() == 0
 
 
+def test_words_of_equal_low_bits_stay_apart(spark):
+    """These two words' hashes agree modulo 2^40 - 1."""
+    docs = spark.createDataFrame([(0, "w806203 w806203"), (1, "w1246642")], "doc_id long, text string")
+    got = {r.doc_id: r for r in language_model.score(docs, neighbours.F.col("doc_id") == 0).collect()}
+    assert got[1].n_known == 1 and got[0].n_known == 3
+    assert got[1].base_score == pytest.approx(np.log10(0.1 / 3.3) + np.log10(1.1 / 3.3))
+
+
 def test_seating_keeps_its_books():
     count = np.array([1, 2, 5, 40, 0, 300])
     place = np.array([0, 0, 1, 1, 1, 0])
