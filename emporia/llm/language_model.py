@@ -5,8 +5,13 @@ tokens that follow it, its dishes their words.  A new table in it sends one
 customer to the parent restaurant, which all contexts share and whose own base
 is uniform.  Seatings are sampled by Gibbs: a customer gets up and sits down
 again at an old table, by its size less the discount, or at a new one, by the
-strength and the parent's probability of the dish.  Averages over the sweeps
-give the predictive probabilities.
+strength and the parent's probability of the dish.  A sweep does so for all
+customers of a dish at once: given a gamma variable per restaurant the dishes'
+numbers of tables are independent, and each is drawn from its distribution
+given the dish's count, so a dish takes the same room however often it occurs.
+The levels are sampled in turn: the contexts with the smoothed unigram as base,
+the parent, and both again with the parent's predictive probabilities as base.
+Averages over the sweeps give the predictive probabilities.
 
 Documents are encoded once, in blocks of bounded size that are files in the
 shared folder.  What the corpus knows about a block's words and word pairs is
@@ -24,6 +29,7 @@ import io
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -42,8 +48,12 @@ BLOCK_BYTES = 14 << 20
 BUCKET_TOKENS = 1_000_000
 #: Occurrences of a context that one bucket holds.
 HOT_CONTEXT = 500_000
-#: Gibbs: sweeps, of which the first are not averaged, and customers of a dish that get up in a sweep.
-SWEEPS, BURN, MOVES = 4, 1, 6
+#: Gibbs: sweeps over all customers, of which the first are not averaged.
+SWEEPS, BURN = 4, 1
+#: Customers of a dish up to which its tables are drawn from tabled numbers, and of more the tries in a sweep.
+TABLED, TRIES = 256, 4
+#: Entries of the distributions drawn from at once.
+DRAWN = 1 << 19
 SEED = 11
 
 
@@ -221,93 +231,191 @@ def _send(blocks: DataFrame, fn) -> DataFrame:
 # ------------------------------------------------------------------- seating
 
 
+def _log_gamma(x: np.ndarray) -> np.ndarray:
+    """Of numbers from 1 on: Stirling's series, eight steps up."""
+    z = x + 8.0
+    series = (z - 0.5) * np.log(z) - z + 0.5 * np.log(2 * np.pi) + 1 / (12 * z) - 1 / (360 * z**3) + 1 / (1260 * z**5)
+    return series - np.log(x * (x + 1) * (x + 2) * (x + 3) * (x + 4) * (x + 5) * (x + 6) * (x + 7))
+
+
+@lru_cache(maxsize=4)
+def _tabled(d: float) -> np.ndarray:
+    """Logs of the ways, weighted by ``d``, to seat c customers at t tables, for c and t up to TABLED."""
+    ways = np.full((TABLED + 1, TABLED + 1), -np.inf)
+    ways[0, 0], t = 0.0, np.arange(TABLED + 1)
+    with np.errstate(divide="ignore"):
+        for c in range(TABLED):
+            stay = ways[c] + np.log(np.maximum(c - d * t, 0))
+            ways[c + 1, 1:] = np.logaddexp(ways[c, :-1], stay[1:])
+    return ways
+
+
+def _saddle(c: np.ndarray, t: np.ndarray, d: float) -> np.ndarray:
+    """The same by a saddle point of (1 - (1 - z)^d)^t / z^c, for 1 <= t < c."""
+    ratio, low, high = np.log(c / t), np.full(c.shape, -40.0), np.full(c.shape, np.log(300.0))
+    for _ in range(45):  # q = -log(1 - z), halved in its log
+        mid = (low + high) / 2
+        q = np.exp(mid)
+        up = np.log(d) + np.log(-np.expm1(-q)) + (1 - d) * q - np.log(-np.expm1(-d * q)) < ratio
+        low, high = np.where(up, mid, low), np.where(up, high, mid)
+    q = np.exp((low + high) / 2)
+    z, g, h = -np.expm1(-q), -np.expm1(-d * q), c / t
+    spread_ = t * h * np.maximum(1 + (1 - d) * z * np.exp(q) - h, 1e-300)
+    left = c - t
+    stirling = _log_gamma(left + 1) - (left * np.log(left) - left + 0.5 * np.log(2 * np.pi * left))
+    return (
+        _log_gamma(c + 1) - _log_gamma(t + 1) + t * (np.log(g) - np.log(d)) - c * np.log(z)
+        - 0.5 * np.log(2 * np.pi * spread_) - stirling
+    )
+
+
+@lru_cache(maxsize=4)
+def _saddle_errors(d: float) -> tuple[np.ndarray, np.ndarray]:
+    """What the saddle point misses at TABLED customers, by log t / c^d: the same for more customers."""
+    t = np.arange(1.0, TABLED)
+    c = np.full(len(t), float(TABLED))
+    return np.log(t) - d * np.log(c), _tabled(d)[TABLED, 1:TABLED] - _saddle(c, t, d)
+
+
+def log_ways(c: np.ndarray, t: np.ndarray, d: float) -> np.ndarray:
+    """Logs of the ways, weighted by ``d``, to seat more than TABLED customers at t tables."""
+    c, t = np.asarray(c, float), np.asarray(t, float)
+    known, missed = _saddle_errors(d)
+    at = np.log(t) - d * np.log(c)
+    inner = np.minimum(t, c - 1)
+    out = _saddle(c, inner, d) + np.interp(at, known, missed)
+    out += np.maximum(known[0] - at, 0) * (d - 0.5) / (1 - d)
+    return np.where(t == c, 0.0, out)
+
+
 class Seating:
-    """Chinese-restaurant seating of many dishes at once.
+    """Chinese-restaurant seating of many dishes at once, as tables per dish.
 
     ``count`` customers eat each dish, in restaurant ``place``, whose parent
-    gives the dish probability ``base``.  All dishes move one customer at a
-    time side by side, against the table counts of the step before.  ``scale``
-    is what a restaurant's table count here stands for, if only part of it is.
+    gives the dish probability ``base``.  ``scale`` is what a restaurant's
+    table count here stands for, if only part of it is; ``start`` are tables it
+    had here before.  Given a gamma variable of a restaurant's tables its dishes
+    are independent: tables t of a dish with c customers have weight
+    S(c, t) (discount variable base)^t, where S are generalised Stirling numbers.
     """
 
     def __init__(
-        self, count: np.ndarray, place: np.ndarray, base: np.ndarray, scale: np.ndarray, law: Restaurant, rng: np.random.Generator
+        self,
+        count: np.ndarray,
+        place: np.ndarray,
+        base: np.ndarray,
+        scale: np.ndarray,
+        law: Restaurant,
+        rng: np.random.Generator,
+        start: np.ndarray | None = None,
     ):
         self.count, self.place, self.base, self.law, self.rng = count, place, base, law, rng
         self.scale = scale
         self.tables = (count > 0).astype(np.int64)
-        self.at_tables = np.bincount(place, self.tables, len(scale))
-        self.open = np.flatnonzero(count > 1)
+        self.at_tables = np.bincount(place, self.tables, len(scale)).astype(float)
+        several = np.flatnonzero(count > 1)
+        self.open = several[np.argsort(count[several], kind="stable")]
         self._seat()
+        if start is not None:
+            self.at_tables = start.astype(float)
 
     def _weight(self, at: np.ndarray) -> np.ndarray:
         """Of a new table for each dish."""
         where = self.place[at]
-        return (self.law.strength + self.law.discount * self.at_tables[where] * self.scale[where]) * self.base[at]
+        return (self.law.strength + self.law.discount * (self.at_tables * self.scale)[where]) * self.base[at]
 
     def _seat(self) -> None:
-        """First seating: expected tables as customers come in doubling groups, sizes at random."""
+        """First tables: those expected as customers come in doubling groups."""
         c = self.count[self.open].astype(float)
         new, t, seen = self._weight(self.open), np.ones(len(c)), np.ones(len(c))
         while len(c) and (seen < c).any():
             group = np.minimum(np.maximum(1, seen // 2), c - seen)
             t += group * (new / (new + np.maximum(seen - self.law.discount * t, 0.05)))
             seen += group
-        t = np.clip(np.floor(t + self.rng.random(len(c))), 1, c).astype(np.int64)
-        self.first = np.concatenate(([0], np.cumsum(self.count[self.open])))
-        total = int(self.first[-1])
-        dish = np.repeat(np.arange(len(self.open)), self.count[self.open])
-        rank = np.arange(total) - self.first[dish]
-        # every table gets one customer, the others favour the first tables
-        spot = (t[dish] * self.rng.random(total) ** 2).astype(np.int64)
-        self.table = np.where(rank < t[dish], rank, spot)
-        self.size = np.bincount(self.first[dish] + self.table, minlength=total)
-        self.tables[self.open] = t
+        self._put(np.clip(np.floor(t + self.rng.random(len(c))), 1, c).astype(np.int64))
+
+    def _put(self, tables: np.ndarray) -> None:
+        self.tables[self.open] = tables
         self.at_tables = np.bincount(self.place, self.tables, len(self.scale)).astype(float)
 
-    def _step(self, open_: np.ndarray) -> None:
-        """One customer of each of these dishes gets up and sits down again."""
-        rng, d = self.rng, self.law.discount
-        at = self.open[open_]
-        c, first = self.count[at], self.first[open_]
-        who = first + (rng.random(len(at)) * c).astype(np.int64)
-        old = first + self.table[who]
-        self.size[old] -= 1
-        left = self.size[old] == 0
-        self.tables[at] -= left
-        old_weight = np.maximum(c - 1 - d * self.tables[at], 0)
-        new_weight = self._weight(at)
-        fresh = rng.random(len(at)) * (old_weight + new_weight) < new_weight
-        fresh |= self.tables[at] == 0
-        # an old table: that of another customer, kept with chance 1 - d / its size
-        todo = np.flatnonzero(~fresh)
-        while len(todo):
-            other = first[todo] + (rng.random(len(todo)) * c[todo]).astype(np.int64)
-            spot = self.table[other]
-            size = self.size[first[todo] + spot]
-            good = (other != who[todo]) & (rng.random(len(todo)) * size < size - d)
-            self.table[who[todo[good]]] = spot[good]
-            todo = todo[~good]
-        # a new table: any free number of the dish
-        todo = np.flatnonzero(fresh)
-        while len(todo):
-            spot = (rng.random(len(todo)) * c[todo]).astype(np.int64)
-            good = self.size[first[todo] + spot] == 0
-            self.table[who[todo[good]]] = spot[good]
-            todo = todo[~good]
-        self.size[first + self.table[who]] += 1
-        self.tables[at] += fresh
-        np.add.at(self.at_tables, self.place[at], fresh.astype(float) - left)
+    def _sweep(self) -> None:
+        """All customers of all dishes get up and sit down again."""
+        d = self.law.discount
+        drawn = self.rng.gamma(self.law.strength / d + self.at_tables * self.scale)
+        at = self.open
+        c, x = self.count[at], d * drawn[self.place[at]] * self.base[at]
+        tables = self.tables[at]
+        few = int(np.searchsorted(c, TABLED, "right"))
+        edges = np.flatnonzero(np.diff(c[:few], prepend=0))
+        for low, high in zip(edges, np.append(edges[1:], few)):
+            n = int(c[low])
+            ways, step = _tabled(d)[n, 1 : n + 1], max(1, DRAWN // n)
+            for a in range(int(low), int(high), step):
+                b = min(a + step, int(high))
+                weight = ways + np.log(x[a:b])[:, None] * np.arange(1, n + 1)
+                weight = np.exp(weight - weight.max(1, keepdims=True)).cumsum(1)
+                tables[a:b] = 1 + (weight[:, :-1] < (self.rng.random(b - a) * weight[:, -1])[:, None]).sum(1)
+        if few < len(c):
+            tables[few:] = self._many(c[few:].astype(float), x[few:], tables[few:])
+        self._put(tables)
+
+    def _many(self, c: np.ndarray, x: np.ndarray, tables: np.ndarray) -> np.ndarray:
+        """Tables of frequent dishes: proposals around the mode, taken or not by Metropolis and Hastings."""
+        d, rng = self.law.discount, self.rng
+        low, high = np.full(len(c), -40.0), np.full(len(c), np.log(300.0))
+        for _ in range(45):  # x z (1 - z)^(d - 1) = c at the mode, q = -log(1 - z)
+            mid = (low + high) / 2
+            q = np.exp(mid)
+            up = np.log(x) + np.log(-np.expm1(-q)) + (1 - d) * q < np.log(c)
+            low, high = np.where(up, mid, low), np.where(up, high, mid)
+        q = np.exp((low + high) / 2)
+        centre = np.maximum(x / d * -np.expm1(-d * q), 1e-3)
+        h = c / centre
+        narrow = 1 / centre + h / np.maximum(centre * (1 + (1 - d) * -np.expm1(-q) * np.exp(q) - h), 1e-9)
+        centre = np.clip(centre + 0.5, 1, c)
+        width = 0.6 * np.sqrt(1 / narrow) + 0.3
+
+        def below(t: np.ndarray) -> np.ndarray:
+            return 1 / (1 + np.exp(np.clip((centre - t) / width, -700, 700)))
+
+        def proposed(t: np.ndarray) -> np.ndarray:
+            side = np.abs(t - centre)  # the same by symmetry, and no difference of two ones
+            e = np.exp(-np.minimum(side / width, 600))
+            up, down = np.exp(0.5 / width), np.exp(-0.5 / width)
+            return np.log(e) + np.log(up - down) - np.log1p(e * up) - np.log1p(e * down)
+
+        t = tables.astype(float)
+        held = log_ways(c, t, d) + t * np.log(x) - proposed(t)
+        floor, roof = below(np.full(len(c), 0.5)), below(c + 0.5)
+        for _ in range(TRIES):
+            u = np.clip(floor + (roof - floor) * rng.random(len(c)), 1e-300, 1 - 1e-16)
+            new = np.clip(np.rint(centre + width * np.log(u / (1 - u))), 1, c)
+            found = log_ways(c, new, d) + new * np.log(x) - proposed(new)
+            better = np.log(rng.random(len(c))) < found - held
+            t, held = np.where(better, new, t), np.where(better, found, held)
+        return t.astype(np.int64)
+
+    @property
+    def first(self) -> np.ndarray:
+        """Where each open dish's tables begin in ``size``."""
+        return np.concatenate(([0], np.cumsum(self.tables[self.open])))
+
+    @property
+    def size(self) -> np.ndarray:
+        """Customers at each table of the open dishes: one each, the others as they would choose, by size less the discount."""
+        out = []
+        for c, t in zip(self.count[self.open], self.tables[self.open]):
+            size = np.ones(t, np.int64)
+            for _ in range(c - t):
+                size[np.searchsorted(np.cumsum(size - self.law.discount), self.rng.random() * (size.sum() - t * self.law.discount))] += 1
+            out.append(size)
+        return np.concatenate(out) if out else np.zeros(0, np.int64)
 
     def run(self) -> np.ndarray:
         """Each dish's tables, averaged over the sweeps after the first."""
         total, used = np.zeros(len(self.count)), 0
-        order = np.argsort(-self.count[self.open], kind="stable")
-        count = self.count[self.open][order]
         for sweep in range(SWEEPS):
-            for move in range(MOVES):
-                # dishes with fewer customers than moves sit out the rest of the sweep
-                self._step(order[: int(np.searchsorted(-count, -move, "left"))])
+            self._sweep()
             if sweep >= BURN:
                 total += self.tables
                 used += 1
@@ -327,67 +435,140 @@ def _answer_words(key: int, asked: list[tuple[int, np.ndarray, np.ndarray]]) ->
     return pd.DataFrame(rows, columns=["key", "bucket", "data", "total", "distinct"])
 
 
-def _answer_pairs(key: int, asked: list[tuple[int, list[np.ndarray]]], buckets: int) -> pd.DataFrame:
-    """Seats the contexts of a bucket.
-
-    Each block gets, in the order it asked, a pair's count less its discounts;
-    word buckets (negative keys) get the tables of each dish and each context.
-    """
+def _merge_pairs(asked: list[tuple[int, list[np.ndarray]]]) -> dict[str, np.ndarray]:
+    """A bucket's distinct pairs over all blocks, and where those of each block are, in the order it asked."""
+    word = np.concatenate([a[3][a[5]] for _, a in asked])
     context = np.concatenate([np.repeat(a[0], a[1]) for _, a in asked])
-    word = np.concatenate([a[3] for _, a in asked])
     order = np.lexsort((word, context))
     new = np.concatenate(([True], (np.diff(context[order]) != 0) | (np.diff(word[order]) != 0)))
     which = np.empty(len(order), np.int64)
     which[order] = np.cumsum(new) - 1
     firsts = order[new]
-    size = len(firsts)
-    count = np.bincount(which, np.concatenate([a[4] for _, a in asked]), size).astype(np.int64)
-    base = np.exp(np.concatenate([a[5] for _, a in asked])[firsts].astype(float))
+    count = np.bincount(which, np.concatenate([a[6] for _, a in asked]), len(firsts)).astype(np.int64)
+    base = np.concatenate([a[4][a[5]] for _, a in asked])[firsts]
     contexts, place = np.unique(context[firsts], return_inverse=True)
-    whole = np.zeros(len(contexts))
+    dishes, dish = np.unique(word[firsts], return_inverse=True)
+    whole = np.zeros(len(contexts), np.int64)
     for _, a in asked:
         whole[np.searchsorted(contexts, a[0])] = a[2]
-    here = np.bincount(place, count, len(contexts))
-    scale = np.maximum(1.0, whole / np.maximum(here, 1.0))
-    tables = Seating(count, place, base, scale, CONTEXT, np.random.default_rng((SEED, key))).run()
-    kept = (count - CONTEXT.discount * tables).astype(np.float32)
-    ends = np.cumsum([len(a[3]) for _, a in asked])[:-1]
-    rows = [(source, key, _pack(kept[part]), 0.0, 0.0) for (source, _), part in zip(asked, np.split(which, ends))]
-    dishes, dish = np.unique(word[firsts], return_inverse=True)
+    return {
+        "source": np.array([s for s, _ in asked], np.int64),
+        "rows": np.array([len(a[5]) for _, a in asked], np.int64),
+        "which": np.diff(which, prepend=0).astype(np.int32),  # a block's ascend, so steps are small
+        "count": count, "place": place.astype(np.int32), "dish": dish.astype(np.int32), "base": base,
+        "contexts": contexts, "dishes": dishes, "whole": whole,
+    }
+
+
+def _tell(key: int, got: dict[str, np.ndarray], tables: np.ndarray, buckets: int) -> list[tuple]:
+    """Messages to the word buckets: the tables of each dish and each context."""
+    dishes, contexts = got["dishes"], got["contexts"]
     both = np.unique(np.concatenate([dishes, contexts]))
     as_dish, as_context = np.zeros(len(both)), np.zeros(len(both))
-    as_dish[np.searchsorted(both, dishes)] = np.bincount(dish, tables, len(dishes))
-    as_context[np.searchsorted(both, contexts)] = np.bincount(place, tables, len(contexts))
+    as_dish[np.searchsorted(both, dishes)] = np.bincount(got["dish"], tables, len(dishes))
+    as_context[np.searchsorted(both, contexts)] = np.bincount(got["place"], tables, len(contexts))
     used = (as_dish > 0) | (as_context > 0)
     both, as_dish, as_context = both[used], as_dish[used], as_context[used]
+    rows = []
     for bucket, at in _by_bucket((spread(both) % np.uint64(buckets)).astype(np.int64), both):
         data = _pack(both[at], as_dish[at].astype(np.float32), as_context[at].astype(np.float32))
         rows.append((-1 - bucket, key, data, 0.0, 0.0))
+    return rows
+
+
+def _seat_pairs(key: int, asked: list[tuple[int, list[np.ndarray]]], buckets: int, folder: str) -> pd.DataFrame:
+    """Seats the contexts of a bucket for the first time, and keeps the bucket in a file.
+
+    Word buckets (negative keys) get the tables of each dish and each context.
+    """
+    from pyspark import TaskContext
+
+    got = _merge_pairs(asked)
+    here = np.bincount(got["place"], got["count"], len(got["contexts"]))
+    scale = np.maximum(1.0, got["whole"] / np.maximum(here, 1.0))
+    rng = np.random.default_rng((SEED, key))
+    tables = Seating(got["count"], got["place"], got["base"].astype(float), scale, CONTEXT, rng).run()
+    out = io.BytesIO()
+    at_tables = np.bincount(got["place"], tables, len(got["contexts"]))
+    np.savez(out, **{**got, "count": got["count"].astype(_narrow(got["count"]))}, at_tables=at_tables.astype(np.float32))
+    data = zstandard.ZstdCompressor(level=3).compress(out.getvalue())
+    publish(_pairs_file(folder, key), TaskContext.get().taskAttemptId(), lambda f: f.write(data))
+    rows = _tell(key, got, tables, buckets)
+    rows.append((key, -1, _pack(), 0.0, 0.0))
+    return pd.DataFrame(rows, columns=["key", "bucket", "data", "total", "distinct"])
+
+
+def _narrow(counts: np.ndarray) -> type:
+    return np.int32 if counts.max(initial=0) < 2**31 else np.int64
+
+
+def _pairs_file(folder: str, key: int) -> str:
+    return f"{folder}/pairs-{key:015d}.bin"
+
+
+def _answer_pairs(
+    key: int, replies: list[tuple[int, list[np.ndarray]]], buckets: int, folder: str, parent: tuple[float, float, float]
+) -> pd.DataFrame:
+    """Seats the contexts of a bucket again, with the parent's predictive probabilities as base.
+
+    Each block gets, in the order it asked, a pair's count less its discounts;
+    word buckets (negative keys) get the tables of each dish and each context.
+    ``parent``: its customers, its tables and the uniform base.
+    """
+    store, name = open_store(_pairs_file(folder, key))
+    with store.open_input_stream(name) as f:
+        got = dict(np.load(io.BytesIO(zstandard.ZstdDecompressor().decompress(f.read()))))
+    count, place = got["count"].astype(np.int64), got["place"].astype(np.int64)
+    customers, parent_tables, uniform = parent
+    back = (PARENT.strength + PARENT.discount * parent_tables) * uniform
+    base = np.full(len(got["dishes"]), back / (PARENT.strength + customers))  # of words without customers
+    for source, reply in replies:
+        if source < 0:
+            continue
+        words, kept, _ = reply
+        at = np.minimum(np.searchsorted(got["dishes"], words), len(got["dishes"]) - 1)
+        mine = got["dishes"][at] == words
+        base[at[mine]] = ((kept + back) / (PARENT.strength + customers))[mine]
+    here = np.bincount(place, count, len(got["contexts"]))
+    scale = np.maximum(1.0, got["whole"] / np.maximum(here, 1.0))
+    rng = np.random.default_rng((SEED, key, 2))
+    tables = Seating(count, place, base[got["dish"]], scale, CONTEXT, rng, start=got["at_tables"]).run()
+    kept = (count - CONTEXT.discount * tables).astype(np.float32)
+    which = np.cumsum(got["which"], dtype=np.int64)
+    parts = np.split(which, np.cumsum(got["rows"])[:-1])
+    rows = [(int(source), key, _pack(kept[part]), 0.0, 0.0) for source, part in zip(got["source"], parts)]
+    rows += _tell(key, got, tables, buckets)
     return pd.DataFrame(rows, columns=["key", "bucket", "data", "total", "distinct"])
 
 
 def _answer_parent(
-    key: int, asked: list[tuple[int, np.ndarray]], told: list[list[np.ndarray]], uniform: float, buckets: int
+    key: int, asked: list[tuple[int, np.ndarray]], told: list[tuple[int, list[np.ndarray]]], uniform: float, buckets: int, reply: bool
 ) -> pd.DataFrame:
-    """Seats the parent's dishes of a bucket; each block gets count less discounts, and its contexts' tables."""
-    words, which = np.unique(np.concatenate([w for _, w in asked]), return_inverse=True)
+    """Seats the parent's dishes of a bucket; each block gets count less discounts, and its contexts' tables.
+
+    With ``reply`` each pair bucket gets the same of the words it told of.
+    """
+    words, which = np.unique(np.concatenate([w for _, w in asked] + [a[0] for _, a in told]), return_inverse=True)
     customers, as_context = np.zeros(len(words)), np.zeros(len(words))
-    for w, dish, context in told:  # every word told of was asked for by the block it comes from
+    for _, (w, dish, context) in told:
         at = np.searchsorted(words, w)
         customers[at] += dish
         as_context[at] += context
     count = np.rint(customers).astype(np.int64)
     seating = Seating(
         count, np.zeros(len(count), np.int64), np.full(len(count), uniform), np.array([float(buckets)]), PARENT,
-        np.random.default_rng((SEED, key, 1)),
+        np.random.default_rng((SEED, key, 3 if reply else 1)),
     )
     tables = seating.run()
-    kept = (count - PARENT.discount * tables).astype(np.float32)
-    ends = np.cumsum([len(w) for _, w in asked])[:-1]
-    rows = [
-        (source, key, _pack(kept[part], as_context[part].astype(np.float32)), 0.0, 0.0)
-        for (source, _), part in zip(asked, np.split(which, ends))
-    ]
+    kept, as_context = (count - PARENT.discount * tables).astype(np.float32), as_context.astype(np.float32)
+    sizes = [len(w) for _, w in asked] + [len(a[0]) for _, a in told]
+    parts = np.split(which, np.cumsum(sizes)[:-1])
+    rows = [(source, key, _pack(kept[part], as_context[part]), 0.0, 0.0) for (source, _), part in zip(asked, parts)]
+    if reply:
+        rows += [
+            (-1 - source, key, _pack(w, kept[part], as_context[part]), 0.0, 0.0)
+            for (source, (w, _, _)), part in zip(told, parts[len(asked) :])
+        ]
     rows.append((-1, key, b"", float(count.sum()), float(tables.sum())))
     return pd.DataFrame(rows, columns=["key", "bucket", "data", "total", "distinct"])
 
@@ -453,31 +634,43 @@ def score(
         block = Block(rows["path"].iloc[0])
         counts = known_words(rows, block)
         context, word, n, _ = block.pairs()
-        log_base = np.log((counts + 0.1) / floor).astype(np.float16)
+        base = ((counts + 0.1) / floor).astype(np.float32)
         out = []
         for bucket, at in _by_bucket(
             _pair_buckets(block.words, counts, context, word, buckets), block.words[context], block.words[word]
         ):
             own, lengths = np.unique(context[at], return_counts=True)  # words are sorted, so numbers sort like keys
+            dishes, dish = np.unique(word[at], return_inverse=True)
+            index = dish.astype(np.uint16 if len(dishes) <= 1 << 16 else np.uint32)
             data = _pack(
-                block.words[own], lengths.astype(np.int32), counts[own], block.words[word[at]], n[at].astype(np.int32), log_base[word[at]]
+                block.words[own], lengths.astype(np.int32), counts[own], block.words[dishes], base[dishes], index, n[at].astype(np.int32)
             )
             out.append((bucket, int(rows["key"].iloc[0]), data))
         return pd.DataFrame(out, columns=list(types))
 
     located = blocks.select(F.col("block").alias("key"), "path")
     asked = seen.filter("key >= 0").join(located, "key").groupBy("key").applyInPandas(ask_pairs, _MESSAGE)
-    pairs = _groups(asked, lambda key, got: _answer_pairs(key, got, buckets))
+    folder = fresh_dir(spark, "lm-pair-files")
+    first = _groups(asked, lambda key, got: _seat_pairs(key, got, buckets, folder))
+    uniform = 1.0 / (distinct + 1)
+
+    def told(answers: DataFrame) -> DataFrame:
+        return answers.filter("key < 0").select((-1 - F.col("key")).alias("key"), (-1 - F.col("bucket")).alias("source"), "data")
+
+    replies = _groups(told(first), lambda key, got: _answer_parent(key, [], got, uniform, buckets, True))
+    before = (*_totals(replies), uniform)
+    # every pair bucket has a row of its own, whether or not a word bucket replies
+    replied = first.unionByName(replies).filter("key >= 0").select("key", F.col("bucket").alias("source"), "data")
+    pairs = _groups(replied, lambda key, got: _answer_pairs(key, got, buckets, folder, before))
 
     def ask_parent(_, block: Block):
         for bucket, at in _by_bucket(block.word_buckets(buckets), block.words):
             yield bucket, _pack(block.words[at])
 
-    told = pairs.filter("key < 0").select((-1 - F.col("key")).alias("key"), (-1 - F.col("bucket")).alias("source"), "data")
     parent = _groups(
-        _send(blocks, ask_parent).unionByName(told),
+        _send(blocks, ask_parent).unionByName(told(pairs)),
         lambda key, got: _answer_parent(
-            key, [(s, a[0]) for s, a in got if s >= 0], [a for s, a in got if s < 0], 1.0 / (distinct + 1), buckets
+            key, [(s, a[0]) for s, a in got if s >= 0], [(s, a) for s, a in got if s < 0], uniform, buckets, False
         ),
     )
     customers, tables = _totals(parent)
@@ -490,7 +683,7 @@ def score(
         got = dict(zip(parts["parent"]["bucket"], parts["parent"]["data"]))
         for bucket, at in _by_bucket(block.word_buckets(buckets), block.words):
             kept[at], as_context[at] = _unpack(got[bucket])
-        back = (PARENT.strength + PARENT.discount * tables) / (distinct + 1)
+        back = (PARENT.strength + PARENT.discount * tables) * uniform
         parent_p = (kept + back) / (PARENT.strength + customers)
         context, word, _, which = block.pairs()
         own = np.zeros(len(context))

@@ -340,6 +340,53 @@ def test_seating_keeps_its_books():
     assert mean[0] == 1 and mean[4] == 0 and 1 <= mean[1] <= 2 and 1 < mean[5] < 300
 
 
+def test_sweeps_draw_from_the_posterior():
+    """Frequent dishes too: mean tables of many equal restaurants against every pair of table counts, weighed."""
+    law, n, c, base = language_model.CONTEXT, 600, (300, 40), (0.02, 0.3)
+    d, many = law.discount, 300
+    ways = np.full((many + 1, many + 1), -np.inf)
+    ways[0, 0] = 0
+    with np.errstate(divide="ignore"):
+        for i in range(many):
+            ways[i + 1, 1:] = np.logaddexp(ways[i, :-1], (ways[i] + np.log(np.maximum(i - d * np.arange(many + 1), 0)))[1:])
+    t, u = np.meshgrid(np.arange(1, c[0] + 1), np.arange(1, c[1] + 1), indexing="ij")
+    rising = np.concatenate(([0.0], np.cumsum(np.log(law.strength + d * np.arange(sum(c))))))
+    weight = ways[c[0], t] + ways[c[1], u] + t * np.log(base[0]) + u * np.log(base[1]) + rising[t + u]
+    weight = np.exp(weight - weight.max())
+    expected = [(t * weight).sum() / weight.sum(), (u * weight).sum() / weight.sum()]
+    place = np.repeat(np.arange(n), 2)
+    seats = language_model.Seating(np.tile(c, n), place, np.tile(base, n), np.ones(n), law, np.random.default_rng(4))
+    for _ in range(4):
+        mean = seats.run().reshape(n, 2).mean(0)
+    assert mean == pytest.approx(expected, rel=0.02)
+
+
+def _kept(tmp_path, parent_kept, as_context, whole=30, count=20):
+    """What a pair bucket of one context, 1, with the dishes 2 and 3 keeps in its second pass."""
+    import io
+
+    import zstandard
+
+    keys, counts = [np.array(k, np.uint64) for k in ([1], [2, 3])], np.array([count, 10], np.int32)
+    one = [
+        keys[0], np.array([2], np.int32), np.array([whole]), keys[1], np.array([0.1, 0.1], np.float32), np.array([0, 1], np.uint16), counts,
+    ]
+    got = language_model._merge_pairs([(7, one)])
+    out = io.BytesIO()
+    np.savez(out, **got, at_tables=np.array([8.0], np.float32))
+    with open(language_model._pairs_file(str(tmp_path), 5), "wb") as f:
+        f.write(zstandard.ZstdCompressor().compress(out.getvalue()))
+    reply = [np.array([1, 2, 3], np.uint64), np.array([0, *parent_kept], np.float32), np.array([as_context, 0, 0], np.float32)]
+    rows = language_model._answer_pairs(5, [(-1, []), (0, reply)], 1, str(tmp_path), (1000.0, 400.0, 1e-3))
+    (row,) = [r for r in rows.itertuples() if r.key == 7]
+    return language_model._unpack(row.data)[0]
+
+
+def test_second_pass_takes_the_parent_as_base(tmp_path):
+    kept = _kept(tmp_path, [0, 500], 8)
+    assert kept[0] > 20 - 0.75 * 3 and kept[1] < 10 - 0.75 * 3
+
+
 def test_crc_is_unsigned():
     from emporia.llm.common import crc32
 
