@@ -20,7 +20,7 @@ by hash; a bucket sees all counts of its keys, samples their seating, and
 answers each block in the order asked.  No text is shuffled and nothing the size
 of the vocabulary is gathered.  A frequent context is dealt over several
 buckets by its followers; each samples with the context's table count scaled
-from its own part.
+from its own part at first, then with what the other parts had.
 """
 
 from __future__ import annotations
@@ -293,10 +293,11 @@ class Seating:
 
     ``count`` customers eat each dish, in restaurant ``place``, whose parent
     gives the dish probability ``base``.  ``scale`` is what a restaurant's
-    table count here stands for, if only part of it is; ``start`` are tables it
-    had here before.  Given a gamma variable of a restaurant's tables its dishes
-    are independent: tables t of a dish with c customers have weight
-    S(c, t) (discount variable base)^t, where S are generalised Stirling numbers.
+    table count here stands for, if only part of it is; ``other`` are tables it
+    is known to have elsewhere, ``start`` those it had here before.  Given a
+    gamma variable of a restaurant's tables its dishes are independent: tables t
+    of a dish with c customers have weight S(c, t) (discount variable base)^t,
+    where S are generalised Stirling numbers.
     """
 
     def __init__(
@@ -307,10 +308,12 @@ class Seating:
         scale: np.ndarray,
         law: Restaurant,
         rng: np.random.Generator,
+        other: np.ndarray | None = None,
         start: np.ndarray | None = None,
     ):
         self.count, self.place, self.base, self.law, self.rng = count, place, base, law, rng
         self.scale = scale
+        self.other = np.zeros(len(scale)) if other is None else other
         self.tables = (count > 0).astype(np.int64)
         self.at_tables = np.bincount(place, self.tables, len(scale)).astype(float)
         several = np.flatnonzero(count > 1)
@@ -322,7 +325,7 @@ class Seating:
     def _weight(self, at: np.ndarray) -> np.ndarray:
         """Of a new table for each dish."""
         where = self.place[at]
-        return (self.law.strength + self.law.discount * (self.at_tables * self.scale)[where]) * self.base[at]
+        return (self.law.strength + self.law.discount * (self.at_tables * self.scale + self.other)[where]) * self.base[at]
 
     def _seat(self) -> None:
         """First tables: those expected as customers come in doubling groups."""
@@ -341,7 +344,7 @@ class Seating:
     def _sweep(self) -> None:
         """All customers of all dishes get up and sit down again."""
         d = self.law.discount
-        drawn = self.rng.gamma(self.law.strength / d + self.at_tables * self.scale)
+        drawn = self.rng.gamma(self.law.strength / d + self.at_tables * self.scale + self.other)
         at = self.open
         c, x = self.count[at], d * drawn[self.place[at]] * self.base[at]
         tables = self.tables[at]
@@ -522,17 +525,22 @@ def _answer_pairs(
     customers, parent_tables, uniform = parent
     back = (PARENT.strength + PARENT.discount * parent_tables) * uniform
     base = np.full(len(got["dishes"]), back / (PARENT.strength + customers))  # of words without customers
+    at_tables, elsewhere = got["at_tables"].astype(float), np.zeros(len(got["contexts"]))
     for source, reply in replies:
         if source < 0:
             continue
-        words, kept, _ = reply
-        at = np.minimum(np.searchsorted(got["dishes"], words), len(got["dishes"]) - 1)
-        mine = got["dishes"][at] == words
-        base[at[mine]] = ((kept + back) / (PARENT.strength + customers))[mine]
-    here = np.bincount(place, count, len(got["contexts"]))
-    scale = np.maximum(1.0, got["whole"] / np.maximum(here, 1.0))
+        words, kept, as_context = reply
+        for keys, into, value in (
+            (got["dishes"], base, (kept + back) / (PARENT.strength + customers)), (got["contexts"], elsewhere, as_context)
+        ):
+            at = np.minimum(np.searchsorted(keys, words), len(keys) - 1)
+            mine = keys[at] == words
+            into[at[mine]] = value[mine]
+    other = np.maximum(elsewhere - at_tables, 0)
+    # float32 sums: a context that is whole here has no tables elsewhere
+    other[np.bincount(place, count, len(other)) >= got["whole"]] = 0
     rng = np.random.default_rng((SEED, key, 2))
-    tables = Seating(count, place, base[got["dish"]], scale, CONTEXT, rng, start=got["at_tables"]).run()
+    tables = Seating(count, place, base[got["dish"]], np.ones(len(other)), CONTEXT, rng, other, at_tables).run()
     kept = (count - CONTEXT.discount * tables).astype(np.float32)
     which = np.cumsum(got["which"], dtype=np.int64)
     parts = np.split(which, np.cumsum(got["rows"])[:-1])

@@ -387,6 +387,27 @@ def test_second_pass_takes_the_parent_as_base(tmp_path):
     assert kept[0] > 20 - 0.75 * 3 and kept[1] < 10 - 0.75 * 3
 
 
+def test_a_hot_pair_takes_no_room():
+    import tracemalloc
+
+    count = np.array([14_000_000, 3, 14_000_000])
+    tracemalloc.start()
+    seats = language_model.Seating(
+        count, np.zeros(3, np.int64), np.array([0.05, 1e-6, 0.9]), np.ones(1), language_model.CONTEXT, np.random.default_rng(1)
+    )
+    mean = seats.run()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20 and 1 < mean[0] < mean[2] < count[2]
+
+
+def test_parts_of_a_hot_context_count_each_others_tables(tmp_path):
+    """A part with few of the context's customers, of which another's hot pair has most."""
+    alone, shared = _kept(tmp_path, [100, 100], 8), _kept(tmp_path, [100, 100], 8, whole=10**9)
+    assert shared == pytest.approx(alone, abs=3)
+    assert _kept(tmp_path, [100, 100], 3000, whole=10**9).sum() < alone.sum()
+
+
 def test_crc_is_unsigned():
     from emporia.llm.common import crc32
 
