@@ -16,7 +16,7 @@ Averages over the sweeps give the predictive probabilities.
 Documents are encoded once, in blocks of bounded size that are files in the
 shared folder.  What the corpus knows about a block's words and word pairs is
 exchanged: a block sends its distinct words, or pairs with counts, to buckets
-by hash; a bucket sees all counts of its keys, samples their seating, and
+by hash; words are numbered by their buckets, and pairs name them by number; a bucket sees all counts of its keys, samples their seating, and
 answers each block in the order asked.  No text is shuffled and nothing the size
 of the vocabulary is gathered.  A frequent context is dealt over several
 buckets by its followers; each samples with the context's table count scaled
@@ -92,6 +92,16 @@ def _unpack(data: bytes) -> list[np.ndarray]:
     return out
 
 
+def _steps(numbers: np.ndarray) -> np.ndarray:
+    """Ascending numbers as differences, which compress well; ``_numbers`` is the way back."""
+    steps = np.diff(numbers, prepend=0)
+    return steps.astype(np.uint32 if steps.max(initial=0) < 1 << 32 else np.uint64)
+
+
+def _numbers(steps: np.ndarray) -> np.ndarray:
+    return np.cumsum(steps, dtype=np.int64)
+
+
 # -------------------------------------------------------------------- blocks
 
 
@@ -429,31 +439,31 @@ class Seating:
 
 
 def _answer_words(key: int, asked: list[tuple[int, np.ndarray, np.ndarray]]) -> pd.DataFrame:
-    """Learned count of each word over all blocks, in the order each block asked."""
+    """Learned count of each word over all blocks, and its rank by key in the bucket, in the order each block asked."""
     words, which = np.unique(np.concatenate([w for _, w, _ in asked]), return_inverse=True)
     seen = np.bincount(which, np.concatenate([n for _, _, n in asked]), len(words)).astype(np.int64)
     ends = np.cumsum([len(w) for _, w, _ in asked])[:-1]
-    rows = [(source, key, _pack(seen[part]), 0.0, 0.0) for (source, _, _), part in zip(asked, np.split(which, ends))]
+    rows = [(source, key, _pack(seen[part], _steps(part)), 0.0, 0.0) for (source, _, _), part in zip(asked, np.split(which, ends))]
     rows.append((-1, key, b"", float(seen.sum()), float((seen > 0).sum())))
     return pd.DataFrame(rows, columns=["key", "bucket", "data", "total", "distinct"])
 
 
 def _merge_pairs(asked: list[tuple[int, list[np.ndarray]]]) -> dict[str, np.ndarray]:
     """A bucket's distinct pairs over all blocks, and where those of each block are, in the order it asked."""
-    word = np.concatenate([a[3][a[5]] for _, a in asked])
-    context = np.concatenate([np.repeat(a[0], a[1]) for _, a in asked])
+    word = np.concatenate([_numbers(a[3])[a[5]] for _, a in asked])
+    context = np.concatenate([np.repeat(_numbers(a[0]), a[1]) for _, a in asked])
     order = np.lexsort((word, context))
     new = np.concatenate(([True], (np.diff(context[order]) != 0) | (np.diff(word[order]) != 0)))
     which = np.empty(len(order), np.int64)
     which[order] = np.cumsum(new) - 1
     firsts = order[new]
     count = np.bincount(which, np.concatenate([a[6] for _, a in asked]), len(firsts)).astype(np.int64)
-    base = np.concatenate([a[4][a[5]] for _, a in asked])[firsts]
+    base = np.exp(np.concatenate([a[4][a[5]] for _, a in asked])[firsts].astype(float))
     contexts, place = np.unique(context[firsts], return_inverse=True)
     dishes, dish = np.unique(word[firsts], return_inverse=True)
     whole = np.zeros(len(contexts), np.int64)
     for _, a in asked:
-        whole[np.searchsorted(contexts, a[0])] = a[2]
+        whole[np.searchsorted(contexts, _numbers(a[0]))] = a[2]
     return {
         "source": np.array([s for s, _ in asked], np.int64),
         "rows": np.array([len(a[5]) for _, a in asked], np.int64),
@@ -473,8 +483,8 @@ def _tell(key: int, got: dict[str, np.ndarray], tables: np.ndarray, buckets: int
     used = (as_dish > 0) | (as_context > 0)
     both, as_dish, as_context = both[used], as_dish[used], as_context[used]
     rows = []
-    for bucket, at in _by_bucket((spread(both) % np.uint64(buckets)).astype(np.int64), both):
-        data = _pack(both[at], as_dish[at].astype(np.float32), as_context[at].astype(np.float32))
+    for bucket, at in _by_bucket(both % buckets, both):
+        data = _pack(_steps(both[at]), as_dish[at].astype(np.float32), as_context[at].astype(np.float32))
         rows.append((-1 - bucket, key, data, 0.0, 0.0))
     return rows
 
@@ -490,19 +500,22 @@ def _seat_pairs(key: int, asked: list[tuple[int, list[np.ndarray]]], buckets: in
     here = np.bincount(got["place"], got["count"], len(got["contexts"]))
     scale = np.maximum(1.0, got["whole"] / np.maximum(here, 1.0))
     rng = np.random.default_rng((SEED, key))
-    tables = Seating(got["count"], got["place"], got["base"].astype(float), scale, CONTEXT, rng).run()
-    out = io.BytesIO()
-    at_tables = np.bincount(got["place"], tables, len(got["contexts"]))
-    np.savez(out, **{**got, "count": got["count"].astype(_narrow(got["count"]))}, at_tables=at_tables.astype(np.float32))
-    data = zstandard.ZstdCompressor(level=3).compress(out.getvalue())
+    tables = Seating(got["count"], got["place"], got["base"], scale, CONTEXT, rng).run()
+    data = _pairs_state(got, np.bincount(got["place"], tables, len(got["contexts"])))
     publish(_pairs_file(folder, key), TaskContext.get().taskAttemptId(), lambda f: f.write(data))
     rows = _tell(key, got, tables, buckets)
     rows.append((key, -1, _pack(), 0.0, 0.0))
     return pd.DataFrame(rows, columns=["key", "bucket", "data", "total", "distinct"])
 
 
-def _narrow(counts: np.ndarray) -> type:
-    return np.int32 if counts.max(initial=0) < 2**31 else np.int64
+def _pairs_state(got: dict[str, np.ndarray], at_tables: np.ndarray) -> bytes:
+    """What the second pass needs of a bucket: all but the first base, and the tables of its contexts."""
+    out = io.BytesIO()
+    small = {k: got[k].astype(np.int32 if got[k].max(initial=0) < 2**31 else np.int64) for k in ("count", "whole")}
+    steps = {k: _steps(got[k]) for k in ("contexts", "dishes")}
+    kept = {k: got[k] for k in ("source", "rows", "which", "dish")}
+    np.savez(out, **small, **steps, **kept, place=_steps(got["place"]), at_tables=at_tables.astype(np.float32))
+    return zstandard.ZstdCompressor(level=3).compress(out.getvalue())
 
 
 def _pairs_file(folder: str, key: int) -> str:
@@ -521,7 +534,8 @@ def _answer_pairs(
     store, name = open_store(_pairs_file(folder, key))
     with store.open_input_stream(name) as f:
         got = dict(np.load(io.BytesIO(zstandard.ZstdDecompressor().decompress(f.read()))))
-    count, place = got["count"].astype(np.int64), got["place"].astype(np.int64)
+    count, place = got["count"].astype(np.int64), _numbers(got["place"])
+    got["contexts"], got["dishes"], got["place"] = _numbers(got["contexts"]), _numbers(got["dishes"]), place
     customers, parent_tables, uniform = parent
     back = (PARENT.strength + PARENT.discount * parent_tables) * uniform
     base = np.full(len(got["dishes"]), back / (PARENT.strength + customers))  # of words without customers
@@ -529,7 +543,7 @@ def _answer_pairs(
     for source, reply in replies:
         if source < 0:
             continue
-        words, kept, as_context = reply
+        words, kept, as_context = _numbers(reply[0]), *reply[1:]
         for keys, into, value in (
             (got["dishes"], base, (kept + back) / (PARENT.strength + customers)), (got["contexts"], elsewhere, as_context)
         ):
@@ -550,32 +564,35 @@ def _answer_pairs(
 
 
 def _answer_parent(
-    key: int, asked: list[tuple[int, np.ndarray]], told: list[tuple[int, list[np.ndarray]]], uniform: float, buckets: int, reply: bool
+    key: int, asked: list[tuple[int, np.ndarray]], told: list[tuple[int, list[np.ndarray]]], uniform: float, buckets: int
 ) -> pd.DataFrame:
     """Seats the parent's dishes of a bucket; each block gets count less discounts, and its contexts' tables.
 
-    With ``reply`` each pair bucket gets the same of the words it told of.
+    If no block asked, each pair bucket gets the same of the words it told of.
     """
-    words, which = np.unique(np.concatenate([w for _, w in asked] + [a[0] for _, a in told]), return_inverse=True)
+    ranks = [_numbers(a[0]) // buckets for _, a in told]
+    if asked:  # all words of the bucket, so their places are the ranks they are told by
+        words, which = np.unique(np.concatenate([w for _, w in asked]), return_inverse=True)
+    else:
+        words, which = np.unique(np.concatenate(ranks), return_inverse=True)
+        ranks = np.split(which, np.cumsum([len(r) for r in ranks])[:-1])
     customers, as_context = np.zeros(len(words)), np.zeros(len(words))
-    for _, (w, dish, context) in told:
-        at = np.searchsorted(words, w)
+    for at, (_, (_, dish, context)) in zip(ranks, told):
         customers[at] += dish
         as_context[at] += context
     count = np.rint(customers).astype(np.int64)
     seating = Seating(
         count, np.zeros(len(count), np.int64), np.full(len(count), uniform), np.array([float(buckets)]), PARENT,
-        np.random.default_rng((SEED, key, 3 if reply else 1)),
+        np.random.default_rng((SEED, key, 1 if asked else 3)),
     )
     tables = seating.run()
     kept, as_context = (count - PARENT.discount * tables).astype(np.float32), as_context.astype(np.float32)
-    sizes = [len(w) for _, w in asked] + [len(a[0]) for _, a in told]
-    parts = np.split(which, np.cumsum(sizes)[:-1])
-    rows = [(source, key, _pack(kept[part], as_context[part]), 0.0, 0.0) for (source, _), part in zip(asked, parts)]
-    if reply:
-        rows += [
-            (-1 - source, key, _pack(w, kept[part], as_context[part]), 0.0, 0.0)
-            for (source, (w, _, _)), part in zip(told, parts[len(asked) :])
+    if asked:
+        parts = np.split(which, np.cumsum([len(w) for _, w in asked])[:-1])
+        rows = [(source, key, _pack(kept[part], as_context[part]), 0.0, 0.0) for (source, _), part in zip(asked, parts)]
+    else:
+        rows = [
+            (-1 - source, key, _pack(w, kept[part], as_context[part]), 0.0, 0.0) for (source, (w, _, _)), part in zip(told, ranks)
         ]
     rows.append((-1, key, b"", float(count.sum()), float(tables.sum())))
     return pd.DataFrame(rows, columns=["key", "bucket", "data", "total", "distinct"])
@@ -630,28 +647,30 @@ def score(
     floor = learned + 0.1 * (distinct + 1)
     types = {"key": pa.int64(), "source": pa.int64(), "data": pa.binary()}
 
-    def known_words(rows: pd.DataFrame, block: Block) -> np.ndarray:
-        """The words' counts over all blocks, put back in the block's order."""
-        out = np.zeros(len(block.words), np.int64)
+    def known_words(rows: pd.DataFrame, block: Block) -> tuple[np.ndarray, np.ndarray]:
+        """The words' counts over all blocks and their numbers, put back in the block's order."""
+        counts, numbers = np.zeros(len(block.words), np.int64), np.zeros(len(block.words), np.int64)
         got = dict(zip(rows["bucket"], rows["data"]))
         for bucket, at in _by_bucket(block.word_buckets(buckets), block.words):
-            out[at] = _unpack(got[bucket])[0]
-        return out
+            counts[at], ranks = _unpack(got[bucket])
+            numbers[at] = _numbers(ranks) * buckets + bucket
+        return counts, numbers
 
     def ask_pairs(rows: pd.DataFrame) -> pd.DataFrame:
         block = Block(rows["path"].iloc[0])
-        counts = known_words(rows, block)
+        counts, numbers = known_words(rows, block)
         context, word, n, _ = block.pairs()
-        base = ((counts + 0.1) / floor).astype(np.float32)
+        log_base = np.log((counts + 0.1) / floor).astype(np.float16)  # of the first pass only
         out = []
         for bucket, at in _by_bucket(
-            _pair_buckets(block.words, counts, context, word, buckets), block.words[context], block.words[word]
+            _pair_buckets(block.words, counts, context, word, buckets), numbers[context], numbers[word]
         ):
-            own, lengths = np.unique(context[at], return_counts=True)  # words are sorted, so numbers sort like keys
-            dishes, dish = np.unique(word[at], return_inverse=True)
+            own, places, lengths = np.unique(numbers[context[at]], return_index=True, return_counts=True)
+            dishes, dish_places, dish = np.unique(numbers[word[at]], return_index=True, return_inverse=True)
+            whole, first_base = counts[context[at][places]], log_base[word[at][dish_places]]
             index = dish.astype(np.uint16 if len(dishes) <= 1 << 16 else np.uint32)
             data = _pack(
-                block.words[own], lengths.astype(np.int32), counts[own], block.words[dishes], base[dishes], index, n[at].astype(np.int32)
+                _steps(own), lengths.astype(np.int32), whole, _steps(dishes), first_base, index, n[at].astype(np.int32)
             )
             out.append((bucket, int(rows["key"].iloc[0]), data))
         return pd.DataFrame(out, columns=list(types))
@@ -665,7 +684,7 @@ def score(
     def told(answers: DataFrame) -> DataFrame:
         return answers.filter("key < 0").select((-1 - F.col("key")).alias("key"), (-1 - F.col("bucket")).alias("source"), "data")
 
-    replies = _groups(told(first), lambda key, got: _answer_parent(key, [], got, uniform, buckets, True))
+    replies = _groups(told(first), lambda key, got: _answer_parent(key, [], got, uniform, buckets))
     before = (*_totals(replies), uniform)
     # every pair bucket has a row of its own, whether or not a word bucket replies
     replied = first.unionByName(replies).filter("key >= 0").select("key", F.col("bucket").alias("source"), "data")
@@ -678,7 +697,7 @@ def score(
     parent = _groups(
         _send(blocks, ask_parent).unionByName(told(pairs)),
         lambda key, got: _answer_parent(
-            key, [(s, a[0]) for s, a in got if s >= 0], [(s, a) for s, a in got if s < 0], uniform, buckets, False
+            key, [(s, a[0]) for s, a in got if s >= 0], [(s, a) for s, a in got if s < 0], uniform, buckets
         ),
     )
     customers, tables = _totals(parent)
@@ -686,7 +705,7 @@ def score(
     def finish(rows: pd.DataFrame) -> pd.DataFrame:
         block = Block(rows["path"].iloc[0])
         parts = dict(list(rows.groupby("part")))
-        counts = known_words(parts["words"], block)
+        counts, numbers = known_words(parts["words"], block)
         kept, as_context = np.zeros(len(counts)), np.zeros(len(counts))
         got = dict(zip(parts["parent"]["bucket"], parts["parent"]["data"]))
         for bucket, at in _by_bucket(block.word_buckets(buckets), block.words):
@@ -697,7 +716,7 @@ def score(
         own = np.zeros(len(context))
         got = dict(zip(parts["pairs"]["bucket"], parts["pairs"]["data"]))
         for bucket, at in _by_bucket(
-            _pair_buckets(block.words, counts, context, word, buckets), block.words[context], block.words[word]
+            _pair_buckets(block.words, counts, context, word, buckets), numbers[context], numbers[word]
         ):
             own[at] = _unpack(got[bucket])[0]
         seats = CONTEXT.strength + counts[context]

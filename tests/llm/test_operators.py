@@ -363,20 +363,15 @@ def test_sweeps_draw_from_the_posterior():
 
 def _kept(tmp_path, parent_kept, as_context, whole=30, count=20):
     """What a pair bucket of one context, 1, with the dishes 2 and 3 keeps in its second pass."""
-    import io
-
-    import zstandard
-
-    keys, counts = [np.array(k, np.uint64) for k in ([1], [2, 3])], np.array([count, 10], np.int32)
+    steps, counts = language_model._steps, np.array([count, 10], np.int32)
     one = [
-        keys[0], np.array([2], np.int32), np.array([whole]), keys[1], np.array([0.1, 0.1], np.float32), np.array([0, 1], np.uint16), counts,
+        steps(np.array([1])), np.array([2], np.int32), np.array([whole]), steps(np.array([2, 3])),
+        np.log([0.1, 0.1]).astype(np.float16), np.array([0, 1], np.uint16), counts,
     ]
     got = language_model._merge_pairs([(7, one)])
-    out = io.BytesIO()
-    np.savez(out, **got, at_tables=np.array([8.0], np.float32))
     with open(language_model._pairs_file(str(tmp_path), 5), "wb") as f:
-        f.write(zstandard.ZstdCompressor().compress(out.getvalue()))
-    reply = [np.array([1, 2, 3], np.uint64), np.array([0, *parent_kept], np.float32), np.array([as_context, 0, 0], np.float32)]
+        f.write(language_model._pairs_state(got, np.array([8.0])))
+    reply = [steps(np.array([1, 2, 3])), np.array([0, *parent_kept], np.float32), np.array([as_context, 0, 0], np.float32)]
     rows = language_model._answer_pairs(5, [(-1, []), (0, reply)], 1, str(tmp_path), (1000.0, 400.0, 1e-3))
     (row,) = [r for r in rows.itertuples() if r.key == 7]
     return language_model._unpack(row.data)[0]
