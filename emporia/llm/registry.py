@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import archives, language_model, neighbours, packing, pii, quality, simhash, tiling, token_files, toxicity
+from emporia.llm import (
+    archives, filter_audit, language_model, main_text, neighbours, packing, pii, quality, simhash, tiling, token_files, toxicity,
+    vector_codes,
+)
 from emporia.llm.common import crc_split, table
 from emporia.session import fresh_dir
 
@@ -118,3 +121,25 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "token-files")
     token_files.write(table(spark, sf_dir, "documents"), path)
     return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's code of four bytes, with its error and its label's."""
+    return vector_codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text, by the winning paths of its host."""
+    found = main_text.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in all 120 orders, per source: what each step removes, and the filters' Shapley sums."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLE["op13_filter_audit"] = filter_audit.AUDIT_SQL
