@@ -1,27 +1,32 @@
 """Physical layout of stored tables: day partitions, clustering, create/replace.
 
-Tables are Parquet folders addressed by path (no metastore needed):
+A table's place is a name in the session's catalog (``namespace.table``, see
+:mod:`emporia.operators.catalog`) or a folder of Parquet files:
 
 * a *day partition* column ``<ts>_date`` (DATE) is derived from the
-  partitioning timestamp and used with ``partitionBy``; readers that filter
-  on it prune whole folders;
+  partitioning timestamp; readers that filter on it prune whole folders.  In
+  the catalog the days are registered, so no folder is listed to find them;
 * *clustering* is a sort inside each written file, so Parquet row-group
   min/max statistics skip data for filters on the clustering columns;
 * before a partitioned write the rows are ``REBALANCE``d on the partition
   column: AQE sizes the write tasks (splitting a hot day, merging small
   ones), so a day lands in a few files instead of one file per upstream
-  task, without the extra sampling pass a range partitioning would need.
+  task, without the extra sampling pass a range partitioning would need;
+* a whole-table replacement writes a new version and then swaps one pointer
+  (a view, or a file in the folder), so readers never see half of it and a
+  failed write leaves the old rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import nullcontext
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from emporia.operators import catalog, versions
 from emporia.schemas import Entity
 
 
@@ -42,34 +47,72 @@ def arrange(df: DataFrame, partition_col: str | None, cluster: Sequence[str] = (
     return df.sortWithinPartitions(*order) if order else df
 
 
+#: bytes that AQE leaves to a write task at least
+_SMALLEST = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+
+
+def by_folder(spark: SparkSession):
+    """For writes into many folders: tasks by folders, as each costs a few file operations however few its rows.
+
+    Small loads are spread over all cores; large ones keep the advisory size.
+    """
+    return catalog.setting(spark, _SMALLEST, "1KB")
+
+
 def write_table(
     df: DataFrame,
-    path: str,
+    target: str,
     *,
     mode: str = "append",
     partition_col: str | None = None,
     partition_ts: str | None = None,
     cluster: Sequence[str] = (),
     replace_partitions: bool = False,
-    fmt: str = "parquet",
-    options: dict[str, str] | None = None,
+    load_id: str | None = None,
 ) -> None:
     """Write ``df`` with the table's layout.
 
-    ``mode="overwrite"`` replaces the whole table, whatever the session's
-    setting; ``replace_partitions=True`` replaces only the day partitions
-    present in ``df``, so re-running a day is idempotent and a retried
-    staging load is safe.
+    ``mode="overwrite"`` replaces the whole table by a new version, whatever
+    the session's setting; ``replace_partitions=True`` replaces only the day
+    partitions present in ``df``, so re-running a day is idempotent and a
+    retried staging load is safe.  ``load_id`` marks rows appended to a final
+    table of the catalog.
     """
-    df = arrange(with_day_partition(df, partition_col, partition_ts), partition_col, cluster)
-    writer = df.write.format(fmt).options(**(options or {}))
+    spark = df.sparkSession
+    df = with_day_partition(df, partition_col, partition_ts)
+    partitions = [partition_col] if partition_col else []
+    if partition_col:  # a table's day column comes last
+        df = df.select(*[c for c in df.columns if c != partition_col], partition_col)
+    df = arrange(df, partition_col, cluster)
+    if load_id is not None:
+        df, partitions = df.withColumn(catalog.LOAD, F.lit(load_id)), [catalog.LOAD, *partitions]
+    with by_folder(spark) if partitions else nullcontext():
+        if catalog.is_name(target):
+            _write_named(df, target, mode, partitions, replace_partitions)
+        else:
+            _write_folder(df, target, mode, partitions, replace_partitions)
+
+
+def _write_named(df: DataFrame, target: str, mode: str, partitions: Sequence[str], replace_partitions: bool) -> None:
+    if mode == "overwrite" and not replace_partitions:
+        catalog.publish(df, target, partitions)
+        return
+    catalog.create_table(df.sparkSession, target, df.schema, partitions)
+    (catalog.replace_days if replace_partitions else catalog.append)(df, target)
+
+
+def _write_folder(df: DataFrame, target: str, mode: str, partitions: Sequence[str], replace_partitions: bool) -> None:
+    spark = df.sparkSession
+
+    def save(folder: str, how: str, overwrite: str) -> None:
+        df.write.mode(how).option("partitionOverwriteMode", overwrite).partitionBy(*partitions).parquet(folder)
+
     if replace_partitions:
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        save(versions.current(spark, target), "overwrite", "dynamic")
+    elif mode == "overwrite":
+        versions.replace(spark, target, lambda folder: save(folder, "error", "static"))
     else:
-        writer = writer.mode(mode).option("partitionOverwriteMode", "static")
-    if partition_col:
-        writer = writer.partitionBy(partition_col)
-    writer.save(path)
+        save(versions.current(spark, target), mode, "static")
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -85,33 +128,54 @@ def table_schema(entity: Entity) -> T.StructType:
     return T.StructType(fields)
 
 
-def exists(spark: SparkSession, path: str, schema: T.StructType | None = None) -> bool:
-    """Whether a table folder exists (with a schema given, an empty folder counts)."""
-    try:
-        reader = spark.read.schema(schema) if schema is not None else spark.read
-        reader.parquet(path).limit(0).schema  # noqa: B018
-        return True
-    except AnalysisException:
-        return False
+def partitions_of(entity: Entity, final: bool = False) -> list[str]:
+    """Partition columns of an entity's table; a final table of the catalog has its rows' loads above the days."""
+    return ([catalog.LOAD] if final else []) + ([entity.partition_column] if entity.partition_column else [])
+
+
+def final_schema(entity: Entity) -> T.StructType:
+    """Stored schema of a final table of the catalog."""
+    return T.StructType([*table_schema(entity).fields, T.StructField(catalog.LOAD, T.StringType())])
 
 
-def ensure_table(spark: SparkSession, path: str, schema: T.StructType, partition_col: str | None = None) -> None:
-    """``CREATE TABLE IF NOT EXISTS``: an empty table with the schema when the path is absent."""
-    if exists(spark, path, schema):
+def exists(spark: SparkSession, target: str) -> bool:
+    """Whether there is such a table or folder."""
+    return catalog.exists(spark, target) if catalog.is_name(target) else versions.path_exists(spark, target)
+
+
+def ensure_table(
+    spark: SparkSession, target: str, schema: T.StructType, partitions: Sequence[str] = (), replaced: bool = False
+) -> None:
+    """``CREATE TABLE IF NOT EXISTS``: an empty table with the schema when there is none.
+
+    ``replaced``: one that is only ever replaced as a whole.
+    """
+    if catalog.is_name(target):
+        if not replaced:
+            catalog.create_table(spark, target, schema, partitions)
+        elif not catalog.exists(spark, target):
+            catalog.publish(spark.createDataFrame([], schema), target, partitions)
         return
-    writer = spark.createDataFrame([], schema).write.mode("append")
-    if partition_col:
-        writer = writer.partitionBy(partition_col)
-    writer.parquet(path)
+    if not exists(spark, target):
+        spark.createDataFrame([], schema).write.mode("append").partitionBy(*partitions).parquet(target)
+
+
+def ensure_final(spark: SparkSession, target: str, entity: Entity) -> None:
+    """The entity's dimension or fact table, created when there is none."""
+    named = catalog.is_name(target)
+    schema = final_schema(entity) if named else table_schema(entity)
+    ensure_table(spark, target, schema, partitions_of(entity, final=named))
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_table(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
     """Read a stored table with its declared schema (no inference, no listing of types)."""
-    return spark.read.schema(schema).parquet(path)
+    if catalog.is_name(target):
+        return spark.table(target).select(*schema.names)
+    return spark.read.schema(schema).parquet(versions.current(spark, target))
 
 
-def read_entity(spark: SparkSession, path: str, entity: Entity, with_partition: bool = False) -> DataFrame:
-    df = read_table(spark, path, table_schema(entity))
+def read_entity(spark: SparkSession, target: str, entity: Entity, with_partition: bool = False) -> DataFrame:
+    df = read_table(spark, target, table_schema(entity))
     if entity.partition_column and not with_partition:
         df = df.drop(entity.partition_column)
     return df
@@ -119,15 +183,15 @@ def read_entity(spark: SparkSession, path: str, entity: Entity, with_partition:
 
 def replace_table(
     df: DataFrame,
-    path: str,
+    target: str,
     partition_col: str | None = None,
     cluster: Sequence[str] = (),
     partition_ts: str | None = None,
 ) -> None:
-    """``CREATE OR REPLACE TABLE ... AS SELECT``: the whole table is rewritten."""
+    """``CREATE OR REPLACE TABLE ... AS SELECT``: the whole table anew, shown at once."""
     write_table(
         df,
-        path,
+        target,
         mode="overwrite",
         partition_col=partition_col,
         partition_ts=partition_ts,

@@ -30,7 +30,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.operators import checks, layout
+from emporia.operators import catalog, checks, layout
 from emporia.operators.joins import DEFAULT_MAX_BYTES, measured_bytes
 from emporia.schemas import Entity
 
@@ -109,6 +109,8 @@ def new_rows(
 class MergeResult:
     rows_read: int
     rows_inserted: int
+    #: the load had been committed before: nothing was done
+    replayed: bool = False
 
     @property
     def rows_already_present(self) -> int:
@@ -134,18 +136,30 @@ def merge_into(
     source: DataFrame,
     target_path: str,
     entity: Entity,
+    load_id: str | None = None,
 ) -> MergeResult:
-    """Insert the source's unmatched rows into the entity's stored table.
+    """Insert the source's unmatched rows into the entity's stored table (a name in the catalog, or a folder).
 
     Creates the table when absent (``CREATE TABLE IF NOT EXISTS``).  The
     new rows are appended as new files in their day partitions; existing
     files are never rewritten.  A NULL in a NOT NULL column of the table
     fails the write before anything is committed.  The inserted count is an
     ``Observation`` metric of the writing job (no pass over the target).
+
+    ``load_id``, for tables of the catalog: the load happens once.  A load
+    found in the ledger isn't done again; what an unfinished run of it left is
+    dropped before.  Without one every call is a load of its own.
     """
-    schema = layout.table_schema(entity)
-    layout.ensure_table(spark, target_path, schema, entity.partition_column)
-    target = layout.read_table(spark, target_path, schema)
+    named = catalog.is_name(target_path)
+    if load_id is not None and not named:
+        raise ValueError("a load id needs a table of the catalog")
+    layout.ensure_final(spark, target_path, entity)
+    if load_id is not None:
+        done = catalog.committed(spark, target_path, load_id)
+        if done is not None:
+            return MergeResult(done.rows_read, done.rows_inserted, True)
+        catalog.undo(spark, target_path, load_id)
+    target = layout.read_table(spark, target_path, layout.table_schema(entity))
     src = layout.conform(source, entity.table)
     day = (
         (entity.partition_column, entity.partition_ts)
@@ -163,5 +177,9 @@ def merge_into(
         partition_col=entity.partition_column,
         partition_ts=entity.partition_ts,
         cluster=entity.cluster,
+        load_id=(load_id or uuid.uuid4().hex) if named else None,
     )
-    return MergeResult(stats.rows, observed_rows(inserted))
+    result = MergeResult(stats.rows, observed_rows(inserted))
+    if load_id is not None:
+        catalog.commit(spark, target_path, catalog.Load(load_id, result.rows_read, result.rows_inserted))
+    return result

@@ -43,7 +43,7 @@ ADAPTER_CTES = {
                CAST(c.c_nationkey AS BIGINT) AS customer_zip_code_prefix,
                g.n_name AS customer_city,
                g.r_name AS customer_state,
-               f.first_purchase_date
+               coalesce(f.first_purchase_date, TIMESTAMP '1992-01-01') AS first_purchase_date
         FROM customer c
         LEFT JOIN geo g ON c.c_nationkey = g.n_nationkey
         LEFT JOIN (SELECT o_custkey, MIN(o_orderdate) AS first_purchase_date
@@ -119,9 +119,7 @@ _ACTIVITY_STEPS = {
           ON who.buyer = f.customer_id""",
 }
 MART_USER_ACTIVITY = """
-SELECT line.order_id,
-       (SELECT any_value(k.product_category_name_english) FROM dim_product k
-         WHERE k.product_id = line.product_id) AS product_category_name_english,
+SELECT line.order_id, known.product_category_name_english,
        line.order_item_id, line.price::DOUBLE AS price, line.freight_value::DOUBLE AS freight_value,
        purchase.state_of_order AS order_status, purchase.paid_by AS payment_type,
        purchase.instalments AS payment_installments,
@@ -132,8 +130,9 @@ SELECT line.order_id,
        purchase.promised AS order_estimated_delivery_date,
        purchase.handed_over AS order_delivered_carrier_date,
        purchase.arrived AS order_delivered_customer_date
-FROM dim_seller shop
-RIGHT JOIN fact_order_item line ON shop.seller_id = line.seller_id
+FROM fact_order_item line
+LEFT JOIN dim_product known ON known.product_id = line.product_id
+LEFT JOIN dim_seller shop ON shop.seller_id = line.seller_id
 LEFT JOIN purchase ON purchase.ref = line.order_id
 """
 
@@ -342,6 +341,11 @@ FROM dim_seller"""
         f"SELECT * FROM ({MART_LOST_REVENUE}) WHERE order_status = 'canceled' AND order_month >= DATE '{CUTOFF}'", **_LOST_STEPS
     ),
     "backfill_orders": with_adapter(f"SELECT {_ORDER_COLS} FROM fact_order"),
+    "backfill_resumed": with_adapter(f"SELECT {_ORDER_COLS} FROM fact_order_fop"),
+    "ingest_csv_ranges": with_adapter(
+        f"SELECT * REPLACE ({ODD_PRODUCT} AS product_id, CAST(order_item_id AS VARCHAR) AS order_item_id) "
+        f"FROM (SELECT {_ITEM_COLS} FROM fact_order_item)"
+    ),
     "union_orders": with_adapter(
         f"SELECT {_ORDER_COLS} FROM fact_order UNION ALL SELECT {_ORDER_COLS} FROM fact_order_fop"
     ),
@@ -414,6 +418,13 @@ SELECT l_orderkey AS order_key,
 FROM lineitem""",
 }
 
+# The sources' namespace after a reset and the ingest of sellers.
+RESET_NAMESPACE = with_adapter(
+    """
+SELECT 'seller' AS table_name, COUNT(*) AS table_rows FROM dim_seller
+UNION ALL SELECT unnest(['product', 'customer', 'orders', 'order_fop', 'order_item']), 0"""
+)
+
 # Checks on a copy of the tables with values removed or made too long by rule.
 VIOLATIONS = with_adapter(
     """

@@ -335,11 +335,14 @@ def store(df: DataFrame, path: str, name: str) -> None:
     layout.replace_table(df, path, partition_col=part, cluster=cluster, partition_ts=ts)
 
 
-def read_stored(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """A stored mart, its columns as defined and the partition column after them if it is an extra one."""
+def stored_schema(name: str) -> T.StructType:
+    """A stored mart's columns as defined, then the partition column where it is an extra one."""
     part, _ = MART_LAYOUT[name]
     schema = T.StructType.fromDDL(MART_SCHEMAS[name])
-    columns = schema.names
-    if part not in columns:
-        schema.add(part, T.DateType())
-    return spark.read.schema(schema).parquet(path).select(*columns, *([part] if part not in columns else []))
+    return schema if part in schema.names else schema.add(part, T.DateType())
+
+
+def read_stored(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """A stored mart, its columns in the order of :func:`stored_schema`."""
+    schema = stored_schema(name)
+    return layout.read_table(spark, path, schema).select(*schema.names)

@@ -1,21 +1,23 @@
 """Named queries over the driver's tables, with their SQL oracles.
 
 Each query is ``fn(spark, sf_dir) -> DataFrame``.  Queries that exercise a
-write path (staging, merge, CSV) write below the shared work folder
-(:func:`emporia.session.fresh_dir`) and return the table read back.
+write path (staging, merge, CSV) write into a fresh namespace below the shared
+work folder (:func:`emporia.session.fresh_dir`) and return the table read back.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emporia import oracle
 from emporia.functions.temporal import previous_day
-from emporia.operators import layout
+from emporia.operators import layout, versions
+from emporia.operators.catalog import setting
 from emporia.operators.merge import merge_into
 from emporia.plans import aggregates, marts, warehouse
 from emporia.schemas import BY_TABLE, ENTITIES
@@ -61,6 +63,10 @@ def _before_cutoff(col: str):
     return F.col(col) < F.lit(_dt.datetime.combine(CUTOFF, _dt.time())).cast("timestamp_ntz")
 
 
+def _fresh_warehouse(spark: SparkSession, label: str) -> warehouse.Warehouse:
+    return warehouse.Warehouse(fresh_dir(spark, label)).open(spark)
+
+
 def _merge_query(table: str, initial, label: str) -> Query:
     """Merge the whole adapter table (as staging) into a target that already
     holds an earlier load (``initial(tables)``); return the merged target."""
@@ -68,17 +74,18 @@ def _merge_query(table: str, initial, label: str) -> Query:
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         t = testdata.warehouse(spark, sf_dir)
-        path = fresh_dir(spark, label)
+        place = _fresh_warehouse(spark, label).final(e)
+        layout.ensure_final(spark, place, e)
         layout.write_table(
             layout.conform(initial(t), e.table),
-            path,
-            mode="overwrite",
+            place,
             partition_col=e.partition_column,
             partition_ts=e.partition_ts,
             cluster=e.cluster,
+            load_id="earlier",
         )
-        merge_into(spark, t[table], path, e)
-        return layout.read_entity(spark, path, e)
+        merge_into(spark, t[table], place, e)
+        return layout.read_entity(spark, place, e)
 
     run.__name__ = label
     return run
@@ -127,7 +134,7 @@ for _name, _table, _key, _column in (
 def merge_orders_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same orders merged again: nothing is inserted twice."""
     e = ENTITIES["orders"]
-    path = fresh_dir(spark, "merge_orders_twice")
+    path = _fresh_warehouse(spark, "merge_orders_twice").final(e)
     orders = testdata.fact_order(spark, sf_dir)
     merge_into(spark, orders, path, e)
     merge_into(spark, orders, path, e)
@@ -190,7 +197,7 @@ def snapshot_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage_truncate_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads of a day-partitioned table; the days that only the first had are gone."""
     e = ENTITIES["customer"]
-    path = fresh_dir(spark, "stage_truncate_customer")
+    path = _fresh_warehouse(spark, "stage_truncate_customer").staging(e)
     customers = testdata.dim_customer(spark, sf_dir)
     staging.stage(spark, customers, path, e)
     staging.stage(spark, _even(customers, "customer_id"), path, e)
@@ -201,7 +208,7 @@ def stage_truncate_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_refresh_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A full refresh with other days replaces the source table."""
     e = ENTITIES["orders"]
-    path = fresh_dir(spark, "ingest_refresh_orders")
+    path = _fresh_warehouse(spark, "ingest_refresh_orders").source(e)
     orders = testdata.fact_order(spark, sf_dir)
     raw_csv.write_source(orders.filter(_before_cutoff("order_purchase_timestamp")), path, e)
     raw_csv.write_source(orders.filter(~_before_cutoff("order_purchase_timestamp")), path, e)
@@ -211,7 +218,7 @@ def ingest_refresh_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("replace_mart", oracle.OPERATORS["replace_mart"])
 def replace_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A mart stored again with fewer months and states."""
-    path = fresh_dir(spark, "replace_mart")
+    path = _fresh_warehouse(spark, "replace_mart").mart("mart_lost_revenue")
     mart = marts.mart_lost_revenue(testdata.warehouse(spark, sf_dir))
     marts.store(mart, path, "mart_lost_revenue")
     late = (F.col("order_status") == "canceled") & (F.col("order_month") >= F.lit(CUTOFF))
@@ -221,7 +228,7 @@ def replace_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stored_mart(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        path = fresh_dir(spark, f"stored_{name}")
+        path = _fresh_warehouse(spark, f"stored_{name}").mart(name)
         marts.store(marts.MARTS[name](testdata.warehouse(spark, sf_dir)), path, name)
         return marts.read_stored(spark, path, name)
 
@@ -236,7 +243,7 @@ for _name in ("mart_product_performances", "mart_customer_characteristics", "mar
 def stage_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two snapshot loads: the second replaces the first (WRITE_TRUNCATE)."""
     e = ENTITIES["product"]
-    path = fresh_dir(spark, "stage_truncate")
+    path = _fresh_warehouse(spark, "stage_truncate").staging(e)
     products = testdata.dim_product(spark, sf_dir)
     staging.stage(spark, products, path, e)
     staging.stage(spark, products, path, e)
@@ -248,7 +255,7 @@ def stage_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All days staged in one write, then one day staged again (a retried
     load): the day's partition is replaced, nothing is duplicated."""
     e = ENTITIES["orders"]
-    path = fresh_dir(spark, "stage_append")
+    path = _fresh_warehouse(spark, "stage_append").staging(e)
     orders = testdata.fact_order(spark, sf_dir)
     staging.stage(spark, orders, path, e)
     again = orders.filter(F.to_date("order_purchase_timestamp") == F.lit(_dt.date.fromisoformat(oracle.INCREMENT_DAY)))
@@ -260,14 +267,9 @@ def stage_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def partition_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items stored by purchase day; a day-range read touches only its folders."""
     e = ENTITIES["order_item"]
-    path = fresh_dir(spark, "partition_prune")
-    layout.write_table(
-        layout.conform(testdata.fact_order_item(spark, sf_dir), e.table),
-        path,
-        mode="overwrite",
-        partition_col=e.partition_column,
-        partition_ts=e.partition_ts,
-    )
+    path = _fresh_warehouse(spark, "partition_prune").staging(e)
+    items = layout.conform(testdata.fact_order_item(spark, sf_dir), e.table)
+    layout.write_table(items, path, partition_col=e.partition_column, partition_ts=e.partition_ts)
     lo, hi = (_dt.date.fromisoformat(d) for d in (oracle.PRUNE_FROM, oracle.PRUNE_TO))
     day = F.col(e.partition_column)
     return (
@@ -277,15 +279,58 @@ def partition_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _odd_products(items: DataFrame) -> DataFrame:
+    """Product ids that only quoting keeps."""
+    odd = F.concat(F.lit("  "), F.col("product_id"), F.lit(' "q", \nx '))
+    return items.withColumn("product_id", F.when(F.col("order_item_id") == 1, odd).otherwise(F.col("product_id")))
+
+
+@register("reset_namespace", oracle.RESET_NAMESPACE)
+def reset_namespace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sources' namespace reset between two ingests: what it holds, table by table."""
+    wh = _warehouse_with_sources(spark, sf_dir, "reset_namespace", ("seller", "product"))
+    spark.sql(f"CREATE TABLE {wh.sources}.stray USING parquet AS SELECT * FROM {wh.source(ENTITIES['product'])}")
+    wh.reset_sources(spark)
+    raw_csv.write_source(testdata.dim_seller(spark, sf_dir), wh.source(ENTITIES["seller"]), ENTITIES["seller"])
+    shown = sorted(t.name for t in spark.catalog.listTables(wh.sources) if "__v" not in t.name)
+    counts = [spark.table(f"{wh.sources}.{t}").agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("table_rows")) for t in shown]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@register("ingest_csv_ranges", oracle.OPERATORS["ingest_csv_ranges"])
+def ingest_csv_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All items from one CSV file with line breaks in values, read in ranges that cut through them."""
+    e = ENTITIES["order_item"]
+    wh = _fresh_warehouse(spark, "ingest_csv_ranges")
+    items = layout.conform(_odd_products(testdata.fact_order_item(spark, sf_dir)), e.source)
+    raw = raw_csv.write_raw(items.coalesce(1), f"{wh.root}/raw/{e.raw_file}")
+    with setting(spark, "spark.sql.files.maxPartitionBytes", "100KB"), setting(spark, "spark.sql.files.openCostInBytes", "64KB"):
+        raw_csv.ingest(spark, raw, e, wh.source(e))
+    return raw_csv.read_source(spark, wh.source(e), e)
+
+
+@register("failed_replacement", oracle.OPERATORS["stage_truncate"])
+def failed_replacement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A replacement that fails while it writes: the table holds its old rows."""
+    e = ENTITIES["product"]
+    path = _fresh_warehouse(spark, "failed_replacement").staging(e)
+    products = testdata.dim_product(spark, sf_dir)
+    staging.stage(spark, products, path, e)
+    lost = F.when(F.col("product_id") == "100", F.raise_error(F.lit("writer lost"))).otherwise(F.lit("new"))
+    try:
+        staging.stage(spark, products.withColumn("product_category_name", lost), path, e)
+    except Exception as failure:
+        if "writer lost" not in str(failure):
+            raise
+    return staging.read_staging(spark, path, e)
+
+
 @register("csv_roundtrip", oracle.OPERATORS["csv_roundtrip"])
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every item through the CSV increment extract and its staging read."""
     e = ENTITIES["order_item"]
     path = fresh_dir(spark, "csv_roundtrip")
-    items = layout.conform(testdata.fact_order_item(spark, sf_dir), e.table)
-    odd = F.concat(F.lit("  "), F.col("product_id"), F.lit(' "q", \nx '))
-    items = items.withColumn("product_id", F.when(F.col("order_item_id") == 1, odd).otherwise(F.col("product_id")))
-    extract.write_increments(items, path, e)
+    extract.write_increments(_odd_products(layout.conform(testdata.fact_order_item(spark, sf_dir), e.table)), path, e)
     return extract.read_increments(spark, path, e.table, "csv")
 
 
@@ -309,14 +354,15 @@ def _ingest_query(entity: str) -> Query:
     table = e.final_name
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        root = fresh_dir(spark, f"ingest_{entity}")
+        wh = _fresh_warehouse(spark, f"ingest_{entity}")
+        raw = f"{wh.root}/raw/{e.raw_file}"
         src = testdata.BUILDERS[table](spark, sf_dir)
         if entity == "order_item":
             src = src.withColumn("order_item_id", F.col("order_item_id").cast("string"))
         src = layout.conform(src, e.source)
-        raw_csv.write_raw(_odd_sellers(src) if entity == "seller" else src, f"{root}/raw/{e.raw_file}")
-        raw_csv.ingest(spark, f"{root}/raw/{e.raw_file}", e, f"{root}/source/{entity}")
-        return raw_csv.read_source(spark, f"{root}/source/{entity}", e)
+        raw_csv.write_raw(_odd_sellers(src) if entity == "seller" else src, raw)
+        raw_csv.ingest(spark, raw, e, wh.source(e))
+        return raw_csv.read_source(spark, wh.source(e), e)
 
     run.__name__ = f"ingest_csv_{entity}"
     return run
@@ -392,25 +438,37 @@ for _label in (
     register(_label, oracle.OPERATORS[_label])(_tables_query(getattr(aggregates, _label), _label))
 
 
-def _warehouse_with_sources(spark: SparkSession, sf_dir: str, label: str) -> warehouse.Warehouse:
-    """A fresh warehouse whose source tables hold the adapter entities."""
-    wh = warehouse.Warehouse(fresh_dir(spark, label))
-    for table, build in testdata.BUILDERS.items():
-        e = BY_TABLE[table]
-        raw_csv.write_source(build(spark, sf_dir), wh.source(e), e)
+def _warehouse_with_sources(
+    spark: SparkSession, sf_dir: str, label: str, entities: tuple[str, ...] = tuple(ENTITIES)
+) -> warehouse.Warehouse:
+    """A fresh warehouse whose source tables hold the adapter's entities."""
+    wh = _fresh_warehouse(spark, label)
+    for e in map(ENTITIES.get, entities):
+        raw_csv.write_source(testdata.BUILDERS[e.final_name](spark, sf_dir), wh.source(e), e)
     return wh
 
 
 @register("backfill_orders", oracle.OPERATORS["backfill_orders"])
 def backfill_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two overlapping catch-up runs; every order lands exactly once."""
-    wh = _warehouse_with_sources(spark, sf_dir, "backfill_orders")
+    wh = _warehouse_with_sources(spark, sf_dir, "backfill_orders", ("orders",))
     first, last = warehouse.run_dates(spark, wh, "orders")
     warehouse.backfill(spark, wh, "orders", first, CUTOFF)
     warehouse.backfill(spark, wh, "orders", CUTOFF - _dt.timedelta(days=45), last)
     return layout.read_entity(spark, wh.final(ENTITIES["orders"]), ENTITIES["orders"])
 
 
+@register("backfill_resumed", oracle.OPERATORS["backfill_resumed"])
+def backfill_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catch-up of the failed orders that ends after one of its loads, and is asked again."""
+    e = ENTITIES["order_fop"]
+    wh = _warehouse_with_sources(spark, sf_dir, "backfill_resumed", ("order_fop",))
+    dates = warehouse.run_dates(spark, wh, "order_fop")
+    for loads in (1, None):
+        warehouse.backfill(spark, wh, "order_fop", *dates, days_per_load=900, job="catch-up", max_loads=loads)
+    return layout.read_entity(spark, wh.final(e), e)
+
+
 AUDIT_RUN = _dt.date.fromisoformat(oracle.INCREMENT_DAY) + _dt.timedelta(days=1)
 
 
@@ -435,16 +493,42 @@ def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.run_day(spark, wh, AUDIT_RUN)
 
 
+def _streamed(spark: SparkSession, sf_dir: str, entity: str, label: str, odd: Callable[[DataFrame], DataFrame] = lambda df: df):
+    """Every run extract of an entity streamed (availableNow) into an empty fact: the warehouse, its checkpoint, the report."""
+    from emporia.streaming.increments import merge_stream
+
+    e = ENTITIES[entity]
+    wh = _fresh_warehouse(spark, label)
+    rows = layout.conform(testdata.BUILDERS[e.final_name](spark, sf_dir), e.table)
+    extract.write_increments(odd(rows), wh.export(e), e)
+    checkpoint = f"{wh.root}/_checkpoint"
+    return wh, checkpoint, merge_stream(spark, wh.export(e), e, wh.final(e), checkpoint)
+
+
 @register("stream_merge_orders", oracle.OPERATORS["backfill_orders"])
 def stream_merge_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order's run extract streamed (availableNow) into an empty fact."""
+    wh, _, _ = _streamed(spark, sf_dir, "orders", "stream_merge_orders")
+    return layout.read_entity(spark, wh.final(ENTITIES["orders"]), ENTITIES["orders"])
+
+
+@register("stream_merge_order_item", oracle.OPERATORS["csv_roundtrip"])
+def stream_merge_order_item(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every item's CSV run extract streamed, values with quotes and line breaks included."""
+    wh, _, _ = _streamed(spark, sf_dir, "order_item", "stream_merge_order_item", _odd_products)
+    return layout.read_entity(spark, wh.final(ENTITIES["order_item"]), ENTITIES["order_item"])
+
+
+@register("stream_replay_order_item", oracle.OPERATORS["csv_roundtrip"])
+def stream_replay_order_item(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The items' stream restarted as if it had ended before its batch was recorded: the epoch comes again."""
     from emporia.streaming.increments import merge_stream
 
-    e = ENTITIES["orders"]
-    root = fresh_dir(spark, "stream_merge_orders")
-    extract.write_increments(layout.conform(testdata.fact_order(spark, sf_dir), e.table), f"{root}/exports", e)
-    merge_stream(spark, f"{root}/exports", e, f"{root}/fact_order", f"{root}/_checkpoint")
-    return layout.read_entity(spark, f"{root}/fact_order", e)
+    e = ENTITIES["order_item"]
+    wh, checkpoint, _ = _streamed(spark, sf_dir, "order_item", "stream_replay_order_item", _odd_products)
+    versions.delete(spark, f"{checkpoint}/commits/0")
+    merge_stream(spark, wh.export(e), e, wh.final(e), checkpoint)
+    return layout.read_entity(spark, wh.final(e), e)
 
 
 @register("end_to_end_user_activity", oracle.MARTS["mart_user_activity"])
@@ -455,12 +539,12 @@ def end_to_end_user_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     dimensions → one catch-up run of the three facts over all their days →
     ``mart_user_activity`` written with its day partitions and clustering.
     """
-    wh = warehouse.Warehouse(fresh_dir(spark, "end_to_end_user_activity"))
+    wh = _fresh_warehouse(spark, "end_to_end_user_activity")
     raw_dir = f"{wh.root}/raw"
     for table, build in testdata.BUILDERS.items():
         e = BY_TABLE[table]
         raw_csv.write_raw(layout.conform(build(spark, sf_dir), e.source), f"{raw_dir}/{e.raw_file}")
-    warehouse.ingest_all(spark, wh, raw_dir)
+    warehouse.ingest_all(spark, wh, raw_dir, reset=True)
     run = AUDIT_RUN
     for name in ("seller", "product", "customer"):
         warehouse.load_entity(spark, wh, name, run)

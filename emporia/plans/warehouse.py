@@ -18,6 +18,7 @@ definition of the merge).
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,9 +26,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emporia.functions.temporal import in_days
-from emporia.operators import layout
+from emporia.operators import catalog, layout
 from emporia.operators.increment import first_day_rows
-from emporia.operators.merge import merge_into
+from emporia.operators.merge import MergeResult, merge_into
 from emporia.plans import marts
 from emporia.schemas import ENTITIES, Entity
 from emporia.session import fresh_dir
@@ -36,12 +37,56 @@ from emporia.sources import extract, raw_csv, staging
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Folder layout of one warehouse."""
+    """One warehouse: its tables in two namespaces of the catalog, and its extract files.
+
+    Source tables have a namespace of their own, which the ingest may reset.
+    """
 
     root: str
+    #: name in the catalog (by default made from the folder)
+    namespace: str = ""
+
+    def __post_init__(self) -> None:
+        if not self.namespace:
+            digest = hashlib.sha256(self.root.encode()).hexdigest()[:10]
+            object.__setattr__(self, "namespace", f"emporia_{digest}")
+
+    @property
+    def sources(self) -> str:
+        return f"{self.namespace}_source"
+
+    def _places(self) -> dict[str, str]:
+        return {self.sources: f"{self.root}/source", self.namespace: f"{self.root}/warehouse"}
+
+    def open(self, spark: SparkSession) -> Warehouse:
+        """Create the namespaces where the catalog has none, and register tables that lie below the folder."""
+        missing = {n: place for n, place in self._places().items() if not spark.catalog.databaseExists(n)}
+        for name, place in missing.items():
+            catalog.attach(spark, name, place, self._tables(name))
+        return self
+
+    def _tables(self, namespace: str) -> dict[str, tuple[T.StructType, list[str]]]:
+        if namespace == self.sources:
+            return {
+                e.name: (raw_csv.source_schema(e), layout.partitions_of(e) if e.increment_ts else []) for e in ENTITIES.values()
+            }
+        found = {catalog.LEDGER: (catalog.LEDGER_SCHEMA, []), AUDIT_TABLE: (AUDIT_SCHEMA, [])}
+        for e in ENTITIES.values():
+            found[f"stg_{e.name}"] = (layout.table_schema(e), layout.partitions_of(e))
+            found[e.final_name] = (layout.final_schema(e), layout.partitions_of(e, final=True))
+        for name in marts.MARTS:
+            found[name] = (marts.stored_schema(name), [marts.MART_LAYOUT[name][0]])
+        return found
+
+    def reset_sources(self, spark: SparkSession) -> None:
+        """Drop the source namespace with all it holds, and create its typed tables, empty."""
+        catalog.reset_namespace(spark, self.sources, self._places()[self.sources])
+        for e in ENTITIES.values():
+            parts = layout.partitions_of(e) if e.increment_ts else []
+            layout.ensure_table(spark, self.source(e), raw_csv.source_schema(e), parts, replaced=True)
 
     def source(self, e: Entity) -> str:
-        return f"{self.root}/source/{e.name}"
+        return f"{self.sources}.{e.name}"
 
     @property
     def exports(self) -> str:
@@ -51,13 +96,13 @@ class Warehouse:
         return f"{self.exports}/{e.name}"
 
     def staging(self, e: Entity) -> str:
-        return f"{self.root}/staging/stg_{e.name}"
+        return f"{self.namespace}.stg_{e.name}"
 
     def final(self, e: Entity) -> str:
-        return f"{self.root}/warehouse/{e.final_name}"
+        return f"{self.namespace}.{e.final_name}"
 
     def mart(self, name: str) -> str:
-        return f"{self.root}/marts/{name}"
+        return f"{self.namespace}.{name}"
 
 
 @dataclass
@@ -82,6 +127,10 @@ AUDIT_SCHEMA = T.StructType(
 )
 
 
+#: the table of all runs' audit rows
+AUDIT_TABLE = "load_audit"
+
+
 def _date(d: dt.date | str) -> dt.date:
     return dt.date.fromisoformat(d) if isinstance(d, str) else d
 
@@ -95,11 +144,20 @@ def ingest_all(
     raw_dir: str,
     entities: tuple[str, ...] = tuple(ENTITIES),
     timestamp_format: str | None = None,
+    reset: bool = False,
+    multi_line: bool = True,
 ) -> None:
-    """Replace every source table with the typed rows of its raw file."""
+    """Replace every source table with the typed rows of its raw file.
+
+    Each table is shown when it is complete.  ``reset`` first drops the whole
+    namespace of the sources, tables of other names included.
+    """
+    wh.open(spark)
+    if reset:
+        wh.reset_sources(spark)
     for name in entities:
         e = ENTITIES[name]
-        raw_csv.ingest(spark, f"{raw_dir}/{e.raw_file}", e, wh.source(e), timestamp_format)
+        raw_csv.ingest(spark, f"{raw_dir}/{e.raw_file}", e, wh.source(e), timestamp_format, multi_line=multi_line)
 
 
 # ---------------------------------------------------------------- job 2
@@ -122,6 +180,7 @@ def load_entity(
     merge_source: str = "staging",
 ) -> AuditRow:
     """Extract → stage → merge one entity for run date ``ds``."""
+    wh.open(spark)
     e = ENTITIES[entity]
     ds = _date(ds)
     src = raw_csv.read_source(spark, wh.source(e), e, with_partition=True)
@@ -162,11 +221,21 @@ def audit_frame(spark: SparkSession, rows: list[AuditRow]) -> DataFrame:
 
 
 def run_dates(spark: SparkSession, wh: Warehouse, entity: str) -> tuple[dt.date, dt.date] | None:
-    """First and last run date that finds rows in an increment entity's source; None if it has none."""
+    """First and last run date that finds rows in an increment entity's source; None if it has none.
+
+    Asked of the source's registered days: no row is read.
+    """
+    wh.open(spark)
     e = ENTITIES[entity]
-    day = F.date_add(F.to_date(F.col(e.increment_ts)), 1)
-    row = raw_csv.read_source(spark, wh.source(e), e).agg(F.min(day).alias("lo"), F.max(day).alias("hi")).first()
-    return None if row.lo is None else (row.lo, row.hi)
+    found = catalog.days(spark, wh.source(e), e.partition_column)
+    one = dt.timedelta(days=1)
+    return (found[0] + one, found[-1] + one) if found else None
+
+
+def _spans(days: list[dt.date], size: int | None) -> list[tuple[dt.date, dt.date]]:
+    """Days in order, in runs of at most ``size`` days each: first and last day."""
+    size = size or max(1, len(days))
+    return [(days[i], days[min(i + size, len(days)) - 1]) for i in range(0, len(days), size)]
 
 
 def backfill(
@@ -176,36 +245,67 @@ def backfill(
     start: dt.date | str,
     end: dt.date | str,
     keep_extracts: bool = False,
+    days_per_load: int | None = None,
+    job: str | None = None,
+    max_loads: int | None = None,
 ) -> AuditRow:
-    """Catch up run dates ``start..end`` of an increment entity in one pass.
-
-    One range-filtered, cleaned and checked staging write (the day
-    partitions of the range are replaced), then one merge.  The per-run
-    extract files of the daily flow are a hand-off between systems and are
-    skipped here; ``keep_extracts=True`` writes them as well (each row to
-    the run that would have carried it).  Per key only the rows of its
-    first day are merged, which is what running the days one by one
-    inserts; NULL-key rows go in once.
+    """Catch up run dates ``start..end`` of an increment entity.
+
+    The days that the source has rows of are loaded in spans of at most
+    ``days_per_load`` days (all at once when not given): a cleaned and checked
+    staging write (the span's day partitions are replaced), then a merge.
+
+    ``job`` names a catch-up that can be resumed: each span is a load that the
+    ledger commits.  Asked again after it was stopped, it goes on after the
+    spans committed; the span it was stopped in is undone and done again.
+    ``max_loads`` ends a call after so many new spans.
+
+    Per key only the rows of its first day are merged, which is what running
+    the days one by one inserts; NULL-key rows go in once.  The per-run extract
+    files of the daily flow are a hand-off between systems and are skipped
+    here; ``keep_extracts=True`` writes them as well (each row to the run that
+    would have carried it).
     """
+    wh.open(spark)
     e = ENTITIES[entity]
     if e.increment_ts is None:
         raise ValueError(f"{entity} is a snapshot entity")
     start, end = _date(start), _date(end)
     first, last = start - dt.timedelta(days=1), end - dt.timedelta(days=1)
+    days = [d for d in catalog.days(spark, wh.source(e), e.partition_column) if first <= d <= last]
+    read = inserted = new = 0
+    for lo, hi in _spans(days, days_per_load):
+        if max_loads is not None and new >= max_loads:
+            break
+        load_id = f"{job} {lo.isoformat()} {hi.isoformat()}" if job else None
+        result = _backfill_span(spark, wh, e, lo, hi, keep_extracts, load_id)
+        read, inserted, new = read + result.rows_read, inserted + result.rows_inserted, new + (not result.replayed)
+    return AuditRow(e.name, end, read, inserted, read - inserted, not days)
+
+
+def _backfill_span(
+    spark: SparkSession, wh: Warehouse, e: Entity, lo: dt.date, hi: dt.date, keep_extracts: bool, load_id: str | None
+) -> MergeResult:
+    """One load of a catch-up: the source's rows of the days ``lo..hi``."""
+    if load_id is not None:
+        done = catalog.committed(spark, wh.final(e), load_id)
+        if done is not None:
+            return MergeResult(done.rows_read, done.rows_inserted, True)
     day = F.col(e.partition_column)
     src = (
         raw_csv.read_source(spark, wh.source(e), e, with_partition=True)
-        .filter((day >= F.lit(first)) & (day <= F.lit(last)))
-        .filter(in_days(e.increment_ts, first, last))
+        .filter(day.between(F.lit(lo), F.lit(hi)))
+        .filter(in_days(e.increment_ts, lo, hi))
     )
     cleaned = staging.clean(src, e)
     if keep_extracts:
+        one = dt.timedelta(days=1)
         extract.write_increments(cleaned, wh.export(e), e)
-        cleaned = extract.read_increments(spark, wh.export(e), e.table, e.extract_format, start, end)
+        cleaned = extract.read_increments(spark, wh.export(e), e.table, e.extract_format, lo + one, hi + one)
     staging.stage(spark, cleaned, wh.staging(e), e)
     batch = (
         layout.read_entity(spark, wh.staging(e), e, with_partition=True)
-        .filter((F.col(e.partition_column) >= F.lit(first)) & (F.col(e.partition_column) <= F.lit(last)))
+        .filter(day.between(F.lit(lo), F.lit(hi)))
         .drop(e.partition_column)
     )
     if e.increment_ts not in e.merge_key:
@@ -213,17 +313,17 @@ def backfill(
         path = fresh_dir(spark, f"backfill-{e.name}")
         first_day_rows(batch, e.merge_key, e.increment_ts).write.parquet(path)
         batch = layout.read_table(spark, path, e.table)
-    result = merge_into(spark, batch, wh.final(e), e)
-    return AuditRow(e.name, end, result.rows_read, result.rows_inserted, result.rows_already_present, False)
+    return merge_into(spark, batch, wh.final(e), e, load_id)
 
 
 # ---------------------------------------------------------------- marts
 
 
 def final_tables(spark: SparkSession, wh: Warehouse) -> dict[str, DataFrame]:
+    wh.open(spark)
     out = {}
     for e in ENTITIES.values():
-        layout.ensure_table(spark, wh.final(e), layout.table_schema(e), e.partition_column)
+        layout.ensure_final(spark, wh.final(e), e)
         out[e.final_name] = layout.read_entity(spark, wh.final(e), e)
     return out
 
@@ -237,4 +337,5 @@ def build_marts(spark: SparkSession, wh: Warehouse, names: tuple[str, ...] = tup
 
 def read_mart(spark: SparkSession, wh: Warehouse, name: str) -> DataFrame:
     """A stored mart, its columns as defined; one without rows reads as an empty table."""
+    wh.open(spark)
     return marts.read_stored(spark, wh.mart(name), name)

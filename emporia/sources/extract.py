@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emporia.functions.temporal import previous_day
+from emporia.operators import layout, versions
 from emporia.operators.increment import day_slice
 from emporia.operators.merge import observed_rows
 from emporia.schemas import Entity
+from emporia.sources import csv_ranges
 from emporia.sources.raw_csv import CSV_QUOTING, CSV_TIMESTAMP_FORMAT
 
 Transform = Callable[[DataFrame], DataFrame]
@@ -75,19 +77,22 @@ def snapshot(
     ds: dt.date | str,
     transform: Transform | None = None,
 ) -> ExtractResult:
-    """``SELECT *`` of the source table (optionally transformed): one stable copy, replaced by each run."""
+    """``SELECT *`` of the source table (optionally transformed): one stable copy, replaced by each run.
+
+    Readers see the last run's copy whole until the new one is complete.
+    """
     if transform is not None:
         df = df.transform(transform)
     path = f"{base}/{entity.name}"
     seen = Observation(f"snapshot_{entity.name}")
     out = df.observe(seen, F.count(F.lit(1)).alias("n")).hint("rebalance")
-    out.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    versions.replace(df.sparkSession, path, lambda folder: out.write.parquet(folder))
     return ExtractResult(path, _as_date(ds), observed_rows(seen))
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The snapshot as the last run left it."""
-    return spark.read.schema(schema).parquet(path)
+    return layout.read_table(spark, path, schema)
 
 
 def increment(
@@ -132,7 +137,8 @@ def write_increments(df: DataFrame, path: str, entity: Entity) -> int:
     )
     if entity.extract_format == "csv":
         writer = writer.options(**csv_options())
-    writer.save(path)
+    with layout.by_folder(df.sparkSession):
+        writer.save(path)
     return observed_rows(seen)
 
 
@@ -144,22 +150,25 @@ def read_increments(
     start: dt.date | str | None = None,
     end: dt.date | str | None = None,
 ) -> DataFrame:
-    """Read the runs ``start..end`` (all when not given) of an extract."""
-    full = T.StructType([*schema.fields, T.StructField("ds", T.DateType(), True)])
-    reader = spark.read.schema(full)
-    if fmt == "csv":
-        reader = (
-            reader.options(**csv_options())
-            .option("mode", "FAILFAST")
-            .option("multiLine", True)
-            .option("enforceSchema", False)
-        )
-    df = reader.format(fmt).load(path)
+    """Read the runs ``start..end`` (all when not given) of an extract.
+
+    CSV is read in byte ranges, FAILFAST, and each file's header must name the
+    schema's columns.  One run is read from its own folder.
+    """
+    day = T.StructField("ds", T.DateType(), True)
+    if start is not None and start == end and versions.path_exists(spark, f"{path}/ds={_as_date(start).isoformat()}"):
+        folder = f"{path}/ds={_as_date(start).isoformat()}"
+        if fmt == "csv":
+            return csv_ranges.read(spark, folder, schema, csv_options())
+        return spark.read.schema(schema).format(fmt).load(folder)
+    runs = F.lit(True)
     if start is not None:
-        df = df.filter(F.col("ds") >= F.lit(_as_date(start)))
+        runs = runs & (F.col("ds") >= F.lit(_as_date(start)))
     if end is not None:
-        df = df.filter(F.col("ds") <= F.lit(_as_date(end)))
-    return df.drop("ds")
+        runs = runs & (F.col("ds") <= F.lit(_as_date(end)))
+    if fmt == "csv":
+        return csv_ranges.read(spark, path, schema, csv_options(), day, runs).drop("ds")
+    return spark.read.schema(T.StructType([*schema.fields, day])).format(fmt).load(path).filter(runs).drop("ds")
 
 
 def read_extract(
@@ -171,8 +180,6 @@ def read_extract(
 ) -> DataFrame:
     """Read run ``ds`` of an extract with an explicit schema (no autodetect).
 
-    The ``ds`` filter prunes to that run's folder.  CSV is read FAILFAST
-    with one header line skipped.
+    Only that run's folder is read.
     """
-    # enforceSchema=false: the CSV header must name the schema's columns
     return read_increments(spark, path, schema, fmt, ds, ds)

@@ -6,7 +6,7 @@
   column, or a string longer than its VARCHAR(n) limit fails the job with
   the column named — the checks are projections evaluated during the one
   pass that writes the table, not separate scans;
-* the source table is replaced as a whole (drop, create, append); tables
+* the source table is replaced as a whole, shown when it is complete; tables
   with a daily increment are stored partitioned by the increment's day.
 
 Nothing is read on the driver except the header line.
@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from emporia.functions.casts import PANDAS_NULL_TOKENS, nullify_tokens, strict, strict_int_via_double
 from emporia.operators import layout
 from emporia.schemas import Entity
+from emporia.sources import csv_ranges
 
 #: format used for timestamps in CSV files this package writes
 CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -40,10 +41,11 @@ def read_raw(spark: SparkSession, path: str, sep: str = ",", multi_line: bool =
     """Headered CSV as all-string columns named by the header.
 
     Files of one folder must share their header; another one fails the
-    read.  Quoted values may hold line breaks; such files can't be read in
-    blocks, so pass ``multi_line=False`` for large files known to hold none.
+    read.  Quoted values may hold line breaks: files are read in byte ranges
+    (:mod:`emporia.sources.csv_ranges`).  ``multi_line=False`` saves the pass
+    that counts quotes for files known to hold none.
     """
-    return (
+    reader = (
         spark.read.option("header", True)
         .option("sep", sep)
         .option("inferSchema", False)
@@ -51,8 +53,13 @@ def read_raw(spark: SparkSession, path: str, sep: str = ",", multi_line: bool =
         .option("enforceSchema", False)
         .options(**CSV_QUOTING)
         .option("mode", "FAILFAST")
-        .csv(path)
     )
+    if not multi_line:
+        return reader.csv(path)
+    # the header's names, from the first file's first record
+    names = reader.csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    return csv_ranges.read(spark, path, schema, {"sep": sep, **CSV_QUOTING})
 
 
 def typed_source(
@@ -98,47 +105,42 @@ def ingest(
     spark: SparkSession,
     raw_path: str,
     entity: Entity,
-    target_path: str,
+    target: str,
     timestamp_format: str | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
+    multi_line: bool = True,
 ) -> str:
     """Replace the entity's source table with the typed rows of ``raw_path``.
 
     ``transform`` (DataFrame → DataFrame) runs on the all-string frame
-    before typing, for feeds that need extra cleaning.
+    before typing, for feeds that need extra cleaning; ``multi_line`` as in
+    :func:`read_raw`.
     """
-    raw = read_raw(spark, raw_path)
+    raw = read_raw(spark, raw_path, multi_line=multi_line)
     if transform is not None:
         raw = raw.transform(transform)
-    write_source(typed_source(raw, entity, timestamp_format), target_path, entity)
-    return target_path
+    write_source(typed_source(raw, entity, timestamp_format), target, entity)
+    return target
+
+
+def source_schema(entity: Entity) -> T.StructType:
+    """Stored schema of a source table; increment entities have the day of their increment column."""
+    day = [T.StructField(entity.partition_column, T.DateType())] if entity.increment_ts else []
+    return T.StructType([*entity.source.fields, *day])
 
 
-def write_source(df: DataFrame, path: str, entity: Entity) -> None:
+def write_source(df: DataFrame, target: str, entity: Entity) -> None:
     """Replace a source table; increment entities are stored by day of the increment column."""
+    # by purchase day, so the daily increment reads one folder
+    part = entity.partition_column if entity.increment_ts else None
     df = layout.conform(df, entity.source)
-    if entity.increment_ts is not None:
-        # stored by purchase day, so the daily increment reads one folder
-        layout.write_table(
-            df,
-            path,
-            mode="overwrite",
-            partition_col=entity.partition_column,
-            partition_ts=entity.increment_ts,
-        )
-    else:
-        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-
-
-def read_source(spark: SparkSession, path: str, entity: Entity, with_partition: bool = False) -> DataFrame:
+    layout.write_table(df, target, mode="overwrite", partition_col=part, partition_ts=entity.increment_ts)
+
+
+def read_source(spark: SparkSession, target: str, entity: Entity, with_partition: bool = False) -> DataFrame:
     """A source table with its declared schema (and its day column when asked)."""
-    schema = entity.source
-    if entity.increment_ts is not None:
-        schema = T.StructType([*schema.fields, T.StructField(entity.partition_column, T.DateType(), True)])
-    df = spark.read.schema(schema).parquet(path)
-    if entity.increment_ts is not None and not with_partition:
-        df = df.drop(entity.partition_column)
-    return df
+    df = layout.read_table(spark, target, source_schema(entity))
+    return df.drop(entity.partition_column) if entity.increment_ts and not with_partition else df
 
 
 def write_raw(df: DataFrame, path: str) -> str:

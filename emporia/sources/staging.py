@@ -6,7 +6,8 @@
   no extra pass); a NULL fails the job before it commits, so staging stays
   as it was, and only then one aggregation counts the NULLs per column for
   the error message;
-* snapshot entities replace the whole staging table (truncate), increment
+* snapshot entities replace the whole staging table (truncate) by a new
+  version shown at once, increment
   entities replace only the day partitions of the slice (dynamic partition
   overwrite): the same as an append for a first load, and a retried load
   does not duplicate rows.
@@ -78,5 +79,6 @@ def _write(df: DataFrame, path: str, entity: Entity) -> None:
 
 
 def read_staging(spark: SparkSession, path: str, entity: Entity) -> DataFrame:
-    layout.ensure_table(spark, path, layout.table_schema(entity), entity.partition_column)
+    replaced = entity.staging_mode == "truncate"
+    layout.ensure_table(spark, path, layout.table_schema(entity), layout.partitions_of(entity), replaced)
     return layout.read_entity(spark, path, entity)

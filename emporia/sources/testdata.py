@@ -19,7 +19,8 @@ So that unmatched keys and missing values occur, some keys are changed and
 some values removed by rule, without dropping a row: customers of orders
 (key % 43 = 0), products (% 37) and sellers (% 31) of items are unknown,
 sellers (% 29) are NULL, and of items with (order + line) % 53 = 0 the
-price, % 59 = 0 the line number is NULL.
+price, % 59 = 0 the line number is NULL.  A customer without any order has
+1992-01-01 as the date of first purchase, which staging requires.
 """
 
 from __future__ import annotations
@@ -30,6 +31,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: first purchase of customers who have no order
+NO_PURCHASE = "1992-01-01"
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 # The column types of the driver's input tables.  Reading
@@ -125,7 +129,7 @@ def dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("c_nationkey").cast("bigint").alias("customer_zip_code_prefix"),
             F.col("n_name").alias("customer_city"),
             F.col("r_name").alias("customer_state"),
-            F.col("first_purchase_date"),
+            F.coalesce("first_purchase_date", F.lit(NO_PURCHASE).cast("timestamp_ntz")).alias("first_purchase_date"),
         )
     )
 

@@ -8,9 +8,11 @@ file's keys present and lose in-batch duplicates.  The micro-batch goes
 through the same REQUIRED check and insert-only merge as the batch loads,
 via ``foreachBatch``.  The stream's checkpoint (under the shared work folder)
 records which files were processed, so a restarted job continues where it
-stopped; a micro-batch that is replayed after a failure inserts nothing
-twice, because the merge skips keys already present (NULL keys excepted,
-as the merge defines).
+stopped.  Into a table of the catalog a micro-batch is a load of its own, named
+by stream and epoch and committed in the namespace's ledger: one that is
+replayed after a failure is skipped when it was committed, else undone and done
+again, so every row goes in once, those with NULL keys included.  A plain
+folder has no ledger: there a replay skips keys already present only.
 
 Per key only the rows of its first day in the micro-batch are merged, so a
 micro-batch spanning several runs inserts what running those days one by
@@ -24,7 +26,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from emporia.operators import checks, layout
+from emporia.operators import catalog, checks, layout
 from emporia.operators.increment import first_day_rows
 from emporia.operators.merge import merge_into
 from emporia.schemas import Entity
@@ -45,7 +47,8 @@ def increment_stream(spark: SparkSession, extract_path: str, entity: Entity) ->
     full = T.StructType([*entity.table.fields, T.StructField("ds", T.DateType(), True)])
     reader = spark.readStream.schema(full).format(entity.extract_format)
     if entity.extract_format == "csv":
-        reader = reader.options(**csv_options()).option("mode", "FAILFAST").option("enforceSchema", False)
+        # a run's files are read whole: values may hold line breaks
+        reader = reader.options(**csv_options()).option("mode", "FAILFAST").option("enforceSchema", False).option("multiLine", True)
     return reader.load(extract_path)
 
 
@@ -55,9 +58,14 @@ def merge_stream(
     entity: Entity,
     target_path: str,
     checkpoint: str,
+    stream: str | None = None,
 ) -> StreamReport:
-    """Merge every not yet processed extract run into the entity's table, then stop."""
+    """Merge every not yet processed extract run into the entity's table, then stop.
+
+    ``stream`` names the stream in the ledger (by default its checkpoint does).
+    """
     report = StreamReport()
+    named = catalog.is_name(target_path)
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
         # written once, REQUIRED columns checked on the way; the merge reads that
@@ -67,7 +75,7 @@ def merge_stream(
         rows = layout.read_table(session, path, entity.table)
         if entity.increment_ts not in (None, *entity.merge_key):
             rows = first_day_rows(rows, entity.merge_key, entity.increment_ts)
-        res = merge_into(session, rows, target_path, entity)
+        res = merge_into(session, rows, target_path, entity, f"stream {stream or checkpoint} {epoch_id}" if named else None)
         report.batches += 1
         report.rows_read += res.rows_read
         report.rows_inserted += res.rows_inserted

@@ -75,7 +75,7 @@ def test_stage_append_is_idempotent_per_day(spark):
 
 
 def _warehouse(spark, entity_rows: dict) -> warehouse.Warehouse:
-    wh = warehouse.Warehouse(fresh_dir(spark, "wh"))
+    wh = warehouse.Warehouse(fresh_dir(spark, "wh")).open(spark)
     for name, rows in entity_rows.items():
         e = ENTITIES[name]
         raw_csv.write_source(frame(spark, name, rows), wh.source(e), e)

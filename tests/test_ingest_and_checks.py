@@ -57,9 +57,9 @@ def test_ingest_matches_columns_by_header_and_types_them(spark):
     )
     out = fresh_dir(spark, "src_seller")
     raw_csv.ingest(spark, path, e, out)
-    rows = sorted(spark.read.parquet(out).collect())
+    rows = sorted(raw_csv.read_source(spark, out, e).collect())
     assert [tuple(r) for r in rows] == [("s1", 1037, "sao paulo", "SP"), ("s2", 1037, None, "RJ")]
-    assert spark.read.parquet(out).schema == e.source
+    assert raw_csv.read_source(spark, out, e).schema == e.source
 
 
 def test_ingest_rejects_bad_values(spark):
