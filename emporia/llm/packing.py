@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from emporia.llm.common import arrow_map, bounded_batches, column, id_text, record, session_of, stage, texts
+from emporia.llm.common import arrow_map, bounded_batches, column, crc32, free_name, id_text, record, session_of, stage
 from emporia.llm.tokens import Encoder, default_vocabulary
 
 WINDOW = 2048
@@ -35,7 +35,7 @@ END_ID = 1
 #: Buckets that the pieces of one length are ranked in.
 BUCKETS = 256
 
-PIECE = "piece_id long, doc_id long, start long, length int, doc_tokens long, ids binary"
+PIECE = "piece_id long, doc_id long, start long, length int, doc_tokens long"
 
 
 def pieces(
@@ -45,36 +45,51 @@ def pieces(
     id_col: str = "doc_id",
     text_col: str = "text",
     end_id: int = END_ID,
+    digest: bool = False,
 ) -> DataFrame:
     """One row per piece, its ids little-endian unsigned 32-bit, written and reread.
 
     ``piece_id`` is unique, whatever the documents' ids.  Null and empty texts
-    are documents of the end id alone.
+    are documents of the end id alone.  ``digest`` gives ``ids_crc32``, the
+    unsigned crc32 of those bytes, in place of ``ids``: for those who need
+    places and checks only, no id is written.
     """
     vocabulary = vocabulary or default_vocabulary()
-    end = struct.pack("<I", end_id)
+    last = ("ids_crc32", pa.int64()) if digest else ("ids", pa.binary())
     types = {
         "piece_id": pa.int64(), "doc_id": pa.int64(), "start": pa.int64(),
-        "length": pa.int32(), "doc_tokens": pa.int64(), "ids": pa.binary(),
+        "length": pa.int32(), "doc_tokens": pa.int64(), last[0]: last[1],
     }
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(vocabulary)
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
-            out: dict[str, list] = {name: [] for name in types}
-            for doc_id, ids in zip(column(batch, "doc_id").to_pylist(), encoder.encode(texts(batch))):
-                ids += end
-                total = len(ids) // 4
-                for start in range(0, total, window):
-                    part = ids[4 * start : 4 * (start + window)]
-                    for name, value in zip(types, (number, doc_id, start, len(part) // 4, total, part)):
-                        out[name].append(value)
-                    number += 1
-            yield record(out, types)
+            edges, ids = encoder.encode_array(column(batch, "text"))
+            # each document with its end id
+            data = memoryview(np.insert(ids, edges[1:], end_id).astype("<u4", copy=False)).cast("B")
+            edges = edges + np.arange(len(edges))
+            total = np.diff(edges)
+            count = -(-total // window)
+            doc = np.repeat(np.arange(len(total)), count)
+            start = (np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)) * window
+            length = np.minimum(total[doc] - start, window)
+            first = 4 * (edges[doc] + start)
+            spans = [data[lo:hi] for lo, hi in zip(first.tolist(), (first + 4 * length).tolist())]
+            values = (
+                number + np.arange(len(doc)),
+                column(batch, "doc_id").take(pa.array(doc)),
+                start,
+                length.astype(np.int32),
+                total[doc],
+                [crc32(span) for span in spans] if digest else [bytes(span) for span in spans],
+            )
+            number += len(doc)
+            yield record(dict(zip(types, values)), types)
 
     bounded_batches(session_of(docs))
-    return stage(id_text(docs, id_col, text_col).mapInArrow(cut, PIECE), "packing-pieces")
+    kind = f"{PIECE}, ids_crc32 long" if digest else f"{PIECE}, ids binary"
+    return stage(id_text(docs, id_col, text_col).mapInArrow(cut, kind), "packing-pieces")
 
 
 @dataclass(frozen=True)
@@ -149,28 +164,32 @@ def pack(pieces: DataFrame, window: int = WINDOW, buckets: int = BUCKETS) -> Dat
 
     Every piece gets a place; offsets in a sequence run from 0 without gaps.
     The histogram, at most ``window`` rows, is what the driver plans from.
+    Other columns pass through; one named ``sequence_id`` or ``offset`` is
+    kept, and the place gets the next free name (with an underscore).
     """
     own = pieces.columns
+    bucket, before_, rank_, n_ = (free_name(pieces, x) for x in ("__bucket", "__before", "__rank", "__n"))
+    sequence_id, offset_ = free_name(pieces, "sequence_id"), free_name(pieces, "offset")
     counts = pieces.groupBy("length").count().collect()
     table = allocation(plan({r["length"]: r["count"] for r in counts}, window))
-    keyed = pieces.withColumn("__bucket", F.pmod(F.xxhash64("piece_id"), F.lit(buckets)).cast("int"))
+    keyed = pieces.withColumn(bucket, F.pmod(F.xxhash64("piece_id"), F.lit(buckets)).cast("int"))
     # at most window x buckets rows
-    sizes = keyed.groupBy("length", "__bucket").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy("length").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select("length", "__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    inside = Window.partitionBy("length", "__bucket").orderBy("piece_id")
+    sizes = keyed.groupBy("length", bucket).agg(F.count(F.lit(1)).alias(n_))
+    before = Window.partitionBy("length").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("length", bucket, F.coalesce(F.sum(n_).over(before), F.lit(0)).alias(before_))
+    inside = Window.partitionBy("length", bucket).orderBy("piece_id")
     ranked = (
-        keyed.withColumn("__rank", F.row_number().over(inside) - 1)
-        .join(sizes, ["length", "__bucket"])
-        .withColumn("__rank", (F.col("__rank") + F.col("__before")).cast("long"))
-        .select(*own, "__rank")
+        keyed.withColumn(rank_, F.row_number().over(inside) - 1)
+        .join(sizes, ["length", bucket])
+        .withColumn(rank_, (F.col(rank_) + F.col(before_)).cast("long"))
+        .select(*[F.col(f"`{c}`") for c in own], rank_)
     )
     starts = {int(k): int(i) for i, k in reversed(list(enumerate(table["length"])))}
     stops = {int(k): int(i) + 1 for i, k in enumerate(table["length"])}
 
     def place(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         length = column(batch, "length").to_numpy().astype(np.int64)
-        rank = column(batch, "__rank").to_numpy()
+        rank = column(batch, rank_).to_numpy()
         row = np.zeros(len(rank), np.int64)
         for k in np.unique(length):
             lo, hi = starts[int(k)], stops[int(k)]
@@ -179,10 +198,10 @@ def pack(pieces: DataFrame, window: int = WINDOW, buckets: int = BUCKETS) -> Dat
         turn, slot = np.divmod(rank - table["rank"][row], table["each"][row])
         columns = [column(batch, c) for c in own]
         columns += [pa.array(table["sequence"][row] + turn), pa.array(table["offset"][row] + slot * length)]
-        yield pa.RecordBatch.from_arrays(columns, names=[*own, "sequence_id", "offset"])
+        yield pa.RecordBatch.from_arrays(columns, names=[*own, sequence_id, offset_])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    return arrow_map(ranked, place, f"{schema}, sequence_id long, offset long")
+    return arrow_map(ranked, place, f"{schema}, `{sequence_id}` long, `{offset_}` long")
 
 
 def sequences(packed: DataFrame, window: int = WINDOW, pad_id: int = 0) -> DataFrame:

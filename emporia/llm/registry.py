@@ -48,8 +48,7 @@ def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row per piece of every document, packed in windows of 2048."""
-    cut = packing.pieces(table(spark, sf_dir, "documents"))
-    cut = cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    cut = packing.pieces(table(spark, sf_dir, "documents"), digest=True)
     return packing.pack(cut).select(
         "doc_id", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "doc_tokens", "sequence_id", "offset"
     )

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from emporia.llm.common import bounded_batches, column, id_text, open_store, publish, record, session_of, texts
+from emporia.llm.common import bounded_batches, column, id_text, open_store, publish, record, session_of
 from emporia.llm.tokens import Encoder, default_vocabulary
 
 MAGIC = b"EMTOK001"
@@ -90,7 +90,7 @@ def write(
 ) -> DataFrame:
     """Write all documents below ``path`` and return the manifest, reread.
 
-    Ascending id order, null ids first; rows of one id by text.  Null and
+    Ascending id order, null ids first; rows of one id by their text's hash.  Null and
     empty texts hold the end id alone.  Repeated rows are written each.
     """
     spark = session_of(docs)
@@ -121,7 +121,7 @@ def write(
             batch = first
             while batch is not None:
                 keys.append(column(batch, "doc_id"))
-                for ids in encoder.encode(texts(batch)):
+                for ids in encoder.encode(column(batch, "text")):
                     frame = zip_.compress(_serialize(ids + end, width))
                     out.write(frame)
                     counts.append(len(ids) // 4 + 1)
@@ -146,7 +146,9 @@ def write(
         yield record(row, types)
 
     bounded_batches(spark)
-    dealt = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # by id and text, so that the rows of one id, however many, go to several shards
+    order = ["doc_id", F.xxhash64("text"), "text"]
+    dealt = docs.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions(*order)
     dealt.mapInArrow(shard, MANIFEST).write.parquet(f"{path}/manifest")
     return manifest(spark, path)
 
