@@ -47,7 +47,7 @@ NO_DATE = "19700101000000"
 PAGE_HEADER = "X-Page-Id"
 
 FILE = "file string, records long"
-ENTRY = "file string, at long, page_id long, url string, payload_bytes long, payload_digest string"
+ENTRY = "file string, at long, page_id long, url string, date string, payload_bytes long, payload_digest string"
 RECORD = (
     "record_id string, record_type string, url string, date string, content_type string, page_id long, "
     "payload_bytes long, payload_digest string, refers_to long, payload binary"
@@ -227,10 +227,10 @@ def write_arc(
 
 
 def index_arc(files: DataFrame) -> DataFrame:
-    """(file, at, page_id, url, payload_bytes, payload_digest) of each HTTP record of the ARC files."""
+    """(file, at, page_id, url, date, payload_bytes, payload_digest) of each HTTP record of the ARC files."""
     types = {
         "file": pa.string(), "at": pa.int64(), "page_id": pa.int64(),
-        "url": pa.string(), "payload_bytes": pa.int64(), "payload_digest": pa.string(),
+        "url": pa.string(), "date": pa.string(), "payload_bytes": pa.int64(), "payload_digest": pa.string(),
     }
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,7 +244,8 @@ def index_arc(files: DataFrame) -> DataFrame:
                             continue
                         _, http, payload = http_parts(body)
                         page = http.get(PAGE_HEADER.lower())
-                        row = (file, at, int(page) if page else None, fields["URL"], len(payload), digest(payload))
+                        date = warc_date(fields["Archive-date"])
+                        row = (file, at, int(page) if page else None, fields["URL"], date, len(payload), digest(payload))
                         for k, v in zip(types, row):
                             out[k].append(v)
                 yield record(out, types)
@@ -254,16 +255,19 @@ def index_arc(files: DataFrame) -> DataFrame:
 
 
 def revisits(index: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """The index with ``refers_to``: the page whose response a record repeats, or null.
+    """The index with ``refers_to``, ``refers_url`` and ``refers_date``: the response a record repeats, or nulls.
 
     Of records with equal payloads of at least ``min_bytes``, the smallest
-    page id stays a response (all rows of that id do); the others refer to it.
-    A record without page id refers to it too, unless no record has one.
+    page id stays a response (all rows of that id do, and the others refer to
+    the one smallest by URL and date).  A record without page id refers to it
+    too, unless no record has one.
     """
-    least = index.groupBy("payload_digest").agg(F.min("page_id").alias("__least"))
-    repeated = (F.col("payload_bytes") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("__least"))
+    named = F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url", "date"))
+    least = index.groupBy("payload_digest").agg(F.min(named).alias("__least"))
+    repeated = (F.col("payload_bytes") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("__least.page_id"))
+    refers = (("refers_to", "page_id"), ("refers_url", "url"), ("refers_date", "date"))
     return index.join(least, "payload_digest").select(
-        *index.columns, F.when(repeated, F.col("__least")).alias("refers_to")
+        *index.columns, *[F.when(repeated, F.col(f"__least.{c}")).alias(name) for name, c in refers]
     )
 
 
@@ -289,8 +293,11 @@ def warc_record(fields: list[tuple[str, str | None]], block: bytes) -> bytes:
     return gzip.compress("\r\n".join(lines).encode() + block + b"\r\n\r\n", 6, mtime=0)
 
 
-def convert_record(fields: dict[str, str], body: bytes, refers_to: int | None) -> bytes:
-    """An ARC record as a WARC record: version blocks become warcinfo, other schemes than HTTP resources."""
+def convert_record(fields: dict[str, str], body: bytes, refers_to: tuple[int, str, str] | None) -> bytes:
+    """An ARC record as a WARC record: version blocks become warcinfo, other schemes than HTTP resources.
+
+    ``refers_to``: page id, URL and date of the response that this record repeats.
+    """
     date = warc_date(fields["Archive-date"])
     url, ip = fields["URL"], fields["IP-address"]
     if url.startswith("filedesc://"):
@@ -312,7 +319,11 @@ def convert_record(fields: dict[str, str], body: bytes, refers_to: int | None) -
         kind, block, content = "response", body, "application/http; msgtype=response"
     else:
         kind, block, content = "revisit", head, "application/http; msgtype=response"
-        own += [("WARC-Profile", PROFILE), ("X-Refers-To-Page", str(refers_to))]
+        page, target, then = refers_to
+        own += [
+            ("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(target, then, page, sha)),
+            ("WARC-Refers-To-Target-URI", target), ("WARC-Refers-To-Date", then), ("X-Refers-To-Page", str(page)),
+        ]
     own += [("WARC-Block-Digest", f"sha1:{digest(block)}"), ("Content-Type", content)]
     return warc_record([("WARC-Type", kind), *own], block)
 
@@ -321,27 +332,29 @@ def convert(files: DataFrame, path: str, min_bytes: int = 0) -> DataFrame:
     """Convert ARC files (column ``file``) to WARC files below ``path``; returns (file, records), reread.
 
     The task that has a file's part of the index reads that file once, in
-    order; no payload is shuffled.
+    order; no payload is shuffled.  A WARC file is named after its ARC file and
+    a hash of the whole path, so files of one name from several folders stay apart.
     """
     path = path.rstrip("/")
     index = revisits(index_arc(files), min_bytes)
     count = max(1, files.count())
     # a file's rows meet in one task: as many as one ARC file has records
-    dealt = index.select("file", "at", "refers_to").repartition(count, "file").sortWithinPartitions("file", "at")
+    dealt = index.select("file", "at", "refers_to", "refers_url", "refers_date").repartition(count, "file").sortWithinPartitions("file", "at")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[str, dict[int, int]] = {}
+        kept: dict[str, dict[int, tuple[int, str, str]]] = {}
         order: list[str] = []
         for batch in batches:
-            rows = zip(*(column(batch, c).to_pylist() for c in ("file", "at", "refers_to")))
-            for file, at, refers_to in rows:
+            rows = zip(*(c.to_pylist() for c in batch.columns))
+            for file, at, *refers_to in rows:
                 if file not in kept:
                     kept[file] = {}
                     order.append(file)
-                if refers_to is not None:
-                    kept[file][at] = refers_to
+                if refers_to[0] is not None:
+                    kept[file][at] = tuple(refers_to)
         for file in order:
-            name = f"{path}/{file.rsplit('/', 1)[1].removesuffix('.gz').removesuffix('.arc')}.warc.gz"
+            stem = file.rsplit("/", 1)[1].removesuffix(".gz").removesuffix(".arc")
+            name = f"{path}/{stem}-{hashlib.sha1(file.encode()).hexdigest()[:12]}.warc.gz"
             count = 0
 
             def fill(out, file=file) -> None:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -42,11 +42,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Only the id and the text (null text: empty), whatever else ``docs`` holds."""
+def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+    """Only the id, the text (null text: empty) and ``keep``, whatever else ``docs`` holds."""
     return docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+        *[F.col(f"`{c}`") for c in keep],
     )
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from emporia.llm.common import arrow_map, column, record, session_of, spread, stage
+from emporia.llm.common import arrow_map, column, record, session_of, stage
 
 #: Projected dimensions.
 DIMENSIONS = 16
@@ -274,12 +274,11 @@ def nearest(
     asked = rows.filter(is_query).withColumnRenamed("vec_id", "query_id")
     wanted = placed.join(asked.select("vec").distinct(), "vec", "left_semi").select("entry", "vec", "shard")
     wanted = stage(wanted, "nearest-queries")
-    query_blocks = int(wanted.count() // QUERY_ROWS) + 1
     types = {
         "entry": pa.int64(), "vec": pa.list_(pa.float64()), "limit": pa.float64(),
-        "shard": pa.int32(), "part": pa.int32(), "block": pa.int32(),
+        "shard": pa.int32(), "part": pa.int32(),
     }
-    visit = "entry long, vec array<double>, limit double, shard int, part int, block int"
+    visit = "entry long, vec array<double>, limit double, shard int, part int"
 
     def visits(found: DataFrame, others: bool) -> DataFrame:
         """Queries (with ``limit``) by the parts they search: all of their own shard, or of the others."""
@@ -289,7 +288,6 @@ def nearest(
             own = column(batch, "shard").to_numpy()
             limit = column(batch, "limit").to_numpy()
             key = column(batch, "entry").to_numpy()
-            block = (spread(key) % np.uint64(query_blocks)).astype(np.int32)
             out: dict[str, list] = {"row": [], "shard": [], "part": []}
             for i, point in enumerate(points):
                 if others:
@@ -307,7 +305,7 @@ def nearest(
             yield record(
                 {
                     "entry": key[at], "vec": column(batch, "vec").take(pa.array(at)), "limit": limit[at],
-                    "shard": out["shard"], "part": out["part"], "block": block[at],
+                    "shard": out["shard"], "part": out["part"],
                 },
                 types,
             )
@@ -333,8 +331,17 @@ def nearest(
         for shard in np.flatnonzero(parts > 1):
             part = F.when(F.col("shard") == int(shard), F.pmod(F.xxhash64("entry"), F.lit(int(parts[shard])))).otherwise(part)
         data = placed.withColumn("part", part.cast("int"))
-        data = data.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
+        # queries of a part beyond QUERY_ROWS come in blocks, each with a copy of that part; most parts have one
+        dealt = stage(dealt, "nearest-visits")
+        asked_of = dealt.groupBy("shard", "part").count().filter(F.col("count") > QUERY_ROWS).collect()
+        blocks = [(r["shard"], r["part"], -(-r["count"] // QUERY_ROWS)) for r in asked_of]
+        many = F.broadcast(spark.createDataFrame(blocks, "shard int, part int, blocks int"))
+        copies = F.coalesce("blocks", F.lit(1))
+        data = data.join(many, ["shard", "part"], "left").withColumn("block", F.explode(F.sequence(F.lit(0), copies - 1)))
+        block = F.pmod(F.xxhash64("entry", F.lit(1)), copies.cast("long")).cast("int")
+        dealt = dealt.join(many, ["shard", "part"], "left").withColumn("block", block)
         keys = ["shard", "part", "block"]
+        data, dealt = data.drop("blocks"), dealt.drop("blocks")
         return data.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInPandas(verify, "entry long, vec_id long, squared double")
 
     nearby = stage(run(visits(wanted.withColumn("limit", F.lit(float("inf"))), False)), "nearest-home")

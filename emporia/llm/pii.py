@@ -14,6 +14,7 @@ candidates it accepts become spans.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import numpy as np
@@ -179,19 +180,33 @@ def _edges(text: str, start: int, end: int) -> int:
     return -1 if left.isalnum() or right.isalnum() or left in ("_", "/") or right in ("_", "/") else 1
 
 
+def _union(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the disjoint intervals that the spans cover, in order."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for a, b in sorted(spans):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
 def candidates(text: str) -> tuple[list[tuple[str, int, int]], list[Candidate]]:
     """Base spans, and all candidates: the base spans and what the loose patterns add beside them."""
     base = base_spans(text)
     found = [(kind, a, b, True) for kind, a, b in base]
+    starts, ends = _union([(a, b) for _, a, b in base])
     for kind in KINDS:
         if not _HINT[kind].search(text):
             continue
-        taken = [(a, b) for _, a, b in base]
+        # matches of one pattern never overlap each other
         for m in LOOSE[kind].finditer(text):
             a, b = m.span()
-            if all(b <= x or a >= y for x, y in taken):
+            before = bisect_left(starts, b)  # spans that start before the match ends
+            if not before or ends[before - 1] <= a:
                 found.append((kind, a, b, False))
-                taken.append((a, b))
     out = []
     for kind, a, b, strict in found:
         inside = text[a:b]

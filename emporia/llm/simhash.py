@@ -18,13 +18,13 @@ shared folder.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emporia.llm.common import arrow_map, bounded_batches, column, free_name, id_text, record, session_of, stage
@@ -65,17 +65,21 @@ def fingerprint(data: bytes, shingle: int = 4) -> int:
     return int(sum(1 << int(b) for b in set_bits))
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
-    """(doc_id, fp): the fingerprint's 64 bits as a signed long, one row per input row."""
-    types = {"doc_id": pa.int64(), "fp": pa.int64()}
+def fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, keep: Sequence[str] = ()
+) -> DataFrame:
+    """(doc_id, fp, columns to keep): the fingerprint's 64 bits as a signed long, one row per input row."""
+    own = [docs.schema[c] for c in keep]
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         data = column(batch, "text").cast(pa.binary()).to_pylist()
         fps = np.fromiter((fingerprint(x, shingle) for x in data), np.uint64, len(data))
-        yield record({"doc_id": column(batch, "doc_id"), "fp": fps.view(np.int64)}, types)
+        columns = [column(batch, "doc_id"), pa.array(fps.view(np.int64)), *[column(batch, c) for c in keep]]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", *keep])
 
     bounded_batches(session_of(docs))
-    return arrow_map(id_text(docs, id_col, text_col), run, "doc_id long, fp long")
+    schema = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in own)
+    return arrow_map(id_text(docs, id_col, text_col, keep), run, f"doc_id long, fp long{schema}")
 
 
 def band_masks(max_distance: int) -> tuple[list[int], int]:
@@ -315,28 +319,46 @@ def components(
     each return; a null id takes part in links but is never a component's
     name (null only if all ids of a component are null).
     """
-    prints = stage(fingerprints(docs, id_col, text_col, shingle), "simhash-prints")
+    return _grouped(docs, id_col, text_col, shingle, max_distance).select("doc_id", "fp", "component_id")
+
+
+def _grouped(
+    docs: DataFrame, id_col: str, text_col: str, shingle: int, max_distance: int, keep: Sequence[str] = ()
+) -> DataFrame:
+    """(doc_id, fp, root, component_id, columns to keep): ``root`` is one fingerprint of the component."""
+    prints = stage(fingerprints(docs, id_col, text_col, shingle, keep), "simhash-prints")
     distinct = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     star = stars(links(distinct, max_distance))
     rooted = distinct.join(star.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(names, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = rooted.join(names, "root").select("fp", "root", "component_id")
+    return prints.join(named, "fp").select("doc_id", "fp", "root", "component_id", *keep)
 
 
-def representatives(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` whose id names its component: one document per group.
+def representatives(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_distance: int = 4
+) -> DataFrame:
+    """One row of ``docs`` per group of near duplicates, all its columns: the one of the smallest id.
 
-    Of rows that repeat that id, one stays.  Components without any id keep
-    none of their rows apart, so all of them stay.
+    Rows are told apart by all their columns, not by their id: rows of one id
+    with different texts belong to different groups and each can stay.  Null
+    ids come last; of equal ids the row with the smallest hash stays, of rows
+    that are equal in all columns, one.
     """
-    keep = components(docs, id_col, **options).filter("doc_id = component_id").select("doc_id").distinct()
-    key = free_name(docs, "__id")
-    marked = docs.withColumn(key, F.col(id_col).cast("long"))
-    turn = free_name(marked, "__n")
-    once = Window.partitionBy(key).orderBy(*[F.col(c) for c in docs.columns])
-    kept = marked.join(keep.withColumnRenamed("doc_id", key), key, "left_semi")
-    kept = kept.withColumn(turn, F.row_number().over(once)).filter(F.col(turn) == 1).drop(turn)
-    return kept.unionByName(marked.filter(F.col(key).isNull())).select(*docs.columns)
+    one, two = free_name(docs, "__h1"), free_name(docs, "__h2")
+    every = [F.col(f"`{c}`") for c in docs.columns]
+    marked = docs.withColumn(one, F.xxhash64(*every)).withColumn(two, F.xxhash64(F.lit(1), *every))
+    rows = _grouped(marked, id_col, text_col, shingle, max_distance, [one, two])
+    alike = rows.groupBy("root", "doc_id", one, two).agg(F.count(F.lit(1)).alias("n"))
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.col(one).alias("one"), F.col(two).alias("two"), "n")
+    first = alike.groupBy("root").agg(F.min(order).alias("row"))
+    count = free_name(marked, "__n")
+    chosen = first.select(F.col("row.one").alias(one), F.col("row.two").alias(two), F.col("row.n").alias(count))
+    chosen = stage(chosen, "simhash-chosen")
+    kept = marked.join(chosen.filter(F.col(count) == 1), [one, two], "left_semi")
+    more = chosen.filter(F.col(count) > 1)
+    if not more.isEmpty():
+        kept = kept.unionByName(marked.join(more, [one, two], "left_semi").dropDuplicates([one, two]))
+    return kept.select(*every)

@@ -15,6 +15,7 @@ bounded size; only that is sent to the tasks, and documents are never shuffled.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
 from itertools import repeat
 
 import numpy as np
@@ -24,12 +25,14 @@ from pyspark.sql import functions as F
 
 from emporia.llm.common import append, free_name, session_of
 
-#: Shortest tile, in tokens; shorter items are matched whole.
+#: Shortest tile, in tokens; shorter items match only texts that are nothing else.
 MIN_MATCH = 4
 #: Share of an item's tokens that tiles must cover.
 MIN_COVERAGE = 0.6
 #: UTF-8 bytes of benchmark texts in a block.
 BLOCK_BYTES = 32 << 20
+#: Pairs of equal places that a task looks at together.
+PAIRS = 1 << 19
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SPACES = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
@@ -60,37 +63,44 @@ def rolling(ids: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def tile(doc: np.ndarray, item: np.ndarray, pairs: tuple[np.ndarray, np.ndarray], n: int) -> list[tuple[int, int, int]]:
+def tile(n_doc: int, n_item: int, runs: list[tuple[int, int, int]], n: int) -> list[tuple[int, int, int]]:
     """Tiles (place in doc, place in item, length), the longest marked first.
 
-    ``pairs`` are the places where ``n`` tokens of both agree.  Of equally long
-    matches the earliest in the document, then in the item, goes first.
+    ``runs`` are the maximal matches, none shorter than ``n``.  Of equally long
+    matches the earliest in the document, then in the item, goes first.  A
+    match that a tile has cut comes again as its free parts, so memory is that
+    of the runs.
     """
-    a, b = pairs
-    order = np.lexsort((a, a - b))
-    a, b = a[order], b[order]
+    heap = [(-length, x, y) for x, y, length in runs]
+    heapify(heap)
     tiles = []
-    free_doc, free_item = np.ones(len(doc) + 1, bool), np.ones(len(item) + 1, bool)
-    while len(a):
-        # runs along a diagonal are maximal matches
-        new = np.concatenate(([True], (np.diff(a - b) != 0) | (np.diff(a) != 1)))
-        first = np.flatnonzero(new)
-        length = np.diff(np.append(first, len(a))) + n - 1
-        longest = length.max()
-        at = first[length == longest]
-        at = at[np.lexsort((b[at], a[at]))]
-        for x, y in zip(a[at].tolist(), b[at].tolist()):
-            if free_doc[x : x + longest].all() and free_item[y : y + longest].all():
-                tiles.append((x, y, int(longest)))
-                free_doc[x : x + longest] = False
-                free_item[y : y + longest] = False
-        used_doc = np.concatenate(([0], np.cumsum(~free_doc)))
-        used_item = np.concatenate(([0], np.cumsum(~free_item)))
-        keep = (used_doc[a + n] == used_doc[a]) & (used_item[b + n] == used_item[b])
-        a, b = a[keep], b[keep]
+    free_doc, free_item = np.ones(n_doc, bool), np.ones(n_item, bool)
+    left = n_item
+    while heap and left >= n:
+        size, x, y = heappop(heap)
+        free = free_doc[x : x - size] & free_item[y : y - size]
+        if free.all():
+            tiles.append((x, y, -size))
+            free_doc[x : x - size] = free_item[y : y - size] = False
+            left += size
+            continue
+        edges = np.flatnonzero(np.diff(np.concatenate(([False], free, [False])).astype(np.int8)))
+        for lo, hi in zip(edges[::2].tolist(), edges[1::2].tolist()):
+            if hi - lo >= n:
+                heappush(heap, (lo - hi, x + lo, y + lo))
     return tiles
 
 
+def _runs(item: np.ndarray, a: np.ndarray, count: np.ndarray, diagonal: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Stretches of seeds joined where one goes on right after another of its item and diagonal."""
+    order = np.lexsort((a, diagonal, item))
+    item, a, count, diagonal = item[order], a[order], count[order], diagonal[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (item[1:] != item[:-1]) | (diagonal[1:] != diagonal[:-1]) | (a[1:] != a[:-1] + count[:-1])
+    first = np.flatnonzero(new)
+    return item[first], a[first], np.add.reduceat(count, first) if len(first) else count, diagonal[first]
+
+
 @dataclass
 class Block:
     """Benchmark items of one block, prepared for the tasks."""
@@ -100,6 +110,10 @@ class Block:
     items: list[np.ndarray]
     #: seed length -> (sorted fingerprints, item and place of each)
     seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
+    #: all items' tokens in a row, and where each item's begin
+    flat: np.ndarray
+    starts: np.ndarray
+    min_match: int
 
     @classmethod
     def of(cls, rows: list[tuple[int | None, str]], min_match: int) -> "Block":
@@ -119,40 +133,73 @@ class Block:
             which = np.repeat(own, [len(p) for p in prints])
             place = np.concatenate([np.arange(len(p)) for p in prints])
             seeds[n] = (value[order], which[order], place[order])
-        return cls(words, item_ids, items, seeds)
+        flat = np.concatenate(items) if items else np.zeros(0, np.int64)
+        sizes = np.array([len(x) for x in items], np.int64)
+        return cls(words, item_ids, items, seeds, flat, np.cumsum(sizes) - sizes, min_match)
+
+    def _seeded(self, ids: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
+        """Runs of places where ``n`` tokens of the text and an item agree: item, place, seeds in a row, diagonal.
+
+        Pairs of places are made ``PAIRS`` at a time and kept as runs, so a
+        text of one word repeated costs a run per diagonal.
+        """
+        value, which, place = self.seeds[n]
+        nothing = np.zeros(0, np.int64)
+        found = [(nothing, nothing, nothing, nothing)]
+        known = np.concatenate(([0], np.cumsum(ids != 0)))
+        at = np.flatnonzero(known[n:] - known[:-n] == n) if len(ids) >= n else nothing
+        prints = rolling(ids, n)[at]
+        lo = np.searchsorted(value, prints, "left")
+        count = np.searchsorted(value, prints, "right") - lo
+        at, lo, count = at[count > 0], lo[count > 0], count[count > 0]
+        total = np.cumsum(count)
+        begin = 0
+        while begin < len(at):
+            end = max(begin + 1, int(np.searchsorted(total, (total[begin - 1] if begin else 0) + PAIRS, "right")))
+            some = count[begin:end]
+            a = np.repeat(at[begin:end], some)
+            row = np.repeat(lo[begin:end], some) + np.arange(len(a)) - np.repeat(np.cumsum(some) - some, some)
+            item, b = which[row], place[row]
+            flat = self.starts[item] + b
+            same = np.ones(len(a), bool)
+            for k in range(n):  # equal fingerprints of different tokens
+                same &= ids[a + k] == self.flat[flat + k]
+            a, b, item = a[same], b[same], item[same]
+            found.append(_runs(item, a, np.ones(len(a), np.int64), a - b))
+            begin = end
+        return _runs(*map(np.concatenate, zip(*found)))
 
     def matches(self, text: str, min_coverage: float) -> list[dict]:
-        """Items that the text covers enough of, by the order of the block."""
+        """Items that the text covers enough of, by the order of the block.
+
+        An item of fewer tokens than ``min_match`` is found in texts by chance
+        ("the"); only a text that is nothing else gives it away.
+        """
         words = tokens(text)
         ids = np.fromiter(map(self.words.get, words, repeat(0)), np.int64, len(words))
         out = []
-        for n, (value, which, place) in self.seeds.items():
-            known = np.concatenate(([0], np.cumsum(ids != 0)))
-            whole = known[n:] - known[:-n] == n if len(known) > n else np.zeros(0, bool)
-            at = np.flatnonzero(whole)
-            if not len(at):
-                continue
-            prints = rolling(ids, n)[at]
-            lo, hi = np.searchsorted(value, prints, "left"), np.searchsorted(value, prints, "right")
-            count = hi - lo
-            if not count.any():
+        for n in self.seeds:
+            if n < self.min_match and len(ids) != n:
                 continue
-            a = np.repeat(at, count)
-            row = np.repeat(lo, count) + np.arange(len(a)) - np.repeat(np.cumsum(count) - count, count)
-            item, b = which[row], place[row]
-            for i in np.unique(item):
-                mine = item == i
-                x, y, target = a[mine], b[mine], self.items[i]
-                for k in range(n):  # equal fingerprints of different tokens
-                    same = ids[x + k] == target[y + k]
-                    x, y = x[same], y[same]
-                tiles = tile(ids, target, (x, y), n)
+            item, a, count, diagonal = self._seeded(ids, n)
+            edges = np.flatnonzero(np.concatenate(([True], item[1:] != item[:-1], [True]))) if len(item) else []
+            for lo, hi in zip(edges[:-1], edges[1:]):
+                i = int(item[lo])
+                size = len(self.items[i])
+                x, y = a[lo:hi], a[lo:hi] - diagonal[lo:hi]
+                # tokens that no match reaches can't be covered
+                reach = np.zeros(size + 1, np.int64)
+                np.add.at(reach, y, 1)
+                np.add.at(reach, y + count[lo:hi] + n - 1, -1)
+                if np.count_nonzero(np.cumsum(reach[:-1])) < min_coverage * size:
+                    continue
+                tiles = tile(len(ids), size, list(zip(x.tolist(), y.tolist(), (count[lo:hi] + n - 1).tolist())), n)
                 matched = sum(t[2] for t in tiles)
-                if matched >= min_coverage * len(target):
+                if matched >= min_coverage * size:
                     out.append(
                         {
-                            "item_id": self.item_ids[i], "coverage": matched / len(target), "matched": matched,
-                            "item_tokens": len(target), "tiles": len(tiles),
+                            "item_id": self.item_ids[i], "coverage": matched / size, "matched": matched,
+                            "item_tokens": size, "tiles": len(tiles),
                         }
                     )
         return out
@@ -183,7 +230,8 @@ def annotate(
     """``docs`` with a column ``name``: the items that each row's text gives away.
 
     Texts without any match have an empty array; null texts count as empty;
-    items without a token never match; items that repeat are each reported.
+    items without a token never match; one of fewer than ``min_match`` tokens
+    matches only a text that is nothing else; items that repeat are each reported.
     An empty benchmark leaves every array empty.
     """
     parts = []

@@ -407,3 +407,132 @@ def test_crc_is_unsigned():
     from emporia.llm.common import crc32
 
     assert crc32(b"a") == zlib.crc32(b"a") & 0xFFFFFFFF
+
+
+def test_representatives_lose_no_text(spark):
+    """Rows are told apart by their columns: an id with two texts, null ids, equal rows."""
+    schema = "doc_id long, text string, lang string"
+    a, b = "one two three four five six", "seven eight nine ten eleven twelve"
+
+    def kept(rows):
+        return sorted((tuple(r) for r in simhash.representatives(spark.createDataFrame(rows, schema)).collect()), key=repr)
+
+    assert kept([(1, a, "x"), (1, b, "x"), (2, b, "x")]) == sorted([(1, a, "x"), (1, b, "x")])
+    assert kept([(None, a, "x"), (None, a, "x"), (None, b, "y")]) == sorted([(None, a, "x"), (None, b, "y")], key=repr)
+    assert kept([(5, a, "x"), (5, a, "x"), (None, a, "x"), (7, a, "x")]) == [(5, a, "x")]
+    assert kept([(5, a, None), (5, a, "x")]) in ([(5, a, None)], [(5, a, "x")])
+    assert kept([]) == []
+
+
+def test_archives_of_one_name_stay_apart(spark):
+    root = fresh_dir(spark, "arc")
+    pages = [(i, f"http://x/{i}", "<a>" if i < 3 else f"<b>{i}") for i in range(6)]
+    for n, some in enumerate((pages[:3], pages[3:])):
+        rows = spark.createDataFrame(some, "page_id long, url string, html string").coalesce(1)
+        archives.write_arc(rows, f"{root}/{n}")
+    import glob
+
+    found = sorted(glob.glob(f"{root.removeprefix('file:')}/*/*.arc*"))
+    assert len({f.rsplit("/", 1)[1] for f in found}) < len(found)
+    warc = archives.convert(archives.files_of(spark, found), f"{root}/warc")
+    got = {r.page_id: r for r in archives.read_warc(warc).collect()}
+    assert sorted(got) == list(range(6)) and [got[i].refers_to for i in range(6)] == [None, 0, 0, None, None, None]
+    fields = [f for r in warc.collect() for f, _ in archives.warc_records(archives.open_store(r.file)[0].open_input_file(archives.open_store(r.file)[1]))]
+    by_id = {f["warc-record-id"]: f for f in fields}
+    for f in fields:
+        if f["warc-type"] == "revisit":
+            target = by_id[f["warc-refers-to"]]
+            assert (target["warc-type"], target["warc-target-uri"], target["warc-date"]) == (
+                "response", f["warc-refers-to-target-uri"], f["warc-refers-to-date"],
+            )
+
+
+def _naive_tiles(doc, item, n):
+    """Greedy string tiling as published: look for the longest free matches, mark them, look again."""
+    free_doc, free_item, tiles = [True] * len(doc), [True] * len(item), []
+    while True:
+        longest, found = n - 1, []
+        for x in range(len(doc)):
+            for y in range(len(item)):
+                k = 0
+                while (
+                    x + k < len(doc) and y + k < len(item) and doc[x + k] == item[y + k] and free_doc[x + k] and free_item[y + k]
+                ):
+                    k += 1
+                if k > longest:
+                    longest, found = k, []
+                if k == longest and k >= n:
+                    found.append((x, y))
+        if not found:
+            return tiles
+        for x, y in found:
+            if all(free_doc[x : x + longest]) and all(free_item[y : y + longest]):
+                tiles.append((x, y, longest))
+                free_doc[x : x + longest] = free_item[y : y + longest] = [False] * longest
+
+
+@pytest.mark.parametrize("pairs", [1 << 19, 3])
+def test_tiles_equal_naive_greedy_tiling(monkeypatch, pairs):
+    monkeypatch.setattr(tiling, "PAIRS", pairs)
+    rng = random.Random(pairs)
+    for size in (1, 2, 3, 6):
+        for _ in range(60):
+            item = [f"w{rng.randrange(size)}" for _ in range(rng.randrange(1, 14))]
+            doc = [f"w{rng.randrange(size + 1)}" for _ in range(rng.randrange(0, 40))]
+            if rng.random() < 0.5:
+                doc[3:3] = item[len(item) // 2 :] + ["x"] + item[: len(item) // 2]
+            block = tiling.Block.of([(1, " ".join(item))], 4)
+            got = block.matches(" ".join(doc), 0.5)
+            n = min(4, len(item))
+            tiles = _naive_tiles(doc, item, n) if n == 4 or len(doc) == n else []
+            matched = sum(t[2] for t in tiles)
+            if matched >= 0.5 * len(item):
+                assert [(m["matched"], m["tiles"], m["item_tokens"]) for m in got] == [(matched, len(tiles), len(item))]
+            else:
+                assert got == []
+
+
+def test_short_items_and_repeated_words_in_bounded_memory():
+    import tracemalloc
+
+    block = tiling.Block.of([(1, "the"), (2, "a b c"), (3, "la " * 500)], 4)
+    assert [m["item_id"] for m in block.matches("the end of the road", 0.6)] == []
+    assert [m["item_id"] for m in block.matches("The!", 0.6)] == [1] and [m["item_id"] for m in block.matches("a b c", 0.6)] == [2]
+    tracemalloc.start()
+    got = block.matches("la " * 200_000, 0.6)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(m["item_id"], m["matched"], m["tiles"]) for m in got] == [(3, 500, 1)] and peak < 500 << 20
+
+
+def test_many_addresses_in_one_text_take_linear_time():
+    import time
+
+    text = " ".join(f"user{i}@mail{i % 9}.example.com or user{i} [at] mail.example.org" for i in range(50_000))
+    began = time.process_time()
+    base, found = pii.candidates(text)
+    assert len(base) == 50_000 and len(found) > 50_000 and time.process_time() - began < 20
+    some = " ".join(f"a{i}@b.example.com x [at] b.example.com" for i in range(40))
+    base, found = pii.candidates(some)
+    spans = [(c.start, c.end) for c in found if c.base]
+    for c in found:
+        if not c.base:
+            assert all(c.end <= a or c.start >= b for a, b in spans)
+
+
+def test_blocks_of_queries_and_recall_as_shipped(spark, monkeypatch):
+    vectors = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    asked = neighbours.F.col("vec_id") % 4 == 0
+    rows = {r.vec_id: np.array(r.embedding, float) for r in vectors.collect() if r.embedding is not None}
+    rows = {i: v for i, v in rows.items() if len(v) and np.isfinite(v).all() and v.any()}
+    ids, points = np.array(list(rows)), np.stack(list(rows.values()))
+    got = [tuple(r) for r in neighbours.nearest(vectors, asked, part_rows=60).collect()]
+    hits = total = 0
+    for q in ids[ids % 4 == 0]:
+        d = np.sqrt(((points - rows[q]) ** 2).sum(1))
+        best = sorted((x, i) for x, i in zip(d, ids) if i != q)[:10]
+        hits += len({i for _, i in best} & {r[2] for r in got if r[0] == q})
+        total += 10
+    assert hits >= 0.9 * total
+    monkeypatch.setattr(neighbours, "QUERY_ROWS", 3)
+    assert sorted(got) == sorted(tuple(r) for r in neighbours.nearest(vectors, asked, part_rows=60).collect())
