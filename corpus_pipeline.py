@@ -5,6 +5,11 @@ effect: toxic documents go, one document of each group of near duplicates
 stays, documents that give a benchmark item away go, personal data is replaced
 in the texts, and what is left is packed.  All but the last return the columns
 of ``documents``.
+
+In every stage: null texts count as empty (and stay null where the text isn't
+changed), rows are told apart by their columns and not by their ids, so
+repeated ids lose no text; columns of other names pass through unread, also
+where an operator uses such names itself; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -47,8 +52,7 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document lies in the training sequences."""
-    cut = packing.pieces(docs).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return packing.pack(cut).drop("piece_id")
+    return packing.pack(packing.pieces(docs, digest=True)).drop("piece_id")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
