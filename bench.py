@@ -4,7 +4,8 @@ Runs each query of ``HEADLINE`` on ``$BENCH_SF_DIR`` (default
 /root/testdata/sf0.1) with ``local[$BENCH_CPUS]`` (default 8): one warm-up
 run, then the median of three timed runs (``WRITES``: one run).  A run executes the whole plan
 and discards the rows in Spark's ``noop`` sink (no collect to Python), so
-the time is the engine's.  Prints ONE JSON line.
+the time is the engine's.  Prints ONE JSON line (and each query's time, as it
+ends, to stderr); a query that fails is listed under ``errors``.
 """
 
 from __future__ import annotations
@@ -58,11 +59,16 @@ def main() -> None:
         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")},
     )
     times: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name in names:
-        if name not in WRITES:
-            run_once(spark, name, sf_dir)  # warm-up (JIT, file listing caches)
-        runs = 1 if name in WRITES else repeats
-        times[name] = round(statistics.median(run_once(spark, name, sf_dir) for _ in range(runs)), 3)
+        try:
+            if name not in WRITES:
+                run_once(spark, name, sf_dir)  # warm-up (JIT, file listing caches)
+            runs = 1 if name in WRITES else repeats
+            times[name] = round(statistics.median(run_once(spark, name, sf_dir) for _ in range(runs)), 3)
+        except Exception as failure:  # the other queries' figures count all the same
+            errors[name] = str(failure).splitlines()[0][:300]
+        print(f"{name}: {times.get(name, errors.get(name))}", file=sys.stderr, flush=True)
     spark.stop()
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(
@@ -75,6 +81,7 @@ def main() -> None:
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": cpus,
                 "sink": "noop",
+                **({"errors": errors} if errors else {}),
             }
         )
     )

@@ -63,13 +63,13 @@ def lenient(col: Column | str, dtype: T.DataType | str, fmt: str | None = None)
 def strict(col: Column | str, dtype: T.DataType | str, name: str, fmt: str | None = None) -> Column:
     """Parse text into ``dtype``; a non-NULL text that does not parse raises."""
     c = _c(col)
-    parsed = lenient(c, dtype, fmt)
-    message = F.concat(
-        F.lit(f"cannot parse column {name} as {_type_name(dtype)}: '"),
-        c.cast("string"),
-        F.lit("'"),
-    )
-    return F.when(c.isNotNull() & parsed.isNull(), F.raise_error(message)).otherwise(parsed)
+    return required_parse(c, lenient(c, dtype, fmt), dtype, name)
+
+
+def required_parse(text: Column, parsed: Column, dtype: T.DataType | str, name: str) -> Column:
+    """``parsed``, raising with column and value named where ``text`` is there and it is NULL."""
+    message = F.concat(F.lit(f"cannot parse column {name} as {_type_name(dtype)}: '"), text.cast("string"), F.lit("'"))
+    return F.when(text.isNotNull() & parsed.isNull(), F.raise_error(message)).otherwise(parsed)
 
 
 def strict_int_via_double(col: Column | str, name: str) -> Column:

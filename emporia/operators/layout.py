@@ -7,7 +7,9 @@ A table's place is a name in the session's catalog (``namespace.table``, see
   partitioning timestamp; readers that filter on it prune whole folders.  In
   the catalog the days are registered, so no folder is listed to find them;
 * *clustering* is a sort inside each written file, so Parquet row-group
-  min/max statistics skip data for filters on the clustering columns;
+  min/max statistics skip data for filters on the clustering columns; replaced
+  tables with several of them are laid out by interleaved ranks, so that a
+  filter on any of the columns skips;
 * before a partitioned write the rows are ``REBALANCE``d on the partition
   column: AQE sizes the write tasks (splitting a hot day, merging small
   ones), so a day lands in a few files instead of one file per upstream
@@ -22,11 +24,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from contextlib import nullcontext
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emporia.operators import catalog, versions
+from emporia.operators import catalog, versions, zorder
 from emporia.schemas import Entity
 
 
@@ -37,9 +39,11 @@ def with_day_partition(df: DataFrame, partition_col: str | None, partition_ts: s
     return df
 
 
-def arrange(df: DataFrame, partition_col: str | None, cluster: Sequence[str] = ()) -> DataFrame:
-    """Balance write tasks on the partition column and sort by the clustering columns."""
-    order = [c for c in ([partition_col] if partition_col else []) + list(cluster) if c in df.columns]
+def arrange(df: DataFrame, partition_col: str | None, cluster: Sequence[str] = (), along: Column | None = None) -> DataFrame:
+    """Balance write tasks on the partition column and sort by the clustering columns, or by ``along`` instead."""
+    order: list = [c for c in ([partition_col] if partition_col else []) + list(cluster) if c in df.columns]
+    if along is not None:
+        order = [c for c in order if c == partition_col] + [along]
     if partition_col:
         df = df.hint("rebalance", partition_col)
     else:
@@ -69,6 +73,7 @@ def write_table(
     cluster: Sequence[str] = (),
     replace_partitions: bool = False,
     load_id: str | None = None,
+    along: Column | None = None,
 ) -> None:
     """Write ``df`` with the table's layout.
 
@@ -76,14 +81,15 @@ def write_table(
     the session's setting; ``replace_partitions=True`` replaces only the day
     partitions present in ``df``, so re-running a day is idempotent and a
     retried staging load is safe.  ``load_id`` marks rows appended to a final
-    table of the catalog.
+    table of the catalog.  ``along``: a sort key in place of the clustering
+    columns (see :mod:`emporia.operators.zorder`).
     """
     spark = df.sparkSession
     df = with_day_partition(df, partition_col, partition_ts)
     partitions = [partition_col] if partition_col else []
     if partition_col:  # a table's day column comes last
         df = df.select(*[c for c in df.columns if c != partition_col], partition_col)
-    df = arrange(df, partition_col, cluster)
+    df = arrange(df, partition_col, cluster, along)
     if load_id is not None:
         df, partitions = df.withColumn(catalog.LOAD, F.lit(load_id)), [catalog.LOAD, *partitions]
     with by_folder(spark) if partitions else nullcontext():
@@ -188,7 +194,17 @@ def replace_table(
     cluster: Sequence[str] = (),
     partition_ts: str | None = None,
 ) -> None:
-    """``CREATE OR REPLACE TABLE ... AS SELECT``: the whole table anew, shown at once."""
+    """``CREATE OR REPLACE TABLE ... AS SELECT``: the whole table anew, shown at once.
+
+    With several clustering columns the rows are laid out by their interleaved
+    ranks, as the version to be replaced has them; a first version is sorted.
+    """
+    along = None
+    if len(cluster) > 1 and exists(df.sparkSession, target):
+        spark = df.sparkSession
+        old = spark.table(target) if catalog.is_name(target) else spark.read.schema(df.schema).parquet(versions.current(spark, target))
+        bounds = zorder.boundaries(old, [c for c in cluster if c in old.columns])
+        along = zorder.key(bounds) if any(bounds.values()) else None
     write_table(
         df,
         target,
@@ -196,4 +212,5 @@ def replace_table(
         partition_col=partition_col,
         partition_ts=partition_ts,
         cluster=cluster,
+        along=along,
     )

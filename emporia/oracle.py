@@ -418,6 +418,31 @@ SELECT l_orderkey AS order_key,
 FROM lineitem""",
 }
 
+
+
+def audit_stored() -> str:
+    """The second run of a day finds all of its rows present."""
+    day = f"(SELECT DATE '{INCREMENT_DAY}' + INTERVAL 1 DAY)::DATE AS run_date"
+    orders = f"FROM fact_order WHERE order_purchase_timestamp::DATE = DATE '{INCREMENT_DAY}'"
+    first = "COUNT(*) AS rows_read, COUNT(*) AS rows_inserted, 0::BIGINT AS rows_already_present, "
+    again = "COUNT(*) AS rows_read, 0::BIGINT AS rows_inserted, COUNT(*) AS rows_already_present, "
+    empty = "COUNT(*) = 0 AS skipped "
+    parts = [f"SELECT 'product' AS entity, {day}, {c} false AS skipped FROM dim_product" for c in (first, again)]
+    parts += [f"SELECT 'orders', {day}, {c} {empty} {orders}" for c in (first, again)]
+    return with_adapter("\nUNION ALL\n".join(parts))
+
+
+def audit_reconcile() -> str:
+    """Days on which the source has orders that came after the day was loaded."""
+    return with_adapter(
+        """
+SELECT 'order_fop' AS entity, order_purchase_timestamp::DATE AS day, COUNT(*) AS source_rows,
+       COUNT(*) FILTER (order_id::BIGINT % 10 <> 6) AS staged_rows, COUNT(*) FILTER (order_id::BIGINT % 10 <> 6) AS final_rows,
+       'late rows' AS status
+FROM fact_order_fop GROUP BY 2 HAVING COUNT(*) FILTER (order_id::BIGINT % 10 = 6) > 0"""
+    )
+
+
 # The sources' namespace after a reset and the ingest of sellers.
 RESET_NAMESPACE = with_adapter(
     """

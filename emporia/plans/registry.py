@@ -20,7 +20,7 @@ from emporia.operators import layout, versions
 from emporia.operators.catalog import setting
 from emporia.operators.merge import merge_into
 from emporia.plans import aggregates, marts, warehouse
-from emporia.schemas import BY_TABLE, ENTITIES
+from emporia.schemas import BY_TABLE, ENTITIES, ORDER_TIMESTAMPS
 from emporia.session import fresh_dir
 from emporia.sources import extract, raw_csv, staging, testdata
 
@@ -309,6 +309,39 @@ def ingest_csv_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_csv.read_source(spark, wh.source(e), e)
 
 
+def _stamps_in(fmt: str, bad: str | None = None):
+    """Orders' timestamps as text: ISO, ISO with T, and ``fmt``, by order; ``bad`` in place of one of them."""
+
+    def write(orders: DataFrame) -> DataFrame:
+        kind = F.col("order_id").cast("bigint") % 3
+        for c in ORDER_TIMESTAMPS:
+            formats = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", fmt)
+            text = F.coalesce(*[F.when(kind == i, F.date_format(c, f)) for i, f in enumerate(formats)])
+            orders = orders.withColumn(c, F.when(F.col("order_id").cast("bigint") % 100 == 7, F.lit(bad)).otherwise(text) if bad else text)
+        return orders
+
+    return write
+
+
+@register("ingest_mixed_dates", oracle.OPERATORS["backfill_orders"])
+def ingest_mixed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose timestamps come in three formats, day and month told apart by all rows; one that is none of them fails."""
+    e = ENTITIES["orders"]
+    wh = _fresh_warehouse(spark, "ingest_mixed_dates")
+    orders = layout.conform(testdata.fact_order(spark, sf_dir), e.source)
+    for folder, text in (("good", _stamps_in("dd/MM/yyyy HH:mm")), ("bad", _stamps_in("dd/MM/yyyy HH:mm", "31/02/1998"))):
+        raw_csv.write_raw(text(orders), f"{wh.root}/{folder}")
+    raw_csv.ingest(spark, f"{wh.root}/good", e, wh.source(e), raw_csv.INFER)
+    try:
+        raw_csv.ingest(spark, f"{wh.root}/bad", e, wh.source(e), raw_csv.INFER)
+    except Exception as failure:
+        if "31/02/1998" not in str(failure):
+            raise
+    else:
+        raise AssertionError("a date that isn't one was ingested")
+    return raw_csv.read_source(spark, wh.source(e), e)
+
+
 @register("failed_replacement", oracle.OPERATORS["stage_truncate"])
 def failed_replacement(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A replacement that fails while it writes: the table holds its old rows."""
@@ -505,6 +538,31 @@ def _streamed(spark: SparkSession, sf_dir: str, entity: str, label: str, odd: Ca
     return wh, checkpoint, merge_stream(spark, wh.export(e), e, wh.final(e), checkpoint)
 
 
+@register("audit_stored", oracle.audit_stored())
+def audit_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of one day, the second with nothing new: the stored audit of both."""
+    wh = _warehouse_with_sources(spark, sf_dir, "audit_stored", ("product", "orders"))
+    for _ in range(2):
+        warehouse.run_day(spark, wh, AUDIT_RUN, entities=("product", "orders"))
+    return warehouse.audit_history(spark, wh)
+
+
+@register("audit_reconcile", oracle.audit_reconcile())
+def audit_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days caught up, then every tenth order arrives late in the source: the days that differ, and how."""
+    e = ENTITIES["order_fop"]
+    wh = _fresh_warehouse(spark, "audit_reconcile")
+    orders = testdata.fact_order_fop(spark, sf_dir)
+    raw_csv.write_source(orders.filter(~_late("order_id")), wh.source(e), e)
+    warehouse.backfill(spark, wh, "order_fop", *warehouse.run_dates(spark, wh, "order_fop"))
+    raw_csv.write_source(orders, wh.source(e), e)
+    return warehouse.reconcile(spark, wh, "order_fop").filter("status <> 'equal'")
+
+
+def _late(key: str):
+    return F.col(key).cast("bigint") % 10 == 6
+
+
 @register("stream_merge_orders", oracle.OPERATORS["backfill_orders"])
 def stream_merge_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order's run extract streamed (availableNow) into an empty fact."""

@@ -20,8 +20,9 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 from dataclasses import asdict, dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -210,9 +211,12 @@ def run_day(
     merge_source: str = "staging",
     entities: tuple[str, ...] = tuple(ENTITIES),
 ) -> DataFrame:
-    """Load all entities for ``ds``; returns the run's audit as a DataFrame."""
+    """Load all entities for ``ds``; stores the run's audit and returns it as a DataFrame."""
     rows = [load_entity(spark, wh, name, ds, merge_source) for name in entities]
-    return audit_frame(spark, rows)
+    audit = audit_frame(spark, rows)
+    catalog.create_table(spark, f"{wh.namespace}.{AUDIT_TABLE}", AUDIT_SCHEMA)
+    catalog.append(audit.coalesce(1), f"{wh.namespace}.{AUDIT_TABLE}")
+    return audit
 
 
 def audit_frame(spark: SparkSession, rows: list[AuditRow]) -> DataFrame:
@@ -220,6 +224,59 @@ def audit_frame(spark: SparkSession, rows: list[AuditRow]) -> DataFrame:
     return spark.createDataFrame([tuple(asdict(r).values()) for r in rows], AUDIT_SCHEMA)
 
 
+def audit_history(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    """The stored audit rows of all runs."""
+    wh.open(spark)
+    catalog.create_table(spark, f"{wh.namespace}.{AUDIT_TABLE}", AUDIT_SCHEMA)
+    return spark.table(f"{wh.namespace}.{AUDIT_TABLE}")
+
+
+def reconcile(spark: SparkSession, wh: Warehouse, entity: str) -> DataFrame:
+    """Per day of an increment entity: rows in source, staging and final table, and whether they are the same rows.
+
+    Rows are compared by an order-free checksum, the sum of their hashes, so
+    one aggregate a table is all that is shuffled: a row per task and day.
+    ``status``: ``equal``; ``late rows`` where the source has rows more than
+    were staged (they came after their day was loaded, and no daily run takes
+    them any more); ``changed`` where as many or fewer are other rows;
+    ``not merged`` where the final table differs from what was staged (rows
+    whose key was there before are not merged, by the merge's definition).
+    Rows without a day (NULL) are a day of their own.
+    """
+    wh.open(spark)
+    e = ENTITIES[entity]
+    if e.increment_ts is None:
+        raise ValueError(f"{entity} is a snapshot entity")
+    layout.ensure_final(spark, wh.final(e), e)
+    layers = {
+        "source": staging.clean(raw_csv.read_source(spark, wh.source(e), e), e),
+        "staged": staging.read_staging(spark, wh.staging(e), e),
+        "final": layout.read_entity(spark, wh.final(e), e),
+    }
+    day = F.to_date(F.col(e.increment_ts))
+    sums = []
+    for name, rows in layers.items():
+        check = F.sum(F.xxhash64(*e.columns).cast("decimal(38,0)"))
+        counted = rows.groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("n"), check.alias("sum"))
+        sums.append(counted.select("day", F.lit(name).alias("layer"), "n", "sum"))
+    both = reduce(DataFrame.unionByName, sums)
+
+    def of(layer: str, column: str) -> Column:
+        return F.max(F.when(F.col("layer") == layer, F.col(column)))
+
+    wide = both.groupBy("day").agg(*[of(name, c).alias(f"{name}_{c}") for name in layers for c in ("n", "sum")])
+    rows = {name: F.coalesce(F.col(f"{name}_n"), F.lit(0)) for name in layers}
+    status = (
+        F.when(rows["source"] > rows["staged"], "late rows")
+        .when(~F.col("source_sum").eqNullSafe(F.col("staged_sum")), "changed")
+        .when(~F.col("staged_sum").eqNullSafe(F.col("final_sum")), "not merged")
+        .otherwise("equal")
+    )
+    return wide.select(
+        F.lit(entity).alias("entity"), "day", *[rows[name].alias(f"{name}_rows") for name in layers], status.alias("status")
+    )
+
+
 def run_dates(spark: SparkSession, wh: Warehouse, entity: str) -> tuple[dt.date, dt.date] | None:
     """First and last run date that finds rows in an increment entity's source; None if it has none.
 

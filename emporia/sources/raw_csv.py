@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emporia.functions.casts import PANDAS_NULL_TOKENS, nullify_tokens, strict, strict_int_via_double
+from emporia.functions import date_formats
+from emporia.functions.casts import PANDAS_NULL_TOKENS, nullify_tokens, required_parse, strict, strict_int_via_double
 from emporia.operators import layout
 from emporia.schemas import Entity
 from emporia.sources import csv_ranges
@@ -28,6 +29,9 @@ from emporia.sources import csv_ranges
 #: format used for timestamps in CSV files this package writes
 CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
+#: as ``timestamp_format``: find the formats out from the values
+INFER = "infer"
+
 #: quoting as pandas reads and writes it: doubled quotes, spaces untouched
 CSV_QUOTING = {
     "quote": '"',
@@ -67,11 +71,22 @@ def typed_source(
     entity: Entity,
     timestamp_format: str | None = None,
     null_tokens: tuple[str, ...] = PANDAS_NULL_TOKENS,
+    day_first: bool | None = None,
 ) -> DataFrame:
-    """Strictly typed source-layer table of ``entity`` from all-string ``raw``."""
+    """Strictly typed source-layer table of ``entity`` from all-string ``raw``.
+
+    ``timestamp_format``: one pattern, ``INFER`` (found out from all rows, one
+    job; ``day_first`` as in :func:`emporia.functions.date_formats.infer`), or
+    None for ISO text as Spark casts it.
+    """
     missing = [f.name for f in entity.source.fields if f.name not in raw.columns]
     if missing:
         raise ValueError(f"{entity.raw_file}: header lacks column(s) {', '.join(missing)}")
+    formats: dict[str, tuple[str, ...]] = {}
+    if timestamp_format == INFER:
+        stamps = [f.name for f in entity.source.fields if isinstance(f.dataType, T.TimestampNTZType)]
+        texts = raw.select(*[nullify_tokens(F.col(c), null_tokens).alias(c) for c in stamps])
+        formats = date_formats.infer(texts, stamps, day_first)
     out = []
     for f in entity.source.fields:
         text = nullify_tokens(F.col(f.name), null_tokens)
@@ -87,6 +102,8 @@ def typed_source(
             ).otherwise(parsed)
         elif isinstance(f.dataType, T.StringType):
             col = text
+        elif f.name in formats:
+            col = required_parse(text, date_formats.read(text, formats[f.name]), f.dataType, name)
         else:
             col = strict(text, f.dataType, name, timestamp_format)
         limit = entity.max_length.get(f.name)
@@ -109,17 +126,19 @@ def ingest(
     timestamp_format: str | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
     multi_line: bool = True,
+    day_first: bool | None = None,
 ) -> str:
     """Replace the entity's source table with the typed rows of ``raw_path``.
 
     ``transform`` (DataFrame → DataFrame) runs on the all-string frame
     before typing, for feeds that need extra cleaning; ``multi_line`` as in
-    :func:`read_raw`.
+    :func:`read_raw`, ``timestamp_format`` and ``day_first`` as in
+    :func:`typed_source`.
     """
     raw = read_raw(spark, raw_path, multi_line=multi_line)
     if transform is not None:
         raw = raw.transform(transform)
-    write_source(typed_source(raw, entity, timestamp_format), target, entity)
+    write_source(typed_source(raw, entity, timestamp_format, day_first=day_first), target, entity)
     return target
 
 
