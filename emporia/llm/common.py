@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from emporia.session import fresh_dir
 
-#: Rows of text sent to a Python worker at once; a batch is what a worker
-#: holds, so long documents bound memory through this number.
+#: Rows of text sent to a Python worker at once.  Spark ends a batch at
+#: ``spark.sql.execution.arrow.maxBytesPerBatch`` (64 MB) as well, so long texts
+#: come in batches of few rows.
 TEXT_BATCH_ROWS = 1000
 
 
@@ -23,8 +24,15 @@ def session_of(df: DataFrame) -> SparkSession:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Let Arrow batches hold few rows: texts may be long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH_ROWS))
+    """Let Arrow batches hold few rows: texts may be long.
+
+    The one place that touches the option, and it only lowers it: whatever was
+    built last, a session's texts come in batches of at most that many rows.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(spark.conf.get(key, "0"))
+    if rows <= 0 or rows > TEXT_BATCH_ROWS:
+        spark.conf.set(key, str(TEXT_BATCH_ROWS))
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -264,7 +264,6 @@ def nearest(
         shard = shard_of(nodes, matrix_of(batch) @ matrix)
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shard)], names=[*batch.schema.names, "shard"])
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
     placed = stage(arrow_map(index, home, f"{ENTRY}, shard int"), "nearest-shards")
     # a row per shard; its parts, dealt by hash, have a bounded size
     sizes = {r["shard"]: r["count"] for r in placed.groupBy("shard").count().collect()}

@@ -238,7 +238,6 @@ def links(distinct: DataFrame, max_distance: int = 4, sample: int = SAMPLE, shar
                 types,
             )
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
     dealt = arrow_map(distinct.select("fp"), deal, "band int, shard int, fp long, home boolean")
     # one row per shard (the trees bound their number); a shard that is still
     # large holds fingerprints no vantage point of its band tells apart
