@@ -313,6 +313,15 @@ OPERATORS = {
         f"SELECT {_ORDER_COLS} FROM fact_order "
         f"WHERE CAST(order_purchase_timestamp AS DATE) = DATE '{EMPTY_DAY}'"
     ),
+    "extract_skips": with_adapter(
+        f"SELECT day, COUNT(order_id) AS extracted_rows, COUNT(order_id) = 0 AS skipped "
+        f"FROM (VALUES (DATE '{INCREMENT_DAY}'), (DATE '{EMPTY_DAY}')) AS days(day) "
+        f"LEFT JOIN fact_order ON order_purchase_timestamp::DATE = day GROUP BY day"
+    ),
+    "ingest_transformed": with_adapter(
+        "SELECT * REPLACE (CAST(customer_zip_code_prefix AS INTEGER) AS customer_zip_code_prefix, upper(customer_city) AS customer_city) "
+        "FROM dim_customer WHERE customer_state <> 'ASIA'"
+    ),
     "snapshot_extract": with_adapter("SELECT * FROM dim_customer"),
     "stage_truncate": with_adapter("SELECT * FROM dim_product"),
     "stage_append": with_adapter(f"SELECT {_ORDER_COLS} FROM fact_order"),

@@ -167,6 +167,17 @@ register("incremental_extract_empty", oracle.OPERATORS["incremental_extract_empt
 )
 
 
+@register("extract_skips", oracle.OPERATORS["extract_skips"])
+def extract_skips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Increments of two days, one of them without orders: rows extracted, and whether the load is skipped."""
+    e = ENTITIES["orders"]
+    base, found = fresh_dir(spark, "extract_skips"), []
+    for day in map(_dt.date.fromisoformat, (oracle.INCREMENT_DAY, oracle.EMPTY_DAY)):
+        res = extract.increment(testdata.fact_order(spark, sf_dir), base, e, day + _dt.timedelta(days=1))
+        found.append((day, res.rows, res.skipped))
+    return spark.createDataFrame(found, "day date, extracted_rows long, skipped boolean")
+
+
 @register("snapshot_extract", oracle.OPERATORS["snapshot_extract"])
 def snapshot_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = ENTITIES["customer"]
@@ -297,6 +308,22 @@ def reset_namespace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+@register("ingest_transformed", oracle.OPERATORS["ingest_transformed"])
+def ingest_transformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers ingested through a feed's own cleaning: cities in capitals, a prefix off the ids, one region left out."""
+    e = ENTITIES["customer"]
+    wh = _fresh_warehouse(spark, "ingest_transformed")
+    src = layout.conform(testdata.dim_customer(spark, sf_dir), e.source)
+    raw = raw_csv.write_raw(src.withColumn("customer_id", F.concat(F.lit("C-"), F.col("customer_id"))), f"{wh.root}/raw/{e.raw_file}")
+
+    def own(df: DataFrame) -> DataFrame:
+        df = df.withColumn("customer_id", F.regexp_replace("customer_id", "^C-", ""))
+        return df.withColumn("customer_city", F.upper("customer_city")).filter("customer_state <> 'ASIA'")
+
+    raw_csv.ingest(spark, raw, e, wh.source(e), transform=own)
+    return raw_csv.read_source(spark, wh.source(e), e)
+
+
 @register("ingest_csv_ranges", oracle.OPERATORS["ingest_csv_ranges"])
 def ingest_csv_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All items from one CSV file with line breaks in values, read in ranges that cut through them."""
