@@ -10,7 +10,9 @@ are sorted and each prefix of that order carries a bitmask of its entries, 64
 to a word.  A point with a radius selects one range per dimension by two binary
 searches; the range's entries are two prefix masks' difference, and the ranges'
 masks ANDed are the entries inside the cube around the point.  Those are
-compared exactly.  An entry found within the radius is the nearest one, as
+compared exactly; where masks rule out little (many dimensions, no clusters), a
+block's distances come from one matrix product of whole numbers below 2**53,
+exact in doubles, and the masks choose among them.  An entry found within the radius is the nearest one, as
 every entry that near lies in the cube; the other points are asked again with
 the distance of the best entry seen, which bounds the nearest one's.
 
@@ -43,6 +45,8 @@ ROUNDS = 4
 #: Points searched at once; bounds a worker's memory at BLOCK x entries x part dimensions.
 BLOCK = 512
 LONG = (1 << 63) - 1
+#: Share of entries left by the masks from which a block is compared by a matrix product.
+DENSE = 0.1
 
 
 def usable(vector: Column) -> Column:
@@ -73,6 +77,10 @@ class Slices:
 
     def __init__(self, entries: np.ndarray):
         self.entries = entries
+        #: for matrix products, and the largest component for which they are exact
+        self.floats = entries.astype(np.float64) if entries.dtype != object else None
+        self.exact = isqrt((1 << 53) // (4 * max(1, entries.shape[1])))
+        self.largest = max((abs(int(x)) for x in (entries.max(), entries.min())), default=0) if entries.size else 0
         count = len(entries)
         words = -(-count // 64)
         self.order, self.prefix = [], []
@@ -105,8 +113,11 @@ class Slices:
         """Per point the nearest entry in its cube (ties to the lower) and its squared distance; -1 where the cube is empty."""
         words = np.ascontiguousarray(self.inside(points, radius)).astype("<u8")
         bits = np.unpackbits(words.view(np.uint8), axis=1, bitorder="little")[:, : len(self.entries)]
+        left = int(np.bitwise_count(words).sum())
+        self.compared += left
+        if left > DENSE * bits.size and self._whole(points):
+            return self._dense(points, bits)
         row, entry = np.nonzero(bits)
-        self.compared += len(row)
         off = points[row] - self.entries[entry]
         distance = (off * off).sum(axis=1)
         nearest = np.full(len(points), -1, np.int64)
@@ -119,6 +130,22 @@ class Slices:
             nearest[who], least[who] = entry[hit][first], low
         return nearest, least
 
+    def _whole(self, points: np.ndarray) -> bool:
+        """Whether all that a matrix product of the points adds up stays a whole number in doubles."""
+        if self.floats is None or not points.size:
+            return False
+        return max(self.largest, int(points.max()), -int(points.min())) < self.exact
+
+    def _dense(self, points: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`best` by one matrix product."""
+        floats = points.astype(np.float64)
+        distance = (floats * floats).sum(axis=1)[:, None] - 2 * (floats @ self.floats.T) + (self.floats * self.floats).sum(axis=1)
+        distance[bits == 0] = np.inf
+        nearest = distance.argmin(axis=1)
+        least = distance[np.arange(len(points)), nearest]
+        found = np.isfinite(least)
+        return np.where(found, nearest, -1), np.where(found, least, 0).astype(np.int64)
+
     def guess(self, points: np.ndarray) -> np.ndarray:
         """Squared distance of each point to an entry near it in the widest dimension."""
         order = self.order[self.widest]

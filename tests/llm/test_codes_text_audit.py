@@ -81,9 +81,11 @@ def test_codes_of_few_huge_and_no_vectors(spark):
     assert out.columns == ["vec_id", "code", "__vector", "code_"] and [r.vec_id for r in out.collect()] == [1]
 
 
+@pytest.mark.parametrize("dense", [0.0, 0.1, 2.0])
 @pytest.mark.parametrize("scale", [3, 1000, 10**7, 10**17])
-def test_slice_search_is_exact(scale):
+def test_slice_search_is_exact(scale, dense, monkeypatch):
     """Masks and radii find what a full comparison finds, ties to the lower entry, in all sizes of numbers."""
+    monkeypatch.setattr(vector_codes, "DENSE", dense)
     rng = random.Random(scale)
     entries = np.array([[rng.randint(-scale, scale) for _ in range(4)] for _ in range(130)], np.int64)
     entries[70] = entries[3]
