@@ -185,16 +185,20 @@ def commit(spark: SparkSession, target: str, load: Load) -> None:
 
 def undo(spark: SparkSession, target: str, load_id: str) -> int:
     """Drop what an uncommitted load left in ``target``; the number of partitions dropped."""
-    mine = partition_values(spark, target, f" PARTITION ({LOAD} = '{load_id}')")
+    text = load_id.replace("\\", "\\\\").replace("'", "\\'")
+    mine = partition_values(spark, target, f" PARTITION (`{LOAD}` = '{text}')")
     if mine:
-        specs = ", ".join(
-            "PARTITION (" + ", ".join(f"`{c}` = " + ("NULL" if v in ("null", "__HIVE_DEFAULT_PARTITION__") else f"'{v}'") for c, v in p.items()) + ")"
-            for p in mine
-        )
-        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS {specs}")
+        # names of partitions are escaped as paths are; only days are taken from them
+        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS {', '.join(_spec(p, text) for p in mine)}")
     return len(mine)
 
 
+def _spec(partition: dict[str, str], load: str) -> str:
+    parts = {c: "NULL" if v in ("null", "__HIVE_DEFAULT_PARTITION__") else f"'{v}'" for c, v in partition.items()}
+    parts[LOAD] = f"'{load}'"
+    return "PARTITION (" + ", ".join(f"`{c}` = {v}" for c, v in parts.items()) + ")"
+
+
 # ------------------------------------------------------- replaced tables
 
 

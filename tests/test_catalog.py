@@ -131,7 +131,8 @@ def test_a_load_happens_once(spark, wh):
         merge_into(spark, rows, fresh_dir(spark, "x"), E, "epoch 1")
 
 
-def test_an_uncommitted_load_is_undone_and_done_again(spark, wh, monkeypatch):
+@pytest.mark.parametrize("load", ["epoch 2", "stream file:/a b/c'd=e 2"])
+def test_an_uncommitted_load_is_undone_and_done_again(spark, wh, monkeypatch, load):
     place = wh.final(E)
     merge_into(spark, _items(spark, [1]), place, E, "epoch 1")
     rows = _items(spark, [1, 2], n=2).unionByName(_items(spark, [2], seller=None))
@@ -142,9 +143,9 @@ def test_an_uncommitted_load_is_undone_and_done_again(spark, wh, monkeypatch):
     with monkeypatch.context() as m:
         m.setattr(catalog, "commit", die)
         with pytest.raises(RuntimeError):
-            merge_into(spark, rows, place, E, "epoch 2")
+            merge_into(spark, rows, place, E, load)
     assert layout.read_entity(spark, place, E).count() == 4  # written, not committed
-    done = merge_into(spark, rows, place, E, "epoch 2")
+    done = merge_into(spark, rows, place, E, load)
     assert (done.rows_read, done.rows_inserted) == (5, 3)
     got = layout.read_entity(spark, place, E).collect()
     assert sorted((r.order_id, r.seller_id or "") for r in got) == [("o1", "s"), ("o2", ""), ("o2", "s"), ("o2", "s")]
